@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from panelstats.plans.ship import ship
 from panelstats.sources import table
 
-from . import line_dedup, quality_rules, storage
+from . import bpe, line_dedup, mixing, quality_rules, storage
 
 QUERIES, ORACLES = {}, {}
 
@@ -35,6 +35,22 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines(docs).select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+@_query
+def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    ids = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), ranks, public_tokenizers.PATTERN)
+    return bpe.decode(ids.select("doc_id", "ids"), ranks).select("doc_id", *bpe.digests())
+
+
+@_query
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    sized, _ = storage.save(docs.select("doc_id", "source", mixing.size_of().alias("size")), "sizes")
+    return mixing.plan(sized).select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+
+
 #: Blanks as a DuckDB string, and documents as words and lines.
 _BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
@@ -67,3 +83,17 @@ j AS (SELECT k.doc_id, i, line, f.k IS NOT NULL AND k.doc_id < f.last AS gone FR
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped, sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
 FROM j GROUP BY doc_id
 """
+
+ORACLES["op8_mixing"] = f"""
+WITH d AS (SELECT doc_id, source, len({_WORDS})::BIGINT AS size FROM documents),
+s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
+w AS (SELECT *, [3.0::DOUBLE, 1.0::DOUBLE, 2.0::DOUBLE][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS w, source_size * 2.0::DOUBLE AS cap FROM s),
+f AS (SELECT *, row_number() OVER (ORDER BY cap / w, source NULLS LAST) AS k,
+  (1.5::DOUBLE * sum(source_size) OVER () - coalesce(sum(cap) OVER (ORDER BY cap / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+  / sum(w) OVER (ORDER BY cap / w, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM w),
+o AS (SELECT min(k) AS k, arg_min(level, k) AS level FROM f WHERE cap / w > level),
+t AS (SELECT f.source, f.source_size, CASE WHEN o.k IS NULL OR f.k < o.k THEN f.cap ELSE o.level * f.w END AS target FROM f, o),
+r AS (SELECT d.doc_id, d.size, t.source_size, t.target, CASE WHEN t.source_size > 0 THEN t.target / t.source_size ELSE 0 END AS rate,
+  ('0x' || substr(md5('8:' || coalesce(d.doc_id::VARCHAR, '')), 1, 8))::BIGINT / 4294967296.0::DOUBLE AS u FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
+SELECT doc_id, size, source_size, target, (size * (floor(rate) + CASE WHEN u < rate - floor(rate) THEN 1 ELSE 0 END))::BIGINT AS taken FROM r
+"""
