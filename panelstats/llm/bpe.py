@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import base64
 import codecs
+import gc
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -26,58 +27,101 @@ from pyspark.sql import functions as F
 from .text import pieces
 
 #: Cached pieces, states and pairs at most, in each Python worker.
-MAX_UNITS, MAX_STATES, MAX_PAIRS, LONG_UNIT = 250_000, 60_000, 300_000, 48
+MAX_UNITS, MAX_STATES, MAX_PAIRS, LONG_UNIT = 250_000, 60_000, 500_000, 48
+
+
+_NEVER = 1 << 60
 
 
 class _State:
-    """``last``: the last token of each prefix of ``pending``; ``live``: where a token that is still being read may have begun."""
+    """``last``: the last token of each prefix of ``pending``; ``node``: the longest end of it that begins a token."""
 
-    __slots__ = ("before", "pending", "last", "live", "steps", "rest")
+    __slots__ = ("before", "pending", "last", "node", "steps")
 
-    def __init__(self, before: int, pending: bytes, last: list, live: list):
-        self.before, self.pending, self.last, self.live = before, pending, last, live
-        self.steps: dict[int, tuple[_State, tuple[int, ...]]] = {}
-        self.rest: tuple[int, ...] | None = None
+    def __init__(self, before: int, pending: bytes, last: list, node: int):
+        self.before, self.pending, self.last, self.node = before, pending, last, node
+        self.steps: dict[int, tuple[_State, tuple[int, ...]] | None] = {}
 
 
 class Transducer:
     """Maps the bytes of one piece to token ids."""
 
     def __init__(self, ranks: dict[bytes, int]):
-        self.ranks, self.bytes_of = ranks, {v: k for k, v in ranks.items()}
+        self.ranks = ranks
+        self.bytes_of = {v: k for k, v in ranks.items()}
         self.length = {v: len(k) for k, v in ranks.items()}
-        self.begun = {token[:i] for token in ranks for i in range(1, len(token))}
-        self.pairs: dict[tuple[int, int], bool] = {}
-        self.sound: dict[int, bool] = {}
+        #: A trie of the tokens; ``goto`` also gets the steps by way of shorter ends, when they are met.
+        self.goto: dict[int, int] = {}
+        self.token, self.depth, above = [-1], [0], [(0, 0)]
+        for text, rank in ranks.items():
+            node = 0
+            for byte in text:
+                to = self.goto.setdefault(node << 8 | byte, len(self.token))
+                if to == len(self.token):
+                    self.token.append(-1)
+                    self.depth.append(self.depth[node] + 1)
+                    above.append((node, byte))
+                node = to
+            self.token[node] = rank
+        self.leaf = bytearray(b"\1" * len(self.token))
+        for parent, _ in above:
+            self.leaf[parent] = 0
+        self.shorter = [0] * len(self.token)  # the node of the longest proper end that begins a token
+        for node in sorted(range(1, len(above)), key=self.depth.__getitem__):
+            parent, byte = above[node]
+            if parent:
+                self.shorter[node] = self._go(self.shorter[parent], byte, False)
+        self.ending: dict[int, tuple[tuple[int, int], ...]] = {}
+        self.pairs: dict[int, bool] = {}
         self._reset()
 
+    def _go(self, node: int, byte: int, keep: bool = True) -> int:
+        at = node
+        while (to := self.goto.get(at << 8 | byte)) is None:
+            if not at:
+                return 0
+            at = self.shorter[at]
+        if keep:
+            self.goto[node << 8 | byte] = to
+        return to
+
     def _reset(self) -> None:
-        self.root = _State(-1, b"", [None], [0])
+        for state in getattr(self, "states", {}).values():  # steps lead in circles, and the collector is off
+            state.steps.clear()
+        self.root = _State(-1, b"", [None], 0)
         self.states = {(-1, b""): self.root}
 
     def merged(self, piece: bytes) -> list[int]:
-        """The merges themselves, for pieces of two tokens."""
+        """The merges themselves, for pieces of one or two tokens."""
+        rank_of = self.ranks.get
         parts = [piece[i : i + 1] for i in range(len(piece))]
-        while len(parts) > 1:
-            rank, at = min((self.ranks.get(parts[i] + parts[i + 1], 1 << 60), i) for i in range(len(parts) - 1))
-            if rank == 1 << 60:
-                break
-            parts[at : at + 2] = [parts[at] + parts[at + 1]]
+        ranks = [rank_of(a + b, _NEVER) for a, b in zip(parts, parts[1:])]
+        while ranks and (least := min(ranks)) < _NEVER:
+            i = ranks.index(least)
+            parts[i] += parts.pop(i + 1)
+            del ranks[i]
+            if i < len(ranks):
+                ranks[i] = rank_of(parts[i] + parts[i + 1], _NEVER)
+            if i:
+                ranks[i - 1] = rank_of(parts[i - 1] + parts[i], _NEVER)
         return [self.ranks[p] for p in parts]
 
     def _stable(self, before: int, token: int) -> bool:
-        ok = self.pairs.get((before, token))
-        if ok is None:
-            if len(self.pairs) >= MAX_PAIRS:
-                self.pairs.clear()
-            ok = self.pairs[before, token] = self.merged(self.bytes_of[before] + self.bytes_of[token]) == [before, token]
+        if len(self.pairs) >= MAX_PAIRS:
+            self.pairs.clear()
+        ok = self.pairs[before << 20 | token] = self.merged(self.bytes_of[before] + self.bytes_of[token]) == [before, token]
         return ok
 
-    def _sound(self, token: int) -> bool:
-        ok = self.sound.get(token)
-        if ok is None:
-            ok = self.sound[token] = self.merged(self.bytes_of[token]) == [token]
-        return ok
+    def _tokens(self, node: int) -> tuple[tuple[int, int], ...]:
+        """(token, length) of the tokens that end here, longest first, if the merges of their own bytes give them."""
+        found, at = [], node
+        while at:
+            token = self.token[at]
+            if token >= 0 and self.merged(self.bytes_of[token]) == [token]:
+                found.append((token, self.length[token]))
+            at = self.shorter[at]
+        self.ending[node] = out = tuple(found)
+        return out
 
     def _ends(self, last: list, end: int) -> list[int]:
         """Ends of the tokens of the prefix of length ``end``, falling to 0."""
@@ -87,46 +131,99 @@ class Transducer:
             ends.append(end)
         return ends
 
-    def _step(self, state: _State, byte: int) -> tuple[_State, tuple[int, ...]]:
-        pending = state.pending + bytes((byte,))
-        n, last = len(pending), [*state.last, None]
-        for start in state.live:
-            token = self.ranks.get(pending[start:])
-            if token is not None and self._sound(token):
-                before = last[start] if start else state.before
-                if before == -1 or self._stable(before, token):
-                    last[n] = token
+    def _read(self, before: int, last: list, node: int, text: bytes) -> int:
+        """Appends to ``last`` the token that ends with each byte, and gives the node reached."""
+        goto, ending, pairs = self.goto, self.ending, self.pairs
+        n = len(last)
+        for byte in text:
+            to = goto.get(node << 8 | byte)
+            node = self._go(node, byte) if to is None else to
+            tokens = ending.get(node)
+            for token, length in self._tokens(node) if tokens is None else tokens:
+                prior = last[n - length] if n > length else before
+                if prior < 0:
                     break
-        live = [i for i in state.live if pending[i:] in self.begun] + [n]
-        cut, emitted = 0, []
-        if live[0]:
-            cut = end = max(set(self._ends(last, live[0])).intersection(*[self._ends(last, i) for i in live[1:]]))
-            while end:
-                emitted.append(last[end])
-                end -= self.length[last[end]]
-        key = (emitted[0] if emitted else state.before, pending[cut:])
+                ok = pairs.get(prior << 20 | token)
+                if ok or (ok is None and self._stable(prior, token)):
+                    break
+            last.append(token)
+            n += 1
+        return node
+
+    def _finish(self, state: _State, rest: bytes) -> list[int]:
+        """The tokens from a state to the end, without making states."""
+        last = [*state.last]
+        self._read(state.before, last, state.node, rest)
+        end, back = len(last) - 1, []
+        while end:
+            back.append(last[end])
+            end -= self.length[last[end]]
+        return back[::-1]
+
+    def _step(self, state: _State, byte: int) -> tuple[_State, tuple[int, ...]]:
+        last = [*state.last]
+        node = self._read(state.before, last, state.node, bytes((byte,)))
+        n, live, at = len(last) - 1, [], node
+        while at:  # where a token that is still being read may have begun
+            if not self.leaf[at]:
+                live.append(n - self.depth[at])
+            at = self.shorter[at]
+        live.append(n)
+        pending, before, emitted = state.pending + bytes((byte,)), state.before, ()
+        if live[0]:  # no token can still begin at 0
+            cut = end = live[0] if len(live) == 1 else max(set(self._ends(last, live[0])).intersection(*[self._ends(last, i) for i in live[1:]]))
+            if cut:
+                back = []
+                while end:
+                    back.append(last[end])
+                    end -= self.length[last[end]]
+                before, emitted = back[0], tuple(back[::-1])
+                pending, last = pending[cut:], [None, *last[cut + 1 :]]
+        key = (before, pending)
         if (to := self.states.get(key)) is None:
             if len(self.states) >= MAX_STATES:
                 self._reset()
-            to = self.states[key] = _State(*key, [None, *last[cut + 1 :]], [i - cut for i in live])
-        found = state.steps[byte] = (to, tuple(emitted[::-1]))
-        return found
+            to = self.states[key] = _State(before, pending, last, node)
+        made = state.steps[byte] = (to, emitted)
+        return made
 
     def encode(self, piece: bytes) -> list[int]:
+        """A step that is met for the first time is only marked, and the rest of the piece read without it."""
         if (whole := self.ranks.get(piece)) is not None:
             return [whole]
         state, ids = self.root, []
-        for byte in piece:
-            state, emitted = state.steps.get(byte) or self._step(state, byte)
+        for i, byte in enumerate(piece):
+            step = state.steps.get(byte, 0)
+            if not step:
+                if step == 0:
+                    state.steps[byte] = None
+                    return ids + self._finish(state, piece[i:])
+                step = self._step(state, byte)
+            state, emitted = step
             if emitted:
                 ids += emitted
-        if state.rest is None:
-            state.rest = tuple(state.last[e] for e in self._ends(state.last, len(state.pending))[-2::-1])
-        return [*ids, *state.rest]
+        return ids + self._finish(state, b"")
+
+
+class _Pieces(dict):
+    """The ids (little-endian 32-bit) of the pieces that have been met."""
+
+    def __init__(self, transducer: Transducer):
+        super().__init__()
+        self.transducer = transducer
+        self.packed = {i: i.to_bytes(4, "little") for i in transducer.bytes_of}
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = b"".join(map(self.packed.__getitem__, self.transducer.encode(piece.encode())))
+        if len(piece) <= LONG_UNIT:
+            if len(self) >= MAX_UNITS:
+                self.clear()
+            self[piece] = ids
+        return ids
 
 
 class Encoder(dict):
-    """Texts to ids; a dict of the ids (little-endian 32-bit) of the pieces between spaces that it has met."""
+    """Texts to ids; a dict of the ids of the stretches between spaces that have been met."""
 
     #: A space that stands between blanks belongs to a longer blank piece, so the text can't be cut there.
     _UNCUT = regex.compile(r"\s (?:\s|\Z)")
@@ -134,12 +231,11 @@ class Encoder(dict):
     def __init__(self, ranks_path: str, pattern: str):
         super().__init__()
         with open(ranks_path, "rb") as f:
-            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        self.transducer, self.pattern = Transducer(ranks), regex.compile(pattern)
+            self.of_pieces = _Pieces(Transducer({base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}))
+        self.cut = regex.compile(pattern).findall
 
     def __missing__(self, unit: str) -> bytes:
-        encode = self.transducer.encode
-        ids = np.array([i for piece in self.pattern.findall(unit) for i in encode(piece.encode())], "<u4").tobytes()
+        ids = b"".join(map(self.of_pieces.__getitem__, self.cut(unit)))
         if len(unit) <= LONG_UNIT:
             if len(self) >= MAX_UNITS:
                 self.clear()
@@ -148,7 +244,7 @@ class Encoder(dict):
 
     def ids(self, text: str) -> bytes:
         if self._UNCUT.search(text):
-            return b"".join(map(self.__getitem__, self.pattern.findall(text)))
+            return b"".join(map(self.of_pieces.__getitem__, self.cut(text)))
         first, *others = text.split(" ")
         return b"".join(map(self.__getitem__, [first, *[" " + x for x in others]]))
 
@@ -192,6 +288,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
 
     def run(batches):
         own = encoder(ranks_path, pattern)
+        gc.disable()  # it would walk all states again and again, and there is no garbage in circles
         for batch, texts in pieces(batches):
             yield _with(batch, ids=pa.array([own.ids(t) for t in texts.to_pylist()], pa.binary()))
 
