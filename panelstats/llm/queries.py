@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from panelstats.plans.ship import ship
 from panelstats.sources import table
 
-from . import bpe, line_dedup, mixing, quality_rules, storage
+from . import bpe, line_dedup, mixing, quality_rules, storage, token_files, topk
 
 QUERIES, ORACLES = {}, {}
 
@@ -29,6 +29,12 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(measured).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+@_query
+def op1_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, _ = storage.save(topk.quantise(table(spark, sf_dir, "embeddings")), "vectors")
+    return topk.top_k(rows.filter("vec_id % 20 = 0"), rows, 20)
+
+
 @_query
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -51,6 +57,14 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.plan(sized).select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
+@_query
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    files = token_files.write(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), 2)
+    return token_files.read(files, crc_only=True)
+
+
 #: Blanks as a DuckDB string, and documents as words and lines.
 _BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
@@ -97,3 +111,11 @@ r AS (SELECT d.doc_id, d.size, t.source_size, t.target, CASE WHEN t.source_size
   ('0x' || substr(md5('8:' || coalesce(d.doc_id::VARCHAR, '')), 1, 8))::BIGINT / 4294967296.0::DOUBLE AS u FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
 SELECT doc_id, size, source_size, target, (size * (floor(rate) + CASE WHEN u < rate - floor(rate) THEN 1 ELSE 0 END))::BIGINT AS taken FROM r
 """
+
+ORACLES["op1_topk_search"] = """
+WITH e AS (SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score FROM e q JOIN e c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id),
+r AS (SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INT AS rank, vec_id, score FROM s)
+SELECT * FROM r WHERE rank <= 20
+"""
