@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from panelstats.plans.ship import ship
 from panelstats.sources import table
 
-from . import bpe, line_dedup, mixing, quality_rules, storage, token_files, topk
+from . import bpe, line_dedup, lm_scoring, mixing, ngram_join, quality_rules, storage, token_files, topk
 
 QUERIES, ORACLES = {}, {}
 
@@ -65,6 +65,16 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read(files, crc_only=True)
 
 
+@_query
+def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score(table(spark, sf_dir, "documents"))
+
+
+@_query
+def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.link_components(table(spark, sf_dir, "documents"))
+
+
 #: Blanks as a DuckDB string, and documents as words and lines.
 _BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
@@ -119,3 +129,14 @@ s AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGIN
 r AS (SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INT AS rank, vec_id, score FROM s)
 SELECT * FROM r WHERE rank <= 20
 """
+
+ORACLES["op10_ngram_join"] = f"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i+4], ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+o AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+l AS (SELECT a, b FROM o JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 80 * (x.n + y.n - c)),
+r AS (SELECT a AS node, b AS seen FROM l UNION SELECT r.node, l.b FROM r JOIN l ON r.seen = l.a)
+SELECT d.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, least(d.doc_id, coalesce(min(r.seen), d.doc_id)) AS component_id
+FROM d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN r ON r.node = d.doc_id GROUP BY d.doc_id
+"""
