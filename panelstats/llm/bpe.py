@@ -23,6 +23,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StringType, StructField, StructType
 
 from .text import pieces
 
@@ -293,7 +294,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
             yield _with(batch, ids=pa.array([own.ids(t) for t in texts.to_pylist()], pa.binary()))
 
     docs = docs.drop("ids")
-    return docs.mapInArrow(run, docs.schema.add("ids", "binary"))
+    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField("ids", BinaryType())]))
 
 
 def decode(rows: DataFrame, ranks_path: str, to: str = "decoded") -> DataFrame:
@@ -308,7 +309,7 @@ def decode(rows: DataFrame, ranks_path: str, to: str = "decoded") -> DataFrame:
                 yield _with(part, **{to: pa.array(["".join(own.stream(x or b"")) for x in ids], pa.string())})
 
     rows = rows.drop(to)
-    return rows.mapInArrow(run, rows.schema.add(to, "string"))
+    return rows.mapInArrow(run, StructType([*rows.schema.fields, StructField(to, StringType())]))
 
 
 def digests() -> list:
