@@ -24,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from .storage import drop, save
 from .text import BLANKS, pieces
@@ -150,8 +151,7 @@ def dedup_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, batches
     lost, lost_path = save(lost, "lost-lines")
     runs.drop()
     drop(spark, path)
-    both = docs.join(lost.withColumnRenamed("doc_id", "_doc"), F.col("doc_id") == F.col("_doc"), "left").drop("_doc")
-    schema = docs.schema
-    for name in ("n_lines", "n_dropped"):
-        schema = schema.add(name, "long")
+    # The same join at every size: a broadcast of the lost keys would grow with the documents.
+    both = docs.join(lost.withColumnRenamed("doc_id", "_doc").hint("merge"), F.col("doc_id") == F.col("_doc"), "left").drop("_doc")
+    schema = StructType([*docs.schema.fields, StructField("n_lines", LongType()), StructField("n_dropped", LongType())])
     return both.mapInArrow(_kept(to_arrow_schema(schema), min_chars), schema)
