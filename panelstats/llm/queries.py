@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from panelstats.plans.ship import ship
 from panelstats.sources import table
 
-from . import bpe, line_dedup, lm_scoring, mixing, ngram_join, quality_rules, storage, token_files, topk
+from . import bpe, cotraining, line_dedup, lm_scoring, mixing, ngram_join, pii, quality_rules, storage, token_files, topk
 
 QUERIES, ORACLES = {}, {}
 
@@ -46,8 +46,8 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    ids = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), ranks, public_tokenizers.PATTERN)
-    return bpe.decode(ids.select("doc_id", "ids"), ranks).select("doc_id", *bpe.digests())
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return bpe.encode(docs, ranks, public_tokenizers.PATTERN, decoded="decoded").select("doc_id", *bpe.digests())
 
 
 @_query
@@ -75,6 +75,18 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.link_components(table(spark, sf_dir, "documents"))
 
 
+@_query
+def op6_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cotraining.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@_query
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    counts = [pii.number(k).alias(f"n_{k}") for k in pii.KINDS]
+    return found.select("doc_id", *counts, F.sha2(pii.joined("base_spans"), 256).alias("base_sha256"), pii.joined("spans").alias("spans"), F.size("spans").cast("long").alias("n_spans"))
+
+
 #: Blanks as a DuckDB string, and documents as words and lines.
 _BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
