@@ -1,8 +1,65 @@
-"""The training-text pipeline: every stage works on what its predecessor kept."""
+"""The training-text pipeline: documents that fail the quality rules go, lines that many documents share stay
+in one of them, of each group of near copies one document stays, sources are mixed to their weights, and what
+is left becomes token ids.
 
-STAGES = []
+Every stage works on all that its predecessor kept, and its result is written before the next one reads it.
+All but the last return the columns of ``documents``; ``n_chars`` follows the text. Rows without doc_id are
+kept by every stage. A test runs the whole of it against a brute-force version, since SQL can't express the
+last stage.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from panelstats.llm import bpe, line_dedup, mixing, ngram_join, quality_rules
+from panelstats.llm.storage import save
+from panelstats.plans.ship import ship
+from panelstats.sources import table
+
+
+def _rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return quality_rules.filter_documents(docs)
+
+
+def _lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship(spark)
+    return line_dedup.dedup_lines(docs).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+
+
+def _copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of each component stays; of rows that repeat a doc_id, one."""
+    ship(spark)
+    gone = ngram_join.link_components(docs).filter("component_id <> doc_id").select("doc_id").distinct()
+    kept = docs.join(gone.hint("merge"), "doc_id", "left_anti").select(*docs.columns)
+    if docs.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").isEmpty():
+        return kept
+    once = kept.filter("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
+    return once.unionByName(kept.filter("doc_id IS NULL"))
+
+
+def _mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return mixing.mix(docs)
+
+
+def _tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, source, n_tokens, ids (little-endian unsigned 32-bit) and whether they decode to the text."""
+    import public_tokenizers
+
+    ship(spark)
+    encoded = bpe.encode(docs.select("doc_id", "source", "text"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN, decoded="decoded")
+    return encoded.select("doc_id", "source", (F.length("ids") / 4).cast("long").alias("n_tokens"), "ids", (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("decodes"))
+
+
+STAGES = [("quality rules", _rules), ("line dedup", _lines), ("n-gram Jaccard join", _copies), ("mixing to target weights", _mix), ("byte-level BPE", _tokens)]
+
+#: The last stage has no SQL form.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs, _ = save(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    return STAGES[-1][1](spark, docs, sf_dir)
