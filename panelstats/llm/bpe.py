@@ -28,7 +28,7 @@ from pyspark.sql.types import BinaryType, StringType, StructField, StructType
 from .text import pieces
 
 #: Cached pieces, states and pairs at most, in each Python worker.
-MAX_UNITS, MAX_STATES, MAX_PAIRS, LONG_UNIT = 250_000, 60_000, 500_000, 48
+MAX_UNITS, MAX_STATES, MAX_PAIRS, LONG_UNIT = 150_000, 60_000, 500_000, 48
 
 
 _NEVER = 1 << 60
@@ -206,48 +206,55 @@ class Transducer:
         return ids + self._finish(state, b"")
 
 
-class _Pieces(dict):
-    """The ids (little-endian 32-bit) of the pieces that have been met."""
+class _Known(dict):
+    """Ids (little-endian 32-bit) by text; the texts of the last but one filling stay at hand."""
 
-    def __init__(self, transducer: Transducer):
+    def __init__(self, make, most: int = MAX_UNITS):
         super().__init__()
-        self.transducer = transducer
-        self.packed = {i: i.to_bytes(4, "little") for i in transducer.bytes_of}
-
-    def __missing__(self, piece: str) -> bytes:
-        ids = b"".join(map(self.packed.__getitem__, self.transducer.encode(piece.encode())))
-        if len(piece) <= LONG_UNIT:
-            if len(self) >= MAX_UNITS:
-                self.clear()
-            self[piece] = ids
+        self.make, self.most, self.older = make, most, {}
+
+    def __missing__(self, text: str) -> bytes:
+        ids = self.older.get(text)
+        if ids is None:
+            ids = self.make(text)
+            if len(text) > LONG_UNIT:
+                return ids
+        if len(self) >= self.most:
+            self.older = dict(self)
+            self.clear()
+        self[text] = ids
         return ids
 
 
-class Encoder(dict):
-    """Texts to ids; a dict of the ids of the stretches between spaces that have been met."""
+class Encoder:
+    """Texts to ids, by the stretches between spaces and line ends, which are kept when met."""
 
-    #: A space that stands between blanks belongs to a longer blank piece, so the text can't be cut there.
-    _UNCUT = regex.compile(r"\s (?:\s|\Z)")
+    #: Where blanks stand together a piece can span them: such texts are cut by the pattern alone, at spaces or
+    #: at line ends.
+    _NO_SPACE_CUT = regex.compile(r"\s (?:\s|\Z)")
+    _NO_LINE_CUT = regex.compile(r"\s\n|\n(?:\s|\Z)|\s\Z")
 
     def __init__(self, ranks_path: str, pattern: str):
-        super().__init__()
         with open(ranks_path, "rb") as f:
-            self.of_pieces = _Pieces(Transducer({base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}))
-        self.cut = regex.compile(pattern).findall
-
-    def __missing__(self, unit: str) -> bytes:
-        ids = b"".join(map(self.of_pieces.__getitem__, self.cut(unit)))
-        if len(unit) <= LONG_UNIT:
-            if len(self) >= MAX_UNITS:
-                self.clear()
-            self[unit] = ids
-        return ids
+            transducer = Transducer({base64.b64decode(a): int(b) for a, b in map(bytes.split, f)})
+        packed = {i: i.to_bytes(4, "little") for i in transducer.bytes_of}
+        self.cut = cut = regex.compile(pattern).findall
+        self.pieces = _Known(lambda piece: b"".join(map(packed.__getitem__, transducer.encode(piece.encode()))))
+        piece = self.pieces.__getitem__
+        self.first = _Known(lambda unit: b"".join(map(piece, cut(unit))))
+        self.spaced = _Known(lambda unit: b"".join(map(piece, cut(" " + unit))))
+        self.transducer = transducer
+
+    def _line(self, line: str) -> bytes:
+        first, *others = line.split(" ")
+        return self.first[first] + b"".join(map(self.spaced.__getitem__, others))
 
     def ids(self, text: str) -> bytes:
-        if self._UNCUT.search(text):
-            return b"".join(map(self.of_pieces.__getitem__, self.cut(text)))
-        first, *others = text.split(" ")
-        return b"".join(map(self.__getitem__, [first, *[" " + x for x in others]]))
+        if self._NO_SPACE_CUT.search(text):
+            return b"".join(map(self.pieces.__getitem__, self.cut(text)))
+        if "\n" not in text or self._NO_LINE_CUT.search(text):
+            return self._line(text)
+        return self.pieces["\n"].join(map(self._line, text.split("\n")))
 
 
 class Decoder:
@@ -283,18 +290,21 @@ def _with(batch: pa.RecordBatch, **columns: pa.Array) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([*[batch.column(batch.schema.get_field_index(n)) for n in names], *columns.values()], [*names, *columns])
 
 
-def encode(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
+def encode(docs: DataFrame, ranks_path: str, pattern: str, decoded: str | None = None) -> DataFrame:
     """Adds ``ids``, the token ids of each text as little-endian unsigned 32-bit integers in a binary, in one
-    pass without a shuffle. Extra columns stay; one named ``ids`` gives way."""
+    pass without a shuffle, and with ``decoded`` a column of that name with their text, from the same pass.
+    Extra columns stay; those named like a result column give way."""
 
     def run(batches):
-        own = encoder(ranks_path, pattern)
+        own, back = encoder(ranks_path, pattern), decoder(ranks_path)
         gc.disable()  # it would walk all states again and again, and there is no garbage in circles
         for batch, texts in pieces(batches):
-            yield _with(batch, ids=pa.array([own.ids(t) for t in texts.to_pylist()], pa.binary()))
+            ids = [own.ids(t) for t in texts.to_pylist()]
+            more = {decoded: pa.array(["".join(back.stream(x)) for x in ids], pa.string())} if decoded else {}
+            yield _with(batch, ids=pa.array(ids, pa.binary()), **more)
 
-    docs = docs.drop("ids")
-    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField("ids", BinaryType())]))
+    docs = docs.drop("ids", *[decoded] * bool(decoded))
+    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField("ids", BinaryType()), *[StructField(decoded, StringType())] * bool(decoded)]))
 
 
 def decode(rows: DataFrame, ranks_path: str, to: str = "decoded") -> DataFrame:
