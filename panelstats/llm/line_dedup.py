@@ -147,10 +147,12 @@ def dedup_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, batches
     runs = Runs(spark, min_docs, fanout)
     for i in range(batches):
         runs.add(lines.filter(F.col("batch") == i).groupBy("k1", "k2").agg(F.count("*").alias("n"), F.max("doc_id").alias("last")))
-    lost = lines.join(runs.frequent(), ["k1", "k2"]).filter("doc_id < last").groupBy("doc_id").agg(F.collect_list("k1").alias("_k1"), F.collect_list("k2").alias("_k2"))
+    # A table of its own, so that both sides of the join are plain and Spark can split the task of a very common line.
+    frequent, frequent_path = save(runs.frequent(), "frequent-lines")
+    lost = lines.join(frequent.hint("merge"), ["k1", "k2"]).filter("doc_id < last").groupBy("doc_id").agg(F.collect_list("k1").alias("_k1"), F.collect_list("k2").alias("_k2"))
     lost, lost_path = save(lost, "lost-lines")
     runs.drop()
-    drop(spark, path)
+    drop(spark, path, frequent_path)
     # The same join at every size: a broadcast of the lost keys would grow with the documents.
     both = docs.join(lost.withColumnRenamed("doc_id", "_doc").hint("merge"), F.col("doc_id") == F.col("_doc"), "left").drop("_doc")
     schema = StructType([*docs.schema.fields, StructField("n_lines", LongType()), StructField("n_dropped", LongType())])
