@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .graph import components
-from .storage import drop, save
+from .storage import drop, release, save
 from .text import mix, pieces, word_bounds, word_hashes
 
 #: Bits of the bitmap of frequent shingles, shingles that mark it at most, and the count that makes one frequent.
@@ -103,7 +103,7 @@ def _bitmap(counts: DataFrame) -> np.ndarray:
     """Marks of the most repeated shingles; at most MARKS numbers come to the driver."""
     top = counts.groupBy("a").agg(F.sum("b").alias("n")).filter(F.col("n") >= FREQUENT).orderBy(F.col("n").desc(), "a").limit(MARKS)
     marks = np.zeros(1 << BITMAP_BITS, bool)
-    marks[top.select((F.col("a").bitwiseAND((1 << BITMAP_BITS) - 1)).cast("int").alias("bit")).distinct().toPandas()["bit"].to_numpy(np.int64)] = True
+    marks[top.select((F.col("a").bitwiseAND((1 << BITMAP_BITS) - 1)).cast("int").alias("bit")).distinct().toArrow()["bit"].to_numpy()] = True
     return marks
 
 
@@ -186,11 +186,14 @@ def link_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame
     shared = prefixes.groupBy("token").agg(F.count("*").alias("c")).filter("c > 1").select("token")
     shared = prefixes.join(shared.hint("merge"), "token", "left_semi")
     shared, s_path = save(shared.join(rep_of.hint("merge"), "doc_id").select("token", F.col("rep").alias("doc_id"), "n").distinct(), "shared")
-    drop(spark, p_path)
+    del prefixes
+    drop(spark, p_path, m_path, c_path)
+    release(spark)
 
     # Texts of the documents that share a prefix shingle with another; all comparing is among them.
     involved = shared.select("doc_id").distinct()
     texts, t_path = save(docs.join(involved.hint("merge"), "doc_id", "left_semi"), "involved")
+    release(spark)
 
     # Groups: each document with the pivot (smallest document of a shingle) it shares most with, once proved.
     pivots = shared.groupBy("token").agg(F.min("doc_id").alias("pivot"), F.count("*").alias("c")).filter("c > 1").select("token", "pivot")
@@ -198,6 +201,7 @@ def link_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame
     pairs = with_pivot.groupBy("doc_id").agg(F.max_by("pivot", F.struct("c", -F.col("pivot"))).alias("b")).select(F.col("doc_id").alias("a"), "b")
     pairs = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")).hint("merge"), "a").join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")).hint("merge"), "b")
     near, n_path = save(_proved(pairs, n, percent), "near")
+    release(spark)
     first, f_path = save(components(near), "groups")
 
     # The matrix: shingles met in more than one component, with the chunks of members that have them.
@@ -218,6 +222,7 @@ def link_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame
     asked = asked.join(texts.select(F.col("doc_id").alias("q"), "text").hint("merge"), "q").join(filled.hint("merge"), ["component", "chunk"])
     asked = asked.withColumn("g", F.concat_ws(":", "component", "chunk"))
     links, k_path = save(near.unionByName(_opened(asked, n, percent)), "links")
+    release(spark)
     final, _ = save(components(links), "components")
-    drop(spark, m_path, c_path, s_path, t_path, n_path, f_path, l_path, a_path, k_path)
+    drop(spark, s_path, t_path, n_path, f_path, l_path, a_path, k_path)
     return members.join(final.hint("merge"), F.col("rep") == F.col("node"), "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "rep").alias("component_id"))

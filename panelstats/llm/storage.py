@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -31,3 +32,10 @@ def drop(spark: SparkSession, *paths: str) -> None:
     for path in paths:
         where = spark._jvm.org.apache.hadoop.fs.Path(path)
         where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def release(spark: SparkSession) -> None:
+    """Lets Spark delete the shuffle files of finished steps now: it does so once the driver's garbage collector
+    has met the plans, which may be long after the last use when the driver has little to do."""
+    gc.collect()
+    spark._jvm.System.gc()
