@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from .storage import save
 from .text import mix, pieces, word_bounds, word_hashes
 
-MAX_FILTER_MB, HEAD_WORDS = 64, 1_000_000
+MAX_FILTER_MB, HEAD_WORDS = 64, 500_000
 #: Bits for each entry and level, probes for each, the weight of pairs, and characters of text for each shard.
 BITS, PROBES, PAIR_WEIGHT, SHARD_CHARS = 8, 4, 0.4, 1 << 24
 #: Tokens that a task counts together.
@@ -137,7 +137,7 @@ def _counted(docs: DataFrame, shards: int) -> DataFrame:
     return docs.select("text").mapInArrow(run, "kind int, shard int, keys binary, counts binary")
 
 
-def _summed(key, part: pd.DataFrame) -> pd.DataFrame:
+def _summed(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
     """One shard: the counts of its keys, words only, and its filter."""
     kind, shard = key
     keys = np.concatenate([np.frombuffer(x, "<u8") for x in part["keys"]])
@@ -178,10 +178,10 @@ def _head(counts: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray, int]:
     least = fit.agg(F.min("c")).head()[0]
     if least is None:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64), 1 << 62
-    head = counts.filter(F.col("c") >= least).toPandas()
-    keys = head["key"].to_numpy(np.int64).view(np.uint64)
+    head = counts.filter(F.col("c") >= least).toArrow()  # 16 bytes a word, never rows of objects
+    keys = head["key"].to_numpy().view(np.uint64)
     order = np.argsort(keys)
-    return keys[order], head["c"].to_numpy(np.int64)[order], least
+    return keys[order], head["c"].to_numpy()[order], least
 
 
 def _find(keys: np.ndarray, sought: np.ndarray) -> np.ndarray:
