@@ -12,7 +12,10 @@ ordered by text, and rows without doc_id come first; an empty table gives no fil
 
 from __future__ import annotations
 
+import gc
 import os
+import re
+import unicodedata
 import zlib
 from functools import lru_cache
 
@@ -108,10 +111,18 @@ def decode_ids(payload: bytes) -> np.ndarray:
 
 
 class Encoder:
-    """Texts to ids. The tokenizer drops white space and never joins what stands on both sides of it, so the ids
-    of a text are those of its words; the words that have been met are kept."""
-
-    MAX_WORDS, LONG_WORD = 400_000, 48
+    """Texts to ids. The tokenizer composes and lower-cases, drops white space, and cuts what is left into letters,
+    single digits and other marks before its merges, so the ids of a text are those of its words, and those of a
+    word are those of its pieces. Words and pieces that have been met are kept; only new pieces are given to the
+    tokenizer, runs of plain letters many at a time."""
+
+    MAX_WORDS, LONG_WORD, TOGETHER = 250_000, 48, 256
+    #: Below U+0300 nothing composes, so there capitals may be folded first.
+    _BEYOND = re.compile("[^\0-\u02ff]")
+    #: As the tokenizer cuts lower-case ASCII.
+    _ASCII = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
+    _LETTERS = re.compile(rb"[a-z]+")
+    _CLOSING = ".,;:!?"
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -119,19 +130,56 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.known: dict[bytes, bytes] = {}
+        self.words: dict[bytes, bytes] = {}
+        self.pieces: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}  # words of the last but one filling
+
+    def _cut(self, word: bytes) -> list[bytes]:
+        if word.isascii():
+            return self._ASCII.findall(word.lower())
+        text = word.decode()
+        core = text.rstrip(self._CLOSING)
+        # a mark would go on into what closes the word; some letters end in one when composed or lower-cased
+        ends = unicodedata.normalize("NFC", core[-1:]).lower()[-1:].isalpha()
+        return [core.encode(), text[len(core) :].encode()] if ends and len(core) < len(text) else [word]
+
+    def _encoded(self, pieces: list[bytes]) -> dict[bytes, bytes]:
+        out: dict[bytes, bytes] = {}
+        letters = [p for p in pieces if self._LETTERS.fullmatch(p)]
+        for i in range(0, len(letters), self.TOGETHER):
+            some = letters[i : i + self.TOGETHER]
+            e = self.tokenizer.encode(b" ".join(some).decode(), add_special_tokens=False)
+            ids, cuts = np.array(e.ids, "<u4").tobytes(), np.searchsorted(e.word_ids, np.arange(len(some) + 1)) * 4
+            out.update((p, ids[a:b]) for p, a, b in zip(some, cuts[:-1].tolist(), cuts[1:].tolist()))
+        others = [p for p in pieces if p not in out]
+        for p, e in zip(others, self.tokenizer.encode_batch([p.decode() for p in others], add_special_tokens=False) if others else ()):
+            out[p] = np.array(e.ids, "<u4").tobytes()
+        return out
+
+    def _new(self, words: list[bytes]) -> dict[bytes, bytes]:
+        out = {w: ids for w in words if (ids := self.older.get(w)) is not None}
+        cut = {w: self._cut(w) for w in words if w not in out}
+        ids = {p: self.pieces.get(p) for parts in cut.values() for p in parts}
+        made = self._encoded([p for p, own in ids.items() if own is None])
+        ids |= made
+        if len(self.pieces) > self.MAX_WORDS:
+            self.pieces.clear()
+        self.pieces.update((p, own) for p, own in made.items() if len(p) <= self.LONG_WORD)
+        for w, parts in cut.items():
+            out[w] = ids[parts[0]] if len(parts) == 1 else b"".join([ids[p] for p in parts])
+        if len(self.words) > self.MAX_WORDS:
+            self.words, self.older = {}, self.words
+        self.words.update((w, own) for w, own in out.items() if len(w) <= self.LONG_WORD)
+        return out
 
     def ids(self, text: str) -> bytes:
         """Little-endian unsigned 32-bit ids."""
-        words = text.encode().split()  # at ASCII blanks; other blanks are left to the tokenizer
-        found = list(map(self.known.get, words))
+        data = text.encode()
+        words = (data if self._BEYOND.search(text) else data.lower()).split()  # other blanks are left to the tokenizer
+        found = list(map(self.words.get, words))
         if None in found:
-            new = list({w for w, ids in zip(words, found) if ids is None})
-            made = {w: np.array(e.ids, "<u4").tobytes() for w, e in zip(new, self.tokenizer.encode_batch([w.decode() for w in new], add_special_tokens=False))}
+            made = self._new(list({w for w, ids in zip(words, found) if ids is None}))
             found = [made[w] if ids is None else ids for w, ids in zip(words, found)]
-            if len(self.known) + len(made) > self.MAX_WORDS:
-                self.known.clear()
-            self.known.update((w, ids) for w, ids in made.items() if len(w) <= self.LONG_WORD)
         return b"".join(found)
 
 
@@ -146,6 +194,7 @@ def write(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame:
     end = np.array([end_id], "<u4").tobytes()
 
     def files(batches):
+        gc.disable()  # nothing here is garbage in circles, and the collector would walk all known words
         own, part, number = encoder(tokenizer_path), TaskContext.get().partitionId(), 0
         docs_in, lengths, ids = [], [], []
 
@@ -165,6 +214,7 @@ def write(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame:
                     docs_in, lengths, ids = [], [], []
         if docs_in:
             yield closed()
+        gc.enable()
 
     ordered = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
     return save(ordered.mapInArrow(files, _FILES), "token-files")[0]
