@@ -27,8 +27,9 @@ from pyspark.sql.types import BinaryType, StringType, StructField, StructType
 
 from .text import pieces
 
-#: Cached pieces, states and pairs at most, in each Python worker.
-MAX_UNITS, MAX_STATES, MAX_PAIRS, LONG_UNIT = 150_000, 60_000, 500_000, 48
+#: Cached stretches and pieces (twice as many while one filling gives way to the next), states and pairs at most,
+#: in each Python worker, for each unit of ``cache``: about 150 MB. A larger cache only saves time.
+MAX_UNITS, MAX_PIECES, MAX_STATES, MAX_PAIRS, LONG_UNIT = 60_000, 120_000, 30_000, 200_000, 48
 
 
 _NEVER = 1 << 60
@@ -47,8 +48,8 @@ class _State:
 class Transducer:
     """Maps the bytes of one piece to token ids."""
 
-    def __init__(self, ranks: dict[bytes, int]):
-        self.ranks = ranks
+    def __init__(self, ranks: dict[bytes, int], cache: int = 1):
+        self.ranks, self.cache = ranks, cache
         self.bytes_of = {v: k for k, v in ranks.items()}
         self.length = {v: len(k) for k, v in ranks.items()}
         #: A trie of the tokens; ``goto`` also gets the steps by way of shorter ends, when they are met.
@@ -108,7 +109,7 @@ class Transducer:
         return [self.ranks[p] for p in parts]
 
     def _stable(self, before: int, token: int) -> bool:
-        if len(self.pairs) >= MAX_PAIRS:
+        if len(self.pairs) >= MAX_PAIRS * self.cache:
             self.pairs.clear()
         ok = self.pairs[before << 20 | token] = self.merged(self.bytes_of[before] + self.bytes_of[token]) == [before, token]
         return ok
@@ -182,7 +183,7 @@ class Transducer:
                 pending, last = pending[cut:], [None, *last[cut + 1 :]]
         key = (before, pending)
         if (to := self.states.get(key)) is None:
-            if len(self.states) >= MAX_STATES:
+            if len(self.states) >= MAX_STATES * self.cache:
                 self._reset()
             to = self.states[key] = _State(before, pending, last, node)
         made = state.steps[byte] = (to, emitted)
@@ -209,7 +210,7 @@ class Transducer:
 class _Known(dict):
     """Ids (little-endian 32-bit) by text; the texts of the last but one filling stay at hand."""
 
-    def __init__(self, make, most: int = MAX_UNITS):
+    def __init__(self, make, most: int):
         super().__init__()
         self.make, self.most, self.older = make, most, {}
 
@@ -234,15 +235,25 @@ class Encoder:
     _NO_SPACE_CUT = regex.compile(r"\s (?:\s|\Z)")
     _NO_LINE_CUT = regex.compile(r"\s\n|\n(?:\s|\Z)|\s\Z")
 
-    def __init__(self, ranks_path: str, pattern: str):
+    def __init__(self, ranks_path: str, pattern: str, cache: int = 1):
         with open(ranks_path, "rb") as f:
-            transducer = Transducer({base64.b64decode(a): int(b) for a, b in map(bytes.split, f)})
+            transducer = Transducer({base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}, cache)
         packed = {i: i.to_bytes(4, "little") for i in transducer.bytes_of}
         self.cut = cut = regex.compile(pattern).findall
-        self.pieces = _Known(lambda piece: b"".join(map(packed.__getitem__, transducer.encode(piece.encode()))))
+        self.pieces = _Known(lambda piece: b"".join(map(packed.__getitem__, transducer.encode(piece.encode()))), MAX_PIECES * cache)
         piece = self.pieces.__getitem__
-        self.first = _Known(lambda unit: b"".join(map(piece, cut(unit))))
-        self.spaced = _Known(lambda unit: b"".join(map(piece, cut(" " + unit))))
+
+        def after_space(unit: str) -> bytes:
+            """Letters, and letters with closing marks, need no pattern."""
+            if unit.isalpha():
+                return piece(" " + unit)
+            core = unit.rstrip(".,;:!?")
+            if core.isalpha():
+                return piece(" " + core) + piece(unit[len(core) :])
+            return b"".join(map(piece, cut(" " + unit)))
+
+        self.first = _Known(lambda unit: b"".join(map(piece, cut(unit))), MAX_UNITS * cache)
+        self.spaced = _Known(after_space, MAX_UNITS * cache)
         self.transducer = transducer
 
     def _line(self, line: str) -> bytes:
@@ -275,9 +286,9 @@ class Decoder:
 
 
 @lru_cache(1)
-def encoder(ranks_path: str, pattern: str) -> Encoder:
+def encoder(ranks_path: str, pattern: str, cache: int = 1) -> Encoder:
     """One for each Python worker."""
-    return Encoder(ranks_path, pattern)
+    return Encoder(ranks_path, pattern, cache)
 
 
 @lru_cache(1)
@@ -290,21 +301,25 @@ def _with(batch: pa.RecordBatch, **columns: pa.Array) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([*[batch.column(batch.schema.get_field_index(n)) for n in names], *columns.values()], [*names, *columns])
 
 
-def encode(docs: DataFrame, ranks_path: str, pattern: str, decoded: str | None = None) -> DataFrame:
+def encode(docs: DataFrame, ranks_path: str, pattern: str, decoded: str | None = None, cache: int = 1) -> DataFrame:
     """Adds ``ids``, the token ids of each text as little-endian unsigned 32-bit integers in a binary, in one
     pass without a shuffle, and with ``decoded`` a column of that name with their text, from the same pass.
     Extra columns stay; those named like a result column give way."""
 
     def run(batches):
-        own, back = encoder(ranks_path, pattern), decoder(ranks_path)
+        own, back = encoder(ranks_path, pattern, cache), decoder(ranks_path)
         gc.disable()  # it would walk all states again and again, and there is no garbage in circles
-        for batch, texts in pieces(batches):
-            ids = [own.ids(t) for t in texts.to_pylist()]
-            more = {decoded: pa.array(["".join(back.stream(x)) for x in ids], pa.string())} if decoded else {}
-            yield _with(batch, ids=pa.array(ids, pa.binary()), **more)
-
-    docs = docs.drop("ids", *[decoded] * bool(decoded))
-    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField("ids", BinaryType()), *[StructField(decoded, StringType())] * bool(decoded)]))
+        try:
+            for batch, texts in pieces(batches):
+                ids = [own.ids(t) for t in texts.to_pylist()]
+                more = {decoded: pa.array(["".join(back.stream(x)) for x in ids], pa.string())} if decoded else {}
+                yield _with(batch, ids=pa.array(ids, pa.binary()), **more)
+        finally:
+            gc.enable()
+
+    added = [StructField("ids", BinaryType())] + ([StructField(decoded, StringType())] if decoded else [])
+    docs = docs.drop(*[f.name for f in added])
+    return docs.mapInArrow(run, StructType([*docs.schema.fields, *added]))
 
 
 def decode(rows: DataFrame, ranks_path: str, to: str = "decoded") -> DataFrame:

@@ -47,7 +47,7 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return bpe.encode(docs, ranks, public_tokenizers.PATTERN, decoded="decoded").select("doc_id", *bpe.digests())
+    return bpe.encode(docs, ranks, public_tokenizers.PATTERN, decoded="decoded", cache=3).select("doc_id", *bpe.digests())
 
 
 @_query
