@@ -13,6 +13,8 @@ share of good labels (1 without labels); an empty table gives an empty result.
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -102,13 +104,19 @@ def score(docs: DataFrame, labels: DataFrame, rounds: int = ROUNDS, max_labelled
     known = labels.filter("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id").agg(F.min(F.when(F.col("quality") > 0, 1.0).otherwise(0.0)).alias("y"))
     rows = docs.select("doc_id", F.array(*text_view()).alias("t"), F.array(*metadata_view()).alias("m"))
     rows, _ = save(rows.join(known.hint("merge"), "doc_id", "left"), "views")
-    sample = rows.filter("y IS NOT NULL").orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled).toPandas()
+    # A share of the hashes first, so that a task orders no more than its part of the sample; the rows are written
+    # before they are collected, so that the driver gets the sample and not each task's candidates for it.
+    labelled, h = rows.filter("y IS NOT NULL"), F.xxhash64("doc_id")
+    share = min(1.0, 2 * max_labelled / max(1, labelled.count()))
+    labelled = labelled.filter(h <= F.lit(int(-(2**63) + share * (2**64 - 2**11))).cast("long"))
+    sample = save(labelled.orderBy(h, "doc_id").limit(max_labelled), "sample")[0].toPandas()
+    sample = sample.iloc[np.lexsort((sample["doc_id"],))]
     t, m = (np.stack(sample[c]) if len(sample) else np.zeros((0, 1)) for c in ("t", "m"))
     y = sample["y"].to_numpy(float)
     if len(set(y)) < 2:
         share = F.lit(float(y.mean()) if len(y) else 1.0)
         return rows.select("doc_id", F.col("y").isNotNull().alias("labelled"), share.alias("p_text"), share.alias("p_metadata"), share.alias("score"), (share >= 0.5).alias("kept"))
-    apart = np.arange(len(y)) % 5 == 0  # rows come in the order of a hash
+    apart = np.random.default_rng(6).permutation(len(y)) % 5 == 0
     if len(set(y[apart])) < 2:
         apart[:] = True
     train = ~apart if len(set(y[~apart])) == 2 else np.ones(len(y), bool)
@@ -124,11 +132,13 @@ def score(docs: DataFrame, labels: DataFrame, rounds: int = ROUNDS, max_labelled
         free = rows.filter("y IS NULL AND doc_id IS NOT NULL")
         if handed:  # 4 * HANDED * rounds ids at most
             free = free.join(F.broadcast(spark.createDataFrame([(i,) for i in handed], "doc_id long")), "doc_id", "left_anti")
-        new = []
+        surest = []
         for view, own, other in ((views[0], "t", "m"), (views[1], "m", "t")):
-            odds = free.select("doc_id", F.col(other).alias("x"), view.column(own).alias("odds"))
+            odds = free.select(F.lit(other).alias("to"), "doc_id", F.col(other).alias("x"), view.column(own).alias("odds"))
             for sure, order, label in ((F.col("odds") >= bar, F.col("odds").desc(), 1.0), (F.col("odds") <= -bar, F.col("odds").asc(), 0.0)):
-                new += [(other, label, r["doc_id"], r["x"]) for r in odds.filter(sure).orderBy(order, "doc_id").limit(HANDED).collect()]
+                surest.append(odds.filter(sure).orderBy(order, "doc_id").limit(HANDED).withColumn("label", F.lit(label)))
+        surest, _ = save(reduce(DataFrame.unionByName, surest), "surest")
+        new = sorted((r["to"], r["label"], r["doc_id"], r["x"]) for r in surest.collect())
         if not new:
             break
         for which, label, doc, x in new:

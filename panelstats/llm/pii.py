@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
+from .storage import save
 from .text import pieces
 
 KINDS = ("email", "ip", "card", "phone")
@@ -265,9 +266,13 @@ _ARROW_SPAN = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()),
 
 
 def training_texts(docs: DataFrame, text: str = "text") -> list[str]:
-    """Whole texts of at most TRAIN_DOCS documents with something to label, smallest hashes first."""
-    some = docs.select(F.col(text).alias("t")).filter(F.col("t").rlike("[0-9]{4}|@|[0-9][.][0-9]") & (F.length("t") <= TRAIN_CHARS))
-    return [r[0] for r in some.orderBy(F.xxhash64("t"), "t").limit(TRAIN_DOCS).collect()]
+    """At most TRAIN_DOCS different whole texts with something to label, smallest hashes first. The hashes are
+    chosen before any text is sent, so that tasks send numbers, and only the chosen texts come to the driver."""
+    some = docs.select(F.col(text).alias("t")).filter(F.col("t").rlike("[0-9]{4}|@|[0-9][.][0-9]") & (F.length("t") <= TRAIN_CHARS)).withColumn("h", F.xxhash64("t"))
+    chosen = sorted(r[0] for r in save(some.select("h").distinct().orderBy("h").limit(TRAIN_DOCS), "training")[0].collect())
+    if not chosen:
+        return []
+    return [r["t"] for r in some.filter(F.col("h") <= chosen[-1]).distinct().orderBy("h", "t").collect()]
 
 
 def find(docs: DataFrame, text: str = "text", field: Field | None = None) -> DataFrame:
