@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-import gc
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def shared_dir(spark: SparkSession) -> str:
     """``spark.checkpoint.dir`` of the session; a new temporary folder only where it is unset."""
@@ -23,7 +24,13 @@ def save(df: DataFrame, name: str, *by: str) -> tuple[DataFrame, str]:
     a lost executor costs only the tasks that it was running. Returns the frame and its path."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    (df.write.partitionBy(*by) if by else df.write).parquet(path)
+    # The shuffle files of this write are of no use after it; by default they stay until the driver collects garbage.
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        (df.write.partitionBy(*by) if by else df.write).parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before) if before else spark.conf.unset(_CLEANUP)
     return spark.read.schema(df.schema).parquet(path), path
 
 
@@ -32,10 +39,3 @@ def drop(spark: SparkSession, *paths: str) -> None:
     for path in paths:
         where = spark._jvm.org.apache.hadoop.fs.Path(path)
         where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
-
-
-def release(spark: SparkSession) -> None:
-    """Lets Spark delete the shuffle files of finished steps now: it does so once the driver's garbage collector
-    has met the plans, which may be long after the last use when the driver has little to do."""
-    gc.collect()
-    spark._jvm.System.gc()
