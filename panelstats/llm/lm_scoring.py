@@ -1,11 +1,10 @@
 """Language-model scoring from a log-frequency Bloom filter.
 
 Tasks count the word and word-pair hashes of their training documents, and send sorted keys with counts to
-shards of the key space, where they are summed. A count c becomes a level, 1 + floor(log2 c) for words and
-floor(log2 c) for pairs, so that pairs met once need no room; key and level go into the shard's Bloom filter for
-every level up to the count's. The filters, of a few bits an entry, are broadcast while they are within
-``max_filter_mb``; beyond it the keys of the documents go to the shards, and the same filters give the same
-levels. A count comes back by probing level after level until one is absent. The model mixes the pair's
+shards of the key space, where they are summed. A count c becomes a level, 1 + floor(log2 c) for words and pairs
+alike; key and level go into the shard's Bloom filter for every level up to the count's. The filters, of a few bits
+an entry, are broadcast while they are within ``max_filter_mb``; beyond it the distinct keys of each block of
+documents go to the shards, whose filters send the same levels back to the block. A count comes back by probing level after level until one is absent. The model mixes the pair's
 relative frequency with the word's smoothed one, 0.4 to 0.6.
 
 The base score needs exact counts: those of the most frequent words (``head_words`` at most) are broadcast, and
@@ -59,12 +58,13 @@ def shard_of(keys: np.ndarray, shards: int) -> np.ndarray:
 
 
 def levels_of(kind: int, counts: np.ndarray) -> np.ndarray:
-    return np.floor(np.log2(counts)).astype(np.int64) + (kind == _WORD)
+    """The same for both kinds: a key met once has level 1."""
+    return np.floor(np.log2(counts)).astype(np.int64) + 1
 
 
 def count_of(kind: int, levels: np.ndarray) -> np.ndarray:
     """The middle of the counts that a level stands for, 0 for level 0."""
-    power = levels - (kind == _WORD)
+    power = levels - 1
     return np.where(levels == 0, 0.0, np.where(power == 0, 1.0, np.exp2(power + 0.5)))
 
 
@@ -200,7 +200,8 @@ def _probability(pair, before, word, smooth: float, size: float):
 
 def _scored(docs: DataFrame, model, head, n: int, v: int, smooth: float, with_score: bool) -> DataFrame:
     """One row per document: the score, the base sum over the head's words, and the other words' keys; ``uid`` is
-    the row's place in its task's output. Without filters the pairs come too."""
+    the row's place in its task's output. Without filters the first row of each block of documents has the block's
+    words: their sorted hashes, the index of each token's, and the index of each document's first token."""
     size = max(n + smooth * (v + 1), 1e-300)
 
     def run(batches):
@@ -229,44 +230,58 @@ def _scored(docs: DataFrame, model, head, n: int, v: int, smooth: float, with_sc
                 p = _probability(count_of(_PAIR, filters[_PAIR].levels(both)), behind, count[inverse], smooth, size)
                 columns["score"] = pa.array(np.add.reduceat(np.log10(p), first))
             else:
-                columns["pairs"] = pa.array([[{"p": p, "h": h, "w": w} for p, h, w in zip(both[a:b].view(np.int64).tolist(), before[a:b].view(np.int64).tolist(), words[a:b].view(np.int64).tolist())] for a, b in zip(first, last)], pa.list_(pa.struct([("p", pa.int64()), ("h", pa.int64()), ("w", pa.int64())])))
+                rest = [None] * (len(batch) - 1)
+                for name, array in (("own", own), ("tokens", inverse.astype("<i4")), ("first", first.astype("<i8"))):
+                    columns[name] = pa.array([array.tobytes(), *rest], pa.binary())
             uid += len(batch)
             yield pa.RecordBatch.from_pydict(columns)
 
     schema = "uid long, doc_id long, held_out boolean, n_tokens long, base double, known long, rare array<long>, "
-    return docs.mapInArrow(run, schema + ("score double" if with_score else "pairs array<struct<p: long, h: long, w: long>>"))
+    return docs.mapInArrow(run, schema + ("score double" if with_score else "own binary, tokens binary, first binary"))
 
 
-def _probed(keys: DataFrame, model: DataFrame, kind: int, shards: int) -> DataFrame:
-    """(key, count) of distinct keys, each probed at its shard's filter."""
+def _asked(blocks: DataFrame, shards: int) -> DataFrame:
+    """(uid, kind, shard, keys): the sorted distinct keys of each block, cut at the shards' borders."""
 
-    def probe(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        own = left["key"].to_numpy(np.int64)
-        bits = [right["bits"].iloc[0]] if len(right) else [bytes(8)]
-        single = Filter(bits)
-        levels = single.levels(own.view(np.uint64)) if len(own) else np.zeros(0, np.int64)
-        return pd.DataFrame({"key": own, "count": count_of(kind, levels)})
-
-    def placed(batches):
+    def run(batches):
         for batch in batches:
-            k = batch.column(0).to_numpy()
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(shard_of(k.view(np.uint64), shards).astype(np.int32))], ["key", "shard"])
+            for uid, *block in zip(*(c.to_pylist() for c in batch.columns)):
+                own, tokens, first = (np.frombuffer(x, t) for x, t in zip(block, ("<u8", "<i4", "<i8")))
+                for kind, keys in ((_WORD, own), (_PAIR, np.unique(pairs(own[tokens], first)[1]))):
+                    cut = np.searchsorted(shard_of(keys, shards), np.arange(shards + 1))
+                    filled = [s for s in range(shards) if cut[s] < cut[s + 1]]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([uid] * len(filled), pa.int64()), pa.array([kind] * len(filled), pa.int32()), pa.array(filled, pa.int32()), pa.array([keys[cut[s] : cut[s + 1]].tobytes() for s in filled], pa.binary())],
+                        ["uid", "kind", "shard", "keys"],
+                    )
+
+    return blocks.mapInArrow(run, "uid long, kind int, shard int, keys binary")
 
-    sharded = keys.distinct().mapInArrow(placed, "key long, shard int")
-    return sharded.groupBy("shard").cogroup(model.filter(f"kind = {kind}").select("shard", "bits").groupBy("shard")).applyInPandas(probe, "key long, count double")
+
+def _answered(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+    """One shard: the level of each key that a block asks for, a byte each, in the order of the keys."""
+    single = Filter([right["bits"].iloc[0]] if len(right) else [bytes(8)])
+    levels = [single.levels(np.frombuffer(x, "<u8")).astype(np.uint8).tobytes() for x in left["keys"]]
+    return left[["uid", "kind", "shard"]].assign(levels=levels)
 
 
 def _sharded_score(rows: DataFrame, model: DataFrame, shards: int, n: int, v: int, smooth: float) -> DataFrame:
-    """(uid, score) with the filters left where they are: distinct keys are probed at their shards."""
+    """(uid, score) with the filters left where they are: each shard answers the blocks' distinct keys."""
     size = max(n + smooth * (v + 1), 1e-300)
-    each = rows.select("uid", F.explode("pairs").alias("t")).groupBy("uid", "t.p", "t.h", "t.w").agg(F.count("*").alias("times"))
-    each, _ = save(each, "pairs")
-    word, _ = save(_probed(each.select(F.explode(F.array("h", "w")).alias("key")), model, _WORD, shards), "words-probed")
-    pair, _ = save(_probed(each.select(F.col("p").alias("key")), model, _PAIR, shards), "pairs-probed")
-    each = each.join(pair.select(F.col("key").alias("p"), F.col("count").alias("c_p")), "p").join(word.select(F.col("key").alias("h"), F.col("count").alias("c_h")), "h").join(word.select(F.col("key").alias("w"), F.col("count").alias("c_w")), "w")
-    shared = F.when(F.col("c_p") > 0, F.least(F.lit(1.0), F.col("c_p") / F.greatest("c_h", F.lit(1.0)))).otherwise(0.0)
-    p = PAIR_WEIGHT * shared + (1 - PAIR_WEIGHT) * (F.col("c_w") + smooth) / size
-    return each.groupBy("uid").agg(F.sum(F.col("times") * F.log10(p)).alias("score"))
+    blocks = rows.filter("own IS NOT NULL").select("uid", "own", "tokens", "first")
+    at = ["kind", "shard"]
+    levels = _asked(blocks, shards).groupBy(*at).cogroup(model.select(*at, "bits").groupBy(*at)).applyInPandas(_answered, "uid long, kind int, shard int, levels binary")
+    levels, _ = save(levels, "lm-levels")
+
+    def scores(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        own, tokens, first = (np.frombuffer(left[c].iloc[0], t) for c, t in (("own", "<u8"), ("tokens", "<i4"), ("first", "<i8")))
+        right = right.sort_values("shard")  # ranges of keys in order: put together, the levels are in the keys' order
+        word, pair = (count_of(kind, np.frombuffer(b"".join(right.loc[right["kind"] == kind, "levels"]), np.uint8).astype(np.int64)) for kind in (_WORD, _PAIR))
+        before, both = pairs(own[tokens], first)
+        p = _probability(pair[np.unique(both, return_inverse=True)[1]], word[np.searchsorted(own, before)], word[tokens], smooth, size)
+        return pd.DataFrame({"uid": left["uid"].iloc[0] + np.arange(len(first)), "score": np.add.reduceat(np.log10(p), first)})
+
+    return blocks.groupBy("uid").cogroup(levels.groupBy("uid")).applyInPandas(scores, "uid long, score double")
 
 
 def score(docs: DataFrame, smooth: float = 0.1, max_filter_mb: float = MAX_FILTER_MB, head_words: int = HEAD_WORDS) -> DataFrame:
@@ -292,7 +307,7 @@ def score(docs: DataFrame, smooth: float = 0.1, max_filter_mb: float = MAX_FILTE
     rare = rows.select("uid", F.explode("rare").alias("key")).join(counts.hint("merge"), "key", "left")
     c = F.coalesce("c", F.lit(0))
     rare = rare.groupBy("uid").agg(F.sum(F.log10((c + smooth) / size)).alias("rare_base"), F.sum(F.when(c > 0, 1).otherwise(0)).alias("rare_known"))
-    out = rows.drop("rare", "pairs").join(rare.hint("merge"), "uid", "left")
+    out = rows.drop("rare", "own", "tokens", "first").join(rare.hint("merge"), "uid", "left")
     if not fits:
         out = out.join(_sharded_score(rows, model, shards, n, v, smooth), "uid")
     return out.select(

@@ -255,6 +255,21 @@ def test_lm_scores(docs, rows, settings):
     assert all(r["held_out"] == held(r["doc_id"]) and r["train_tokens"] == n and r["score"] < 0 for r in out)
 
 
+@pytest.mark.parametrize("settings", [{}, {"max_filter_mb": 0}])
+def test_lm_scores_with_pairs_met_once(spark, settings):
+    held = [i for i in range(400) if zlib.crc32(str(i).encode()) % 10 == 0][:2]
+    free = [i for i in range(400) if zlib.crc32(str(i).encode()) % 10]
+    rows = [(free[i], f"left{i} right{i}", None, None, None) for i in range(300)] + [(held[0], "left7 right7", None, None, None), (held[1], "left7 right8", None, None, None)]
+    out = {r["doc_id"]: r["score"] for r in lm_scoring.score(spark.createDataFrame(rows, DOCS), **settings).collect()}
+    assert out[held[0]] > out[held[1]] + 1  # the same words, but the pair has been met, once
+    assert abs(out[held[0]] - out[free[7]]) < 1e-9
+
+
+def test_lm_shards_score_as_the_broadcast_filters_do(docs):
+    one, two = (sorted((str(r["doc_id"]), r["n_tokens"], round(r["score"], 9)) for r in lm_scoring.score(docs, **s).collect()) for s in ({}, {"max_filter_mb": 0}))
+    assert one == two
+
+
 def test_lm_filter_never_misses_a_level():
     rng = np.random.default_rng(0)
     keys, counts = np.unique(rng.integers(0, 2**63, 5000, dtype=np.uint64)), None
