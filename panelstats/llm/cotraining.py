@@ -2,9 +2,11 @@
 
 Two views of each document: its text (ratios of symbols, capitals, repeated words and lines and so on) and
 its page metadata (language, source, length). Logistic classifiers are fitted on a bounded sample of
-labelled rows; in each round either view hands its most confident judgements on all unlabelled documents to
-the other, but only those that its calibration puts beyond ``confident``. In the end the calibrated views are
-added up as log-odds, and every document is scored by column expressions.
+labelled rows; in each round either view hands its judgements on all unlabelled documents to the other, where its
+calibration puts them beyond ``confident``. They replace those of the round before; a view that was not fitted anew
+has nothing new to hand over. The handed documents are reduced to distinct feature vectors with their
+numbers, which stay in Spark: each Newton step sums its terms over them, and only the sums reach the driver. In the
+end the calibrated views are added up as log-odds, and every document is scored by column expressions.
 
 Defined results: a null or empty text has zeros for its ratios; null language or source is a value of its
 own; labels that repeat count by the smallest; with labels of one class only, or none, every score is the
@@ -13,16 +15,21 @@ share of good labels (1 without labels); an empty table gives an empty result.
 
 from __future__ import annotations
 
-from functools import reduce
+from collections.abc import Callable
 
 import numpy as np
+import pandas as pd
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .storage import save
+from .storage import drop, save
 
-#: Labelled rows used at most, rounds, and judgements of each kind that a view hands over in a round.
-MAX_LABELLED, ROUNDS, HANDED, CONFIDENT = 20_000, 3, 200, 0.95
+#: Labelled rows used at most, rounds, and the calibrated probability from which a view hands its judgements over.
+MAX_LABELLED, ROUNDS, CONFIDENT = 20_000, 3, 0.95
+#: Tasks that add up what the others have summed.
+_SUMS = 8
 _BUCKETS = {"lang": 8, "source": 32}
 
 
@@ -48,23 +55,52 @@ def metadata_view() -> list[Column]:
     return [F.log1p(F.coalesce(F.length("text"), F.lit(0)).cast("double")), *hot]
 
 
+def _summed(terms: Callable, x: np.ndarray, y: np.ndarray, handed: DataFrame | None) -> np.ndarray:
+    """``terms`` (an array of sums) of the rows x, y and of ``handed`` (x, y, n: how often), added up by Spark."""
+    total = terms(x, y, np.ones(len(x)))
+    if handed is None:
+        return total
+
+    def run(batches):
+        part = 0.0
+        for batch in batches:
+            if batch.num_rows:
+                part = part + terms(batch.column(0).flatten().to_numpy().reshape(batch.num_rows, -1), batch.column(1).to_numpy(), batch.column(2).to_numpy())
+        if np.ndim(part):
+            yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId() % _SUMS], pa.int32()), pa.array([part.tobytes()], pa.binary())], ["at", "v"])
+
+    def added(part: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"v": [sum(np.frombuffer(v) for v in part["v"]).tobytes()]})
+
+    parts = handed.select("x", "y", "n").mapInArrow(run, "at int, v binary").groupBy("at").applyInPandas(added, "v binary").collect()
+    return total + sum(np.frombuffer(r["v"]) for r in parts)
+
+
 class Logistic:
     """Ridge logistic regression by Newton steps; classes weigh alike."""
 
-    def fit(self, x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> Logistic:
-        self.mean, self.scale = x.mean(0), x.std(0) + 1e-9
-        z = np.column_stack([np.ones(len(x)), (x - self.mean) / self.scale])
-        weight = np.where(y > 0, 0.5 / max(y.mean(), 1e-9), 0.5 / max(1 - y.mean(), 1e-9))
-        w = np.zeros(z.shape[1])
-        for _ in range(25):
+    def fit(self, x: np.ndarray, y: np.ndarray, handed: DataFrame | None = None, ridge: float = 1.0) -> Logistic:
+        k, base = x.shape[1], x.mean(0)
+        sums = _summed(lambda x, y, n: np.r_[n.sum(), n @ y, n @ (x - base), n @ (x - base) ** 2], x, y, handed)
+        good, off, square = sums[1] / sums[0], sums[2 : k + 2] / sums[0], sums[k + 2 :] / sums[0]
+        mean, scale = base + off, np.sqrt(np.maximum(square - off**2, 0.0)) + 1e-9
+        w = np.zeros(k + 1)
+        keep = ridge * np.r_[0.0, np.ones(k)]
+
+        def terms(x, y, n):
+            z = np.column_stack([np.ones(len(x)), (x - mean) / scale])
+            weight = n * np.where(y > 0, 0.5 / max(good, 1e-9), 0.5 / max(1 - good, 1e-9))
             p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
-            keep = ridge * np.r_[0.0, np.ones(len(w) - 1)]
-            step = np.linalg.solve((z * (weight * p * (1 - p))[:, None]).T @ z + np.diag(keep + 1e-9), z.T @ (weight * (y - p)) - keep * w)
-            w += step
+            return np.r_[z.T @ (weight * (y - p)), ((z * (weight * p * (1 - p))[:, None]).T @ z).ravel()]
+
+        for _ in range(25):
+            sums = _summed(terms, x, y, handed)
+            step = np.linalg.solve(sums[k + 1 :].reshape(k + 1, k + 1) + np.diag(keep + 1e-9), sums[: k + 1] - keep * w)
+            w = w + step
             if np.abs(step).max() < 1e-8:
                 break
-        self.w = w[1:] / self.scale
-        self.b = float(w[0] - self.w @ self.mean)
+        self.w = w[1:] / scale
+        self.b = float(w[0] - self.w @ mean)
         return self
 
     def logit(self, x: np.ndarray) -> np.ndarray:
@@ -120,36 +156,35 @@ def score(docs: DataFrame, labels: DataFrame, rounds: int = ROUNDS, max_labelled
     if len(set(y[apart])) < 2:
         apart[:] = True
     train = ~apart if len(set(y[~apart])) == 2 else np.ones(len(y), bool)
-    sets = {"t": [t[train], y[train]], "m": [m[train], y[train]]}
-    handed: list[int] = []
+    sample = {"t": t, "m": m}
+    handed: dict[str, DataFrame | None] = {"t": None, "m": None}
 
-    def fitted() -> tuple[View, View]:
-        return View().fit(*sets["t"]).calibrate(t[apart], y[apart]), View().fit(*sets["m"]).calibrate(m[apart], y[apart])
+    def fitted(of: str) -> View:
+        return View().fit(sample[of][train], y[train], handed[of]).calibrate(sample[of][apart], y[apart])
 
-    views = fitted()
+    views = {of: fitted(of) for of in handed}
     bar = float(np.log(confident / (1 - confident)))
+    free = rows.filter("y IS NULL AND doc_id IS NOT NULL")
+    changed, paths = set(views), {}
     for _ in range(rounds):
-        free = rows.filter("y IS NULL AND doc_id IS NOT NULL")
-        if handed:  # 4 * HANDED * rounds ids at most
-            free = free.join(F.broadcast(spark.createDataFrame([(i,) for i in handed], "doc_id long")), "doc_id", "left_anti")
-        surest = []
-        for view, own, other in ((views[0], "t", "m"), (views[1], "m", "t")):
-            odds = free.select(F.lit(other).alias("to"), "doc_id", F.col(other).alias("x"), view.column(own).alias("odds"))
-            for sure, order, label in ((F.col("odds") >= bar, F.col("odds").desc(), 1.0), (F.col("odds") <= -bar, F.col("odds").asc(), 0.0)):
-                surest.append(odds.filter(sure).orderBy(order, "doc_id").limit(HANDED).withColumn("label", F.lit(label)))
-        surest, _ = save(reduce(DataFrame.unionByName, surest), "surest")
-        new = sorted((r["to"], r["label"], r["doc_id"], r["x"]) for r in surest.collect())
-        if not new:
+        fresh, old = {}, []
+        for own, to in (("t", "m"), ("m", "t")):
+            if own not in changed:
+                continue
+            odds = free.select(F.col(to).alias("x"), views[own].column(own).alias("odds")).filter(F.abs("odds") >= bar)
+            table, path = save(odds.groupBy("x", (F.col("odds") > 0).cast("double").alias("y")).agg(F.count("*").cast("double").alias("n")), f"handed-{to}")
+            fresh[to] = None if table.isEmpty() else table
+            old += [paths[to]] if to in paths else []
+            paths[to] = path
+        changed = {to for to in fresh if fresh[to] is not None or handed[to] is not None}
+        handed |= fresh
+        drop(spark, *old)
+        if not changed:
             break
-        for which, label, doc, x in new:
-            handed.append(doc)
-            sets[which].append((x, label))
-        for which in sets:
-            more = sets[which][2:]
-            sets[which] = [np.vstack([sets[which][0], *[np.array(x)[None] for x, _ in more]]), np.r_[sets[which][1], [label for _, label in more]]]
-        views = fitted()
+        views |= {to: fitted(to) for to in sorted(changed)}
+    drop(spark, *paths.values())
     prior = float(np.log((y[apart].sum() + 1) / (len(y[apart]) - y[apart].sum() + 1)))
     p = lambda odds: 1 / (1 + F.exp(-odds))
-    a, b = views[0].column("t"), views[1].column("m")
+    a, b = views["t"].column("t"), views["m"].column("m")
     out = rows.select("doc_id", F.col("y").isNotNull().alias("labelled"), p(a).alias("p_text"), p(b).alias("p_metadata"), p(a + b - F.lit(prior)).alias("score"))
     return out.withColumn("kept", F.col("score") >= 0.5)

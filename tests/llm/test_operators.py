@@ -353,6 +353,16 @@ def test_cotraining_on_rows_held_out(spark, none):
     assert cotraining.score(none, labels).count() == 0
 
 
+def test_cotraining_fits_on_handed_rows_as_on_its_own(spark):
+    rng = np.random.default_rng(4)
+    x, n = rng.normal(size=(600, 3)), rng.integers(1, 9, 600)
+    y = (x[:, 0] + rng.normal(size=600) > 0).astype(float)
+    handed = spark.createDataFrame([(x[i].tolist(), float(y[i]), float(n[i])) for i in range(100, 600)], "x array<double>, y double, n double").repartition(5)
+    n[:100] = 1
+    one, two = cotraining.Logistic().fit(x[:100], y[:100], handed), cotraining.Logistic().fit(np.repeat(x, n, 0), np.repeat(y, n))
+    assert np.allclose(one.w, two.w) and np.isclose(one.b, two.b)
+
+
 def test_digest_columns(docs, ranks):
     out = bpe.encode(docs.filter("doc_id = 303"), *ranks, decoded="decoded").select(*bpe.digests()).head()
     assert out["decoded_sha256"] == hashlib.sha256(b"one two").hexdigest()
