@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -17,34 +19,79 @@ def correlations(rows: DataFrame, keys: list[str], x: str, y: str, least: int =
     return pairs.groupBy(*keys).agg(F.count("*").alias("n"), F.when(enough, F.corr(x, y)).alias("pearson"), F.when(enough, F.corr(f"_{x}", f"_{y}")).alias("spearman"))
 
 
-def fixed_effects(panel: DataFrame, unit: str, time: str, x: str, y: str) -> DataFrame:
-    """Two-way fixed effects of y on x with CR1 errors clustered by unit, one row, for unbalanced panels: years are
-    few and become dummies, which the unit means absorb; the normal equations of x and the dummies are summed by
-    Spark, and a matrix as large as the number of years is solved on the driver. Null below 30 rows, 3 years or 5
-    units; units need two rows."""
-    rows = panel.dropna(subset=[x, y]).withColumn("_n", F.count("*").over(Window.partitionBy(unit))).filter("_n >= 2")
-    years = [r[0] for r in rows.select(time).distinct().orderBy(time).collect()]
-    n, units = rows.agg(F.count("*"), F.count_distinct(unit)).head()
-    spark = panel.sparkSession
-    schema = "n long, units long, years int, coef double, se double, t double"
-    if n < 30 or len(years) < 3 or units < 5:
-        return spark.createDataFrame([(n, units, len(years), None, None, None)], schema)
-    w = Window.partitionBy(unit)
-    names = ["_x", *[f"_d{i}" for i in range(1, len(years))]]
-    rows = rows.select(unit, F.col(x).cast("double").alias("_x"), F.col(y).cast("double").alias("_y"), *[(F.col(time) == t).cast("double").alias(f"_d{i}") for i, t in enumerate(years) if i])
-    rows = rows.select(unit, *[(F.col(c) - F.avg(c).over(w)).alias(c) for c in [*names, "_y"]])
-    k = len(names)
-    sums = rows.agg(*[F.sum(F.col(names[i]) * F.col(c)).alias(f"s{i}_{c}") for i in range(k) for c in [*names[i:], "_y"]]).head().asDict()
-    a = np.array([[sums[f"s{min(i, j)}_{names[max(i, j)]}"] for j in range(k)] for i in range(k)])
-    b = np.array([sums[f"s{i}__y"] for i in range(k)])
-    inverse = np.linalg.pinv(a)
-    beta = inverse @ b
-    residual = F.col("_y") - sum((F.col(c) * float(v) for c, v in zip(names, beta)), F.lit(0.0))
-    lead = sum((F.col(c) * float(v) for c, v in zip(names, inverse[0])), F.lit(0.0))  # the coefficient's row of the bread
-    meat = rows.groupBy(unit).agg(F.sum(lead * residual).alias("s")).agg(F.sum(F.col("s") * F.col("s"))).head()[0]
-    parameters = units + len(years)
-    se = float(np.sqrt(meat * units / (units - 1) * (n - 1) / (n - parameters)))
-    return spark.createDataFrame([(n, units, len(years), float(beta[0]), se, float(beta[0]) / se)], schema)
+def t_tail(t: float, freedom: int) -> float:
+    """Two-sided tail of Student's t: the regularised incomplete beta function by its continued fraction."""
+    a, b, x = freedom / 2, 0.5, freedom / (freedom + t * t)
+    if x >= 1:
+        return 1.0
+    flip = x > (a + 1) / (a + b + 2)
+    if flip:
+        a, b, x = b, a, 1 - x
+    front = math.exp(math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) + a * math.log(x) + b * math.log1p(-x)) / a if x > 0 else 0.0
+    c, d = 1.0, 1 / (1 - (a + b) * x / (a + 1))
+    f = d
+    for m in range(1, 500):
+        for n in (m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m)), -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1))):
+            d = 1 / (1 + n * d)
+            c = 1 + n / c
+            f *= c * d
+        if abs(c * d - 1) < 1e-14:
+            break
+    return 1 - front * f if flip else front * f
+
+
+def t_bound(tail: float, freedom: int) -> float:
+    """The t with this two-sided tail."""
+    low, high = 0.0, 1e6
+    for _ in range(100):
+        mid = (low + high) / 2
+        low, high = (mid, high) if t_tail(mid, freedom) > tail else (low, mid)
+    return low
+
+
+def fixed_effects(panel: DataFrame, unit: str, time: str, x: str, y: str, keys: list[str] = ()) -> DataFrame:
+    """Two-way fixed effects of y on x with CR1 errors clustered by unit, one row for each group of keys, for
+    unbalanced panels: years are few and become dummies, which the unit means absorb; the normal equations of x and
+    the dummies are summed by Spark, and a matrix as large as the number of years is solved on the driver for each
+    group. ci95 and p are of t with units - 1 degrees of freedom. Null below 30 rows, 3 years or 5 units; units need
+    two rows."""
+    keys, spark = list(keys), panel.sparkSession
+    rows = panel.dropna(subset=[x, y]).withColumn("_n", F.count("*").over(Window.partitionBy(*keys, unit)))
+    two = F.col("_n") >= 2
+    groups = rows.groupBy(*keys).agg(F.count_if(two), F.count_distinct(F.when(two, F.col(unit))), F.sort_array(F.collect_set(F.when(two, F.col(time))))).collect()
+    found = {tuple(g[: len(keys)]): g[len(keys) :] for g in groups}
+    whole = {k for k, (n, units, years) in found.items() if n >= 30 and len(years) >= 3 and units >= 5}
+    years = sorted({t for k in whole for t in found[k][2]})
+    kept = rows.schema
+    schema = "".join(f"`{k}` {kept[k].dataType.simpleString()}, " for k in keys) + "n long, units long, years int, coef double, se double, t double, ci95_low double, ci95_high double, p double"
+    solved, errors = {}, {}
+    if whole:
+        w = Window.partitionBy(*keys, unit)
+        names = ["_x", *[f"_d{i}" for i in range(len(years))]]
+        rows = rows.filter(two).select(*keys, unit, F.col(x).cast("double").alias("_x"), F.col(y).cast("double").alias("_y"), *[(F.col(time) == t).cast("double").alias(f"_d{i}") for i, t in enumerate(years)])
+        rows = rows.select(*keys, unit, *[(F.col(c) - F.avg(c).over(w)).alias(c) for c in [*names, "_y"]])
+        for r in rows.groupBy(*keys).agg(*[F.sum(F.col(c) * F.col(e)).alias(f"{c}{e}") for i, c in enumerate(names) for e in [*names[i:], "_y"]]).collect():
+            if (k := tuple(r[: len(keys)])) in whole:
+                own = [0, *[1 + years.index(t) for t in found[k][2][1:]]]  # x and the group's years but the first
+                inverse = np.linalg.pinv(np.array([[r[names[min(i, j)] + names[max(i, j)]] for j in own] for i in own]))
+                beta, lead = np.zeros(len(names)), np.zeros(len(names))
+                beta[own], lead[own] = inverse @ np.array([r[f"{names[i]}_y"] for i in own]), inverse[0]  # the coefficient's row of the bread
+                solved[k] = beta, lead
+        weights = spark.createDataFrame([(*k, b.tolist(), v.tolist()) for k, (b, v) in solved.items()], "".join(f"`{k}` {kept[k].dataType.simpleString()}, " for k in keys) + "_beta array<double>, _lead array<double>")
+        rows = rows.join(F.broadcast(weights), keys) if keys else rows.crossJoin(F.broadcast(weights))
+        product = lambda a: sum((F.col(c) * F.col(a)[i] for i, c in enumerate(names)), F.lit(0.0))
+        meat = rows.groupBy(*keys, unit).agg(F.sum(product("_lead") * (F.col("_y") - product("_beta"))).alias("s")).groupBy(*keys).agg(F.sum(F.col("s") * F.col("s")))
+        errors = {tuple(r[: len(keys)]): r[len(keys)] for r in meat.collect()}
+    out = []
+    for k, (n, units, own) in found.items():
+        free = n - units - len(own)
+        coef = float(solved[k][0][0]) if k in solved else None
+        se = float(np.sqrt(errors[k] * units / (units - 1) * (n - 1) / free)) if k in solved and free > 0 else None
+        bound = t_bound(0.05, units - 1) * se if se is not None else None
+        t = coef / se if se else None
+        ends = (None, None) if se is None else (coef - bound, coef + bound)
+        out.append((*k, n, units, len(own), coef, se, t, *ends, t_tail(t, units - 1) if se else None))
+    return spark.createDataFrame(out, schema)
 
 
 def jackknife_mean(rows: DataFrame, weight: str, values: list[str], zone: str, rep: str) -> DataFrame:

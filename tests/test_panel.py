@@ -86,6 +86,25 @@ def test_fixed_effects_equal_a_dense_regression(spark):
     assert got["coef"] == pytest.approx(beta[0], abs=1e-9) and got["se"] == pytest.approx(se, abs=1e-9)
 
 
+def test_fixed_effects_of_groups_are_those_of_each_alone(spark):
+    rng = np.random.default_rng(2)
+    rows = [(k, f"u{u}", t, float(rng.normal() + u / 3), float(rng.normal() + t)) for k in "abc" for u in range(8) for t in range(9) if (u + t) % 5 and not (k == "b" and t < 3) and not (k == "c" and t > 3)]
+    d = spark.createDataFrame(rows, "k string, unit string, t int, x double, y double")
+    got = {r["k"]: list(r)[1:] for r in statistics.fixed_effects(d, "unit", "t", "x", "y", ["k"]).collect()}
+    assert set(got) == {"a", "b", "c"} and got["c"][3] is None and None not in got["a"] + got["b"]
+    for k in "ab":
+        assert got[k] == pytest.approx(list(statistics.fixed_effects(d.filter(f"k = '{k}'"), "unit", "t", "x", "y").head()))
+    assert statistics.t_tail(2.262157, 9) == pytest.approx(0.05, abs=1e-6) and statistics.t_bound(0.05, 24) == pytest.approx(2.063899, abs=1e-5)
+
+
+def test_fixed_effects_query_has_every_level_and_sample(spark):
+    import __spark_entry__ as entry
+
+    rows = entry.queries()["X3_fixed_effects"](spark, "/root/testdata/sf0.01").collect()
+    assert {r["spec"] for r in rows} == {"all_valid_years", "excl_reform", "from_break"} and len({r["level"] for r in rows}) == 5
+    assert len(rows) == 15 and any(r["p"] is not None for r in rows)
+
+
 def test_fixed_effects_gate(spark):
     assert statistics.fixed_effects(spark.createDataFrame([("a", 1, 1.0, 1.0)], "unit string, t int, x double, y double"), "unit", "t", "x", "y").head()["coef"] is None
 
