@@ -15,17 +15,17 @@ from __future__ import annotations
 import gc
 import os
 import re
-import unicodedata
 import zlib
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .storage import save
+from .storage import save, tidy
 from .text import pieces
 
 BLOCK, PERCENTILE, FILE_IDS = 1024, 0.9, 1 << 17
@@ -112,17 +112,17 @@ def decode_ids(payload: bytes) -> np.ndarray:
 
 class Encoder:
     """Texts to ids. The tokenizer composes and lower-cases, drops white space, and cuts what is left into letters,
-    single digits and other marks before its merges, so the ids of a text are those of its words, and those of a
-    word are those of its pieces. Words and pieces that have been met are kept; only new pieces are given to the
-    tokenizer, runs of plain letters many at a time."""
+    single digits and other marks before its merges, so the ids of a text are those of its words one after the
+    other. Words that have been met are kept; the new words of many texts are given to the tokenizer together, joined by
+    blanks, and its tokens that end a piece say which ids are whose."""
 
-    MAX_WORDS, LONG_WORD, TOGETHER = 250_000, 48, 256
+    MAX_WORDS, LONG_WORD, TOGETHER = 300_000, 48, 256
     #: Below U+0300 nothing composes, so there capitals may be folded first.
-    _BEYOND = re.compile("[^\0-\u02ff]")
-    #: As the tokenizer cuts lower-case ASCII.
-    _ASCII = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
-    _LETTERS = re.compile(rb"[a-z]+")
-    _CLOSING = ".,;:!?"
+    _BEYOND = re.compile("[^\0-˿]")
+    #: Words of marks, digits and letters for which lower-casing and the cut do not depend on the Unicode version.
+    _PLAIN = re.compile(r"[!-~¡-įı-ʯ]+")
+    #: The tokenizer's own cut.
+    _CUT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -130,58 +130,53 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
         self.words: dict[bytes, bytes] = {}
-        self.pieces: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}  # words of the last but one filling
 
-    def _cut(self, word: bytes) -> list[bytes]:
-        if word.isascii():
-            return self._ASCII.findall(word.lower())
-        text = word.decode()
-        core = text.rstrip(self._CLOSING)
-        # a mark would go on into what closes the word; some letters end in one when composed or lower-cased
-        ends = unicodedata.normalize("NFC", core[-1:]).lower()[-1:].isalpha()
-        return [core.encode(), text[len(core) :].encode()] if ends and len(core) < len(text) else [word]
-
-    def _encoded(self, pieces: list[bytes]) -> dict[bytes, bytes]:
+    def _encoded(self, words: list[bytes]) -> dict[bytes, bytes]:
         out: dict[bytes, bytes] = {}
-        letters = [p for p in pieces if self._LETTERS.fullmatch(p)]
-        for i in range(0, len(letters), self.TOGETHER):
-            some = letters[i : i + self.TOGETHER]
-            e = self.tokenizer.encode(b" ".join(some).decode(), add_special_tokens=False)
-            ids, cuts = np.array(e.ids, "<u4").tobytes(), np.searchsorted(e.word_ids, np.arange(len(some) + 1)) * 4
-            out.update((p, ids[a:b]) for p, a, b in zip(some, cuts[:-1].tolist(), cuts[1:].tolist()))
-        others = [p for p in pieces if p not in out]
-        for p, e in zip(others, self.tokenizer.encode_batch([p.decode() for p in others], add_special_tokens=False) if others else ()):
-            out[p] = np.array(e.ids, "<u4").tobytes()
+        plain, counts, alone = [], [], []
+        for w in words:
+            text = w.decode()
+            if text.isalpha() and text.isascii():
+                plain.append(w)
+                counts.append(1)
+            elif self._PLAIN.fullmatch(text):
+                plain.append(w)
+                counts.append(len(self._CUT.findall(text.lower())))
+            else:
+                alone.append(w)
+        for i in range(0, len(plain), self.TOGETHER):
+            some = plain[i : i + self.TOGETHER]
+            e = self.tokenizer.encode_batch_fast([b" ".join(some).decode()], add_special_tokens=False)[0]
+            ids = np.array(e.ids, "<u4")
+            cuts = np.concatenate([[0], np.flatnonzero(self.ends[ids]) + 1])[np.cumsum([0, *counts[i : i + self.TOGETHER]])] * 4
+            ids = ids.tobytes()
+            out.update((w, ids[a:b]) for w, a, b in zip(some, cuts[:-1].tolist(), cuts[1:].tolist()))
+        for i in range(0, len(alone), self.TOGETHER):
+            some = alone[i : i + self.TOGETHER]
+            for w, e in zip(some, self.tokenizer.encode_batch_fast([w.decode() for w in some], add_special_tokens=False)):
+                out[w] = np.array(e.ids, "<u4").tobytes()
         return out
 
-    def _new(self, words: list[bytes]) -> dict[bytes, bytes]:
-        out = {w: ids for w in words if (ids := self.older.get(w)) is not None}
-        cut = {w: self._cut(w) for w in words if w not in out}
-        ids = {p: self.pieces.get(p) for parts in cut.values() for p in parts}
-        made = self._encoded([p for p, own in ids.items() if own is None])
-        ids |= made
-        if len(self.pieces) > self.MAX_WORDS:
-            self.pieces.clear()
-        self.pieces.update((p, own) for p, own in made.items() if len(p) <= self.LONG_WORD)
-        for w, parts in cut.items():
-            out[w] = ids[parts[0]] if len(parts) == 1 else b"".join([ids[p] for p in parts])
+    def ids(self, texts: list[str]) -> list[bytes]:
+        """Little-endian unsigned 32-bit ids of each text."""
         if len(self.words) > self.MAX_WORDS:
             self.words, self.older = {}, self.words
-        self.words.update((w, own) for w, own in out.items() if len(w) <= self.LONG_WORD)
+        cut = [(t.encode() if self._BEYOND.search(t) else t.encode().lower()).split() for t in texts]  # other blanks are left to the tokenizer
+        new = set().union(*cut) - self.words.keys()
+        known = new & self.older.keys()
+        self.words.update((w, self.older[w]) for w in known)
+        self.words.update(self._encoded(list(new - known)))
+        out = [b"".join(map(self.words.__getitem__, words)) for words in cut]
+        for w in new:
+            if len(w) > self.LONG_WORD:
+                del self.words[w]
         return out
 
-    def ids(self, text: str) -> bytes:
-        """Little-endian unsigned 32-bit ids."""
-        data = text.encode()
-        words = (data if self._BEYOND.search(text) else data.lower()).split()  # other blanks are left to the tokenizer
-        found = list(map(self.words.get, words))
-        if None in found:
-            made = self._new(list({w for w, ids in zip(words, found) if ids is None}))
-            found = [made[w] if ids is None else ids for w, ids in zip(words, found)]
-        return b"".join(found)
-
 
 @lru_cache(1)
 def encoder(path: str) -> Encoder:
@@ -193,6 +188,7 @@ def write(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame:
     by range. A file is closed after the document with which it reaches FILE_IDS ids. Returns the files' table."""
     end = np.array([end_id], "<u4").tobytes()
 
+    @tidy
     def files(batches):
         gc.disable()  # nothing here is garbage in circles, and the collector would walk all known words
         own, part, number = encoder(tokenizer_path), TaskContext.get().partitionId(), 0
@@ -204,9 +200,9 @@ def write(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame:
             return pa.RecordBatch.from_pydict(row, pa.schema([("part", pa.int32()), ("file", pa.int32()), ("doc_ids", pa.list_(pa.int64())), ("lengths", pa.list_(pa.int64())), ("n_ids", pa.int64()), ("payload", pa.binary())]))
 
         for batch, texts in pieces(batches):
-            for doc, text in zip(batch.column(0).to_pylist(), texts.to_pylist()):
+            for doc, made in zip(batch.column(0).to_pylist(), own.ids(texts.to_pylist())):
                 docs_in.append(doc)
-                ids.append(own.ids(text) + end)
+                ids.append(made + end)
                 lengths.append(len(ids[-1]) // 4)
                 if sum(lengths[-1:]) >= FILE_IDS or (len(lengths) % 64 == 0 and sum(lengths) >= FILE_IDS):
                     yield closed()
