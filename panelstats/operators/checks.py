@@ -26,13 +26,27 @@ def gender_sum(facts: DataFrame, keys: list[str]) -> DataFrame:
     return _issues(rows, "gender_sum", F.concat_ws(" ", "metric", "province"), "sum", "total", within(F.col("total"), F.col("sum"), F.col("total"), 2.0, 0.005))
 
 
-def part_sum(rows: DataFrame, keys: list[str], part: str, whole: Column, parts: Column, least: int, floor: float, share: float, name: str) -> DataFrame:
-    """A printed total against the sum of at least ``least`` parts; keys match null with null."""
-    sums = rows.filter(parts).groupBy(*keys).agg(F.sum("value").alias("sum"), F.count("value").alias("n")).filter(F.col("n") >= least)
-    sums = sums.select(*[F.col(k).alias(f"_{k}") for k in keys], "sum")
-    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
-    both = rows.filter(whole).join(sums, same)
-    return _issues(both, name, F.concat_ws(" ", "metric", part), "sum", "value", within(F.col("value"), F.col("sum"), F.col("value"), floor, share))
+def part_sum(rows: DataFrame, keys: list[str], whole: Column, parts: Column, least: int, floor: float, share: float, name: str, table: Column | None = None) -> DataFrame:
+    """A table's printed total against the sum of at least ``least`` parts, in one aggregation; keys match null with
+    null. ``table`` is what the issue names as the table."""
+    sums = rows.groupBy(*_TABLE, *keys).agg(F.sum(F.when(parts, F.col("value"))).alias("sum"), F.count(F.when(parts, F.col("value"))).alias("n"), F.max(F.when(whole, F.col("value"))).alias("value"))
+    both = sums.filter((F.col("n") >= least) & F.col("value").isNotNull())
+    if table is not None:
+        both = both.withColumn("source_table", table)
+    return _issues(both, name, F.concat_ws(" ", "metric", "gender"), "sum", "value", within(F.col("value"), F.col("sum"), F.col("value"), floor, share))
+
+
+def province_sum(facts: DataFrame, keys: list[str]) -> DataFrame:
+    """The national row against the sum of at least 20 provinces."""
+    national = F.col("province") == "IRN"
+    return part_sum(facts, keys, national, ~national, 20, 5.0, 0.01, "province_sum")
+
+
+def degree_sum(facts: DataFrame, propagate_parts: bool = False) -> DataFrame:
+    """The total of all degrees against the sum of at least four. Tables are named without their part, so that the check
+    concerns the table as a whole; with ``propagate_parts`` it counts for the part."""
+    whole, table = F.col("degree") == "all", None if propagate_parts else F.substring_index("source_table", "#", 1)
+    return part_sum(facts, ["year", "province", "university", "metric", "gender"], whole, ~whole, 4, 2.0, 0.005, "degree_sum", table)
 
 
 def cross_publication(facts: DataFrame, keys: list[str], window: int = 3) -> DataFrame:

@@ -12,10 +12,19 @@ def safe_ratio(n: Column | str, d: Column | str) -> Column:
     return F.try_divide(n, d)
 
 
+#: What the clean facts of either domain cover.
+TOTALS = {"area": "total", "branch": "all", "sector": "all"}
+
+
 def clean(facts: DataFrame, catalogue: DataFrame, first_release: int) -> DataFrame:
-    """Understood facts of tables that did not fail, from a release on. A table without a status is left out."""
+    """Facts whose row and column are understood, of tables that did not fail, from a release on, for the total of
+    every side dimension they have. A table without a status is left out."""
     good = catalogue.filter("check_status <> 'failed'").select("source_file", "source_table").distinct()
-    return facts.filter(F.col("row_category").isNull() & (F.col("yearbook") >= first_release)).join(good, ["source_file", "source_table"], "left_semi")
+    rows = facts.filter(F.col("row_category").isNull() & F.col("col_category").isNull() & (F.col("yearbook") >= first_release))
+    for c in facts.columns:
+        if c in TOTALS:
+            rows = rows.filter(F.col(c) == TOTALS[c])
+    return rows.join(good, ["source_file", "source_table"], "left_semi")
 
 
 def best_value(facts: DataFrame, keys: list[str], value: str = "value", event: str = "year", release: str = "yearbook") -> DataFrame:

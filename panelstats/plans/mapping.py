@@ -86,37 +86,23 @@ def A30_national_series(spark, sf_dir):
     return once.groupBy("year").agg(F.count("*").alias("works"), F.sum("cites").alias("cites"), F.count_if(F.col("n") > 1).alias("international"))
 
 
-@query(f"WITH {FACTS}, k AS (SELECT *, row_number() OVER (PARTITION BY year, province, level, metric, gender ORDER BY CASE WHEN yearbook = year THEN 0 ELSE 1 END, source_file, source_table) AS rn FROM facts) SELECT year, province, level, metric, gender, value, source_file FROM k WHERE rn = 1")
+@query(f"WITH {FACTS}, k AS (SELECT *, row_number() OVER (PARTITION BY year, province, level, programme, area, metric, gender ORDER BY CASE WHEN yearbook = year THEN 0 ELSE 1 END, source_file, source_table) AS rn FROM facts) SELECT year, province, level, programme, area, metric, gender, value, source_file FROM k WHERE rn = 1")
 def A24_keep_first(spark, sf_dir):
     """Duplicates go, the first by a full order stays."""
     order = F.struct((F.col("yearbook") != F.col("year")).cast("int").alias("o"), "source_file", "source_table")
-    keys = ["year", "province", "level", "metric", "gender"]
+    keys = ["year", "province", "level", "programme", "area", "metric", "gender"]
     return adapted(spark, sf_dir, FACTS, "facts").groupBy(*keys).agg(F.min_by(F.struct("value", "source_file"), order).alias("r")).select(*keys, "r.value", "r.source_file")
 
 
-@query(f"WITH {FACTS}, h AS (SELECT CASE WHEN province IN ('N1', 'N2', 'N3') THEN 'U1' ELSE province END AS unit, CASE WHEN province IN ('N1', 'N2', 'N3') THEN 3 ELSE 1 END AS parts, year, level, value FROM facts WHERE metric = 'students' AND gender = 'total' AND yearbook = year) SELECT unit, year, level, sum(value) AS value FROM h GROUP BY unit, parts, year, level HAVING count(*) = parts")
+@query(f"WITH {FACTS}, h AS (SELECT CASE WHEN province IN ('N1', 'N2', 'N3') THEN 'U1' ELSE province END AS unit, CASE WHEN province IN ('N1', 'N2', 'N3') THEN 3 ELSE 1 END AS parts, year, level, value FROM facts WHERE metric = 'students' AND gender = 'total' AND area = 'total' AND yearbook = year) SELECT unit, year, level, sum(value) AS value FROM h GROUP BY unit, parts, year, level HAVING count(*) = parts")
 def A28_constant_borders(spark, sf_dir):
     """Members of a harmonised unit are summed when all are there."""
     member = F.col("province").isin("N1", "N2", "N3")
-    rows = adapted(spark, sf_dir, FACTS, "facts").filter("metric = 'students' AND gender = 'total' AND yearbook = year")
+    rows = adapted(spark, sf_dir, FACTS, "facts").filter("metric = 'students' AND gender = 'total' AND area = 'total' AND yearbook = year")
     rows = rows.groupBy(F.when(member, "U1").otherwise(F.col("province")).alias("unit"), F.when(member, 3).otherwise(1).alias("parts"), "year", "level").agg(F.sum("value").alias("value"), F.count("*").alias("n"))
     return rows.filter("n = parts").select("unit", "year", "level", "value")
 
 
-_RELEASES = """
-, he_releases AS (SELECT he.*, CAST(year + r AS INT) AS yearbook, CASE WHEN r = 1 THEN 'template' ELSE 'document' END AS header_source, university || '#' || CAST(r AS STRING) AS source_table, CAST(year + r AS STRING) || '/he' AS source_file
-  FROM he CROSS JOIN (VALUES (0), (1), (2)) AS t(r) WHERE NOT (r = 0 AND year % 2 = 0))"""
-
-
-@query(f"""WITH {HIGHER}{_RELEASES},
-agreed AS (SELECT *, count(*) OVER (PARTITION BY year, province, university, degree, metric, gender, value) AS n_agree FROM he_releases),
-ranked AS (SELECT *, row_number() OVER (PARTITION BY year, province, university, degree, metric, gender ORDER BY CASE WHEN yearbook = year THEN 0 ELSE 1 END, n_agree DESC, abs(yearbook - year), CASE WHEN header_source = 'document' THEN 0 ELSE 1 END, source_table, source_file) AS rn FROM agreed WHERE yearbook >= year)
-SELECT year, province, university, degree, metric, gender, value, yearbook, n_agree FROM ranked WHERE rn = 1""")
-def W2_he_best(spark, sf_dir):
-    keys = ["year", "province", "university", "degree", "metric", "gender"]
-    return panel.best_value(adapted(spark, sf_dir, HIGHER + _RELEASES, "he_releases"), keys).select(*keys, "value", "yearbook", "n_agree")
-
-
 _GRID = "g AS (SELECT l_orderkey AS t, l_linenumber AS r, c, CASE c WHEN 0 THEN l_returnflag WHEN 1 THEN CASE WHEN l_linenumber % 3 = 0 THEN '' ELSE CAST(CAST(l_quantity AS INT) AS STRING) END ELSE CASE WHEN l_linenumber % 3 = 0 THEN '' WHEN l_linestatus = 'O' THEN 'x' ELSE CAST(l_suppkey AS STRING) END END AS x FROM lineitem CROSS JOIN (VALUES (0), (1), (2)) AS v(c))"
 
 

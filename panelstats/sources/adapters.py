@@ -1,7 +1,8 @@
 """The domain's tables out of the given ones, as SQL that Spark and the checking engine both run.
 
 ``FACTS`` makes long facts in releases from orders and customers, with a catalogue of printed tables; ``HIGHER``
-makes the higher-education facts (degrees, university types, staff ranks); ``WORKS``, ``SOURCES`` and ``SURVEY`` make
+makes the higher-education facts (degrees, university types, staff ranks), with theirs. Each reads its tables once: cells are
+aggregated once, national rows and totals come from the cells by grouping sets, and measures become rows by UNPIVOT. ``WORKS``, ``SOURCES`` and ``SURVEY`` make
 work records, source counts and survey rows. Each is a list of common table expressions.
 """
 
@@ -14,50 +15,56 @@ from panelstats.sources import table
 FACTS = """
 cells AS (SELECT CAST(year(o_orderdate) AS INT) AS year, c_nationkey AS nation,
     CASE c_mktsegment WHEN 'AUTOMOBILE' THEN 'primary' WHEN 'BUILDING' THEN 'lower_secondary' WHEN 'FURNITURE' THEN 'upper_secondary' WHEN 'HOUSEHOLD' THEN 'preschool' ELSE 'pre_university' END AS level,
-    count(*) AS students, sum(CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END) AS female, sum(CASE WHEN o_orderstatus <> 'F' THEN 1 ELSE 0 END) AS male,
-    count(DISTINCT o_custkey) AS teachers, count(DISTINCT month(o_orderdate)) AS classes, sum(CASE WHEN o_orderpriority <> '5-LOW' THEN 1 ELSE 0 END) AS passed,
-    sum(CASE WHEN o_orderpriority = '1-URGENT' THEN 1 ELSE 0 END) AS graduates
+    count(*) AS students, count(CASE WHEN o_orderstatus = 'F' THEN 1 END) AS girls, count(DISTINCT o_custkey) AS teachers,
+    bit_count(bit_or(CAST(pow(2, month(o_orderdate)) AS INT))) AS classes, bit_count(bit_or(CAST(pow(2, o_custkey % 20) AS INT))) AS schools,
+    count(CASE WHEN o_orderpriority <> '5-LOW' THEN 1 END) AS passed, count(CASE WHEN o_orderpriority <> '5-LOW' AND o_orderstatus = 'F' THEN 1 END) AS girls_passed,
+    count(CASE WHEN o_orderpriority = '1-URGENT' THEN 1 END) AS graduates
   FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2, 3),
-units AS (SELECT * FROM cells UNION ALL SELECT year, -1 AS nation, level, sum(students), sum(female), sum(male), sum(teachers), sum(classes), sum(passed), sum(graduates) FROM cells GROUP BY year, level),
-long_facts AS (
-  SELECT year, nation, level, 'students' AS metric, 'total' AS gender, CAST(students AS DOUBLE) AS value FROM units
-  UNION ALL SELECT year, nation, level, 'students', 'female', CAST(female AS DOUBLE) FROM units
-  UNION ALL SELECT year, nation, level, 'students', 'male', CAST(male AS DOUBLE) FROM units
-  UNION ALL SELECT year, nation, level, 'teachers', 'total', CAST(teachers AS DOUBLE) FROM units WHERE (nation + year) % 4 <> 0
-  UNION ALL SELECT year, nation, level, 'educational_staff', 'total', CAST(teachers + 1 AS DOUBLE) FROM units
-  UNION ALL SELECT year, nation, level, 'classes', 'total', CAST(classes AS DOUBLE) FROM units
-  UNION ALL SELECT year, nation, level, 'passed', 'total', CAST(passed AS DOUBLE) FROM units
-  UNION ALL SELECT year, nation, level, 'graduates', 'total', CAST(graduates AS DOUBLE) FROM units),
-facts AS (SELECT year, CASE WHEN nation < 0 THEN 'IRN' ELSE 'N' || CAST(nation AS STRING) END AS province, level, metric, gender,
-    value + CASE WHEN r = 2 AND nation % 5 = 0 THEN 1 ELSE 0 END AS value, CAST(year + r AS INT) AS yearbook,
-    CAST(year + r AS STRING) || '/book' AS source_file, level || '#' || CAST(r AS STRING) AS source_table,
-    CASE WHEN r = 1 THEN 'template' ELSE 'document' END AS header_source, CASE WHEN (nation + year + r) % 11 = 0 THEN 'unread' END AS row_category
-  FROM long_facts CROSS JOIN (VALUES (0), (1), (2)) AS t(r) WHERE NOT (r = 0 AND (nation + 1 + year) % 7 = 0)),
-catalogue AS (SELECT DISTINCT source_file, source_table, CASE WHEN yearbook % 5 = 0 AND source_table LIKE '%#2' THEN 'failed' ELSE 'passed' END AS check_status
-  FROM facts WHERE NOT (source_table LIKE 'primary#1' AND yearbook % 3 = 0))
+units AS (SELECT year, coalesce(nation, -1) AS nation, level, CAST(sum(students) AS DOUBLE) AS students__total, CAST(sum(girls) AS DOUBLE) AS students__female, CAST(sum(students - girls) AS DOUBLE) AS students__male,
+    CAST(sum(teachers) AS DOUBLE) AS teachers__total, CAST(sum(teachers + 1) AS DOUBLE) AS educational_staff__total, CAST(sum(classes) AS DOUBLE) AS classes__total, CAST(sum(schools) AS DOUBLE) AS schools__total,
+    CAST(sum(passed) AS DOUBLE) AS passed__total, CAST(sum(girls_passed) AS DOUBLE) AS passed__female, CAST(sum(passed - girls_passed) AS DOUBLE) AS passed__male, CAST(sum(graduates) AS DOUBLE) AS graduates__total
+  FROM cells GROUP BY GROUPING SETS ((year, nation, level), (year, level))),
+long_facts AS (SELECT year, nation, level, split_part(what, '__', 1) AS metric, split_part(what, '__', 2) AS gender, value FROM units UNPIVOT (value FOR what IN
+    (students__total, students__female, students__male, teachers__total, educational_staff__total, classes__total, schools__total, passed__total, passed__female, passed__male, graduates__total))
+  WHERE NOT (what = 'teachers__total' AND (nation + year) % 4 = 0)),
+facts AS (SELECT year, CASE WHEN nation < 0 THEN 'IRN' ELSE 'N' || CAST(nation AS STRING) END AS province, level, CASE WHEN level = 'preschool' AND nation % 6 = 5 THEN 'adult' ELSE 'regular' END AS programme, metric, gender,
+    CASE WHEN r = 3 THEN value / 2 WHEN r = 2 AND nation % 5 = 0 THEN value + 1 WHEN r = 2 AND nation % 7 = 3 THEN value + 5 ELSE value END AS value, CAST(year + r % 3 AS INT) AS yearbook,
+    CAST(year + r % 3 AS STRING) || '/book' AS source_file, level || '#' || CAST(r AS STRING) AS source_table, CASE WHEN r = 1 THEN 'template' ELSE 'document' END AS header_source,
+    CASE WHEN (nation + year + r) % 11 = 0 THEN 'unread' END AS row_category, CASE WHEN (nation + year + 2 * r) % 17 = 3 THEN 'unread' END AS col_category,
+    CASE WHEN r = 3 THEN 'urban' ELSE 'total' END AS area, 'all' AS branch, CASE WHEN r = 3 THEN 'public' ELSE 'all' END AS sector
+  FROM long_facts CROSS JOIN (VALUES (0), (1), (2), (3)) AS t(r) WHERE NOT (r % 3 = 0 AND (nation + 1 + year) % 7 = 0)),
+catalogue AS (SELECT DISTINCT CAST(year + r % 3 AS STRING) || '/book' AS source_file, level || '#' || CAST(r AS STRING) AS source_table, CASE WHEN (year + r) % 5 = 0 AND r = 2 THEN 'failed' ELSE 'passed' END AS check_status
+  FROM (SELECT DISTINCT CAST(year(o_orderdate) AS INT) AS year FROM orders) AS books CROSS JOIN (VALUES (0), (1), (2), (3)) AS t(r)
+    CROSS JOIN (VALUES ('primary'), ('lower_secondary'), ('upper_secondary'), ('preschool'), ('pre_university')) AS l(level) WHERE NOT (level = 'primary' AND r = 1 AND (year + r) % 3 = 0))
 """
 
 HIGHER = """
 shipped AS (SELECT l_orderkey, max(l_shipdate) AS shipped FROM lineitem GROUP BY l_orderkey),
-enrolled AS (SELECT CAST(year(o_orderdate) AS INT) AS year, CAST(year(shipped) AS INT) AS out_year, c_nationkey AS nation, o_orderstatus AS status,
+enrolled AS (SELECT CAST(year(o_orderdate) AS INT) AS entered, CAST(year(shipped) AS INT) AS finished, c_nationkey AS nation, o_orderstatus AS status,
     CASE o_orderpriority WHEN '1-URGENT' THEN 'associate' WHEN '2-HIGH' THEN 'bachelor' WHEN '3-MEDIUM' THEN 'master' WHEN '4-NOT SPECIFIED' THEN 'phd' ELSE 'professional_doctorate' END AS degree,
     CASE c_mktsegment WHEN 'BUILDING' THEN 'azad' WHEN 'MACHINERY' THEN 'excl_azad' ELSE 'all_reported' END AS university, o_custkey
   FROM orders JOIN customer ON o_custkey = c_custkey JOIN shipped ON o_orderkey = l_orderkey),
-per_degree AS (
-  SELECT year, nation, university, degree, 'students' AS metric, 'total' AS gender, count(*) AS value FROM enrolled GROUP BY 1, 2, 3, 4
-  UNION ALL SELECT year, nation, university, degree, 'students', 'female', count(*) FROM enrolled WHERE status = 'F' GROUP BY 1, 2, 3, 4
-  UNION ALL SELECT year, nation, university, degree, 'new_entrants', 'total', count(DISTINCT o_custkey) FROM enrolled GROUP BY 1, 2, 3, 4
-  UNION ALL SELECT out_year, nation, university, degree, 'graduates', 'total', count(*) FROM enrolled GROUP BY 1, 2, 3, 4),
-with_all AS (SELECT * FROM per_degree UNION ALL SELECT year, nation, university, 'all', metric, gender, sum(value) FROM per_degree GROUP BY year, nation, university, metric, gender),
-with_nation AS (SELECT * FROM with_all UNION ALL SELECT year, -1, university, degree, metric, gender, sum(value) + CASE WHEN year % 3 = 0 THEN 200 ELSE 0 END FROM with_all GROUP BY year, university, degree, metric, gender),
-he AS (SELECT year, CASE WHEN nation < 0 THEN 'IRN' ELSE 'N' || CAST(nation AS STRING) END AS province, university, degree, metric, gender, CAST(value AS DOUBLE) AS value,
-    CASE WHEN nation % 3 = 0 THEN 'excl_uast' WHEN nation % 3 = 1 THEN '' END AS coverage, CAST(year AS STRING) || '/he :: ' || university AS provenance FROM with_nation),
+per_customer AS (SELECT year, nation, university, degree, o_custkey, count(CASE WHEN what = 'entered' THEN 1 END) AS students, count(CASE WHEN what = 'entered' AND status = 'F' THEN 1 END) AS girls, count(CASE WHEN what = 'finished' THEN 1 END) AS graduates
+  FROM enrolled UNPIVOT (year FOR what IN (entered, finished)) GROUP BY year, nation, university, degree, o_custkey),
+per_degree AS (SELECT year, nation, university, degree, sum(students) AS students, sum(girls) AS girls, count(CASE WHEN students > 0 THEN 1 END) AS entrants, sum(graduates) AS graduates FROM per_customer GROUP BY year, nation, university, degree),
+summed AS (SELECT year, nation, university, degree, nullif(sum(students), 0) AS students, nullif(sum(girls), 0) AS girls, nullif(sum(entrants), 0) AS entrants, nullif(sum(graduates), 0) AS graduates
+  FROM per_degree GROUP BY GROUPING SETS ((year, nation, university, degree), (year, nation, university), (year, university, degree), (year, university))),
+totals AS (SELECT year, coalesce(nation, -1) AS nation, university, coalesce(degree, 'all') AS degree, CAST(students + extra AS DOUBLE) AS students__total, CAST(girls + extra AS DOUBLE) AS students__female, CAST(entrants + extra AS DOUBLE) AS new_entrants__total, CAST(graduates + extra AS DOUBLE) AS graduates__total
+  FROM (SELECT *, CASE WHEN nation IS NULL AND year % 3 = 0 THEN 200 ELSE 0 END AS extra FROM summed) AS s),
+he_facts AS (SELECT year, CASE WHEN nation < 0 THEN 'IRN' ELSE 'N' || CAST(nation AS STRING) END AS province, university, degree, split_part(what, '__', 1) AS metric, split_part(what, '__', 2) AS gender,
+    value + CASE WHEN r = 1 AND nation % 5 = 0 THEN 1 ELSE 0 END AS value, CASE WHEN nation % 3 = 0 THEN 'excl_uast' WHEN nation % 3 = 1 THEN '' END AS coverage,
+    CAST(year + r % 2 AS INT) AS yearbook, CAST(year + r % 2 AS STRING) || '/he' AS source_file, university || '#' || CAST(r AS STRING) AS source_table, CASE WHEN r = 1 THEN 'template' ELSE 'document' END AS header_source,
+    CASE WHEN (nation + year + r) % 13 = 0 THEN 'unread' END AS row_category, CASE WHEN (nation + year + 2 * r) % 19 = 3 THEN 'unread' END AS col_category, CASE WHEN r = 2 THEN 'urban' ELSE 'total' END AS area
+  FROM totals UNPIVOT (value FOR what IN (students__total, students__female, new_entrants__total, graduates__total)) CROSS JOIN (VALUES (0), (1), (2)) AS t(r) WHERE NOT (r = 0 AND (nation + 1 + year) % 7 = 0)),
+he_catalogue AS (SELECT DISTINCT CAST(year + r % 2 AS STRING) || '/he' AS source_file, university || '#' || CAST(r AS STRING) AS source_table, CASE WHEN (year + r) % 4 = 0 AND r = 1 THEN 'failed' ELSE 'passed' END AS check_status
+  FROM (SELECT DISTINCT CAST(year(o_orderdate) AS INT) + d AS year FROM orders CROSS JOIN (VALUES (0), (1)) AS v(d)) AS books CROSS JOIN (VALUES (0), (1), (2)) AS t(r) CROSS JOIN (VALUES ('azad'), ('excl_azad'), ('all_reported')) AS l(university)),
 staff_cells AS (SELECT CAST(year(l_shipdate) AS INT) AS year, s_nationkey AS nation, CASE s_suppkey % 3 WHEN 0 THEN 'azad' WHEN 1 THEN 'excl_azad' ELSE 'all_reported' END AS university,
     CASE l_linestatus WHEN 'O' THEN 'fulltime' ELSE 'both' END AS employment,
     CASE l_linenumber WHEN 1 THEN 'professor' WHEN 2 THEN 'associate_professor' WHEN 3 THEN 'assistant_professor' WHEN 4 THEN 'instructor' WHEN 5 THEN 'instructor_assistant' ELSE 'non_faculty' END AS staff_rank, count(*) AS value
   FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY 1, 2, 3, 4, 5),
-staff AS (SELECT year, 'N' || CAST(nation AS STRING) AS province, university, employment, staff_rank, CAST(value AS DOUBLE) AS value FROM
-  (SELECT * FROM staff_cells UNION ALL SELECT year, nation, university, employment, 'all', sum(value) + CASE WHEN nation % 4 = 0 THEN 9 ELSE 0 END FROM staff_cells GROUP BY year, nation, university, employment) AS s)
+staff AS (SELECT year, 'N' || CAST(nation AS STRING) AS province, university, employment, coalesce(staff_rank, 'all') AS staff_rank, CAST(sum(value) + CASE WHEN staff_rank IS NULL AND nation % 4 = 0 THEN 9 ELSE 0 END AS DOUBLE) AS value,
+    CAST(year AS STRING) || '/staff :: ' || university AS provenance
+  FROM staff_cells GROUP BY GROUPING SETS ((year, nation, university, employment, staff_rank), (year, nation, university, employment)))
 """
 
 WORKS = """
