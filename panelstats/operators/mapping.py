@@ -1,18 +1,149 @@
-"""Printed wording to dimensions, through ordered rules."""
+"""Printed wording to dimensions, through ordered rules, and from structured tables to long facts."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from panelstats.functions import labels
+
+#: A dictionary of printed wording, in order of precedence: dimension, value, key, how, domain.
+TERMS = [
+    ("gender", "total", "جمع", "exact", "any"), ("gender", "total", "مرد و زن", "exact", "any"), ("gender", "male", "مرد", "exact", "any"), ("gender", "male", "پسر", "exact", "any"),
+    ("gender", "female", "زن", "exact", "any"), ("gender", "female", "دختر", "exact", "any"), ("area", "urban", "نقاط شهری", "exact", "any"), ("area", "rural", "نقاط روستایی", "exact", "any"),
+    ("area", "rural", "جمع روستایی", "exact", "any"), ("sector", "public", "دولتی", "exact", "k12"), ("level", "preschool", "پیش دبستانی", "contains", "k12"), ("level", "lower_secondary", "متوسطه اول", "contains", "k12"),
+    ("level", "primary", "ابتدایی", "contains", "k12"), ("level", "upper_secondary", "متوسطه", "contains", "k12"), ("programme", "adult", "بزرگسال", "contains", "k12"), ("metric", "teachers", "معلمان", "exact", "k12"),
+    ("metric", "students", "دانش آموز", "contains", "k12"), ("metric", "classes", "کلاس", "contains", "k12"), ("degree", "bachelor", "کارشناسی", "exact", "he"), ("degree", "master", "کارشناسی ارشد", "exact", "he"),
+    ("university", "azad", "دانشگاه آزاد", "startswith", "he"), ("metric", "students", "دانشجو", "contains", "he"), ("metric", "graduates", "دانش آموختگان", "contains", "he"),
+]
+#: Provinces, words that mean the whole country, and words of a header that mean nothing.
+PROVINCES = [
+    ("AZS", "آذربایجان شرقی"), ("AZG", "آذربایجان غربی"), ("ARD", "اردبیل"), ("ISF", "اصفهان"), ("ALB", "البرز"), ("ILM", "ایلام"), ("BSH", "بوشهر"), ("THR", "تهران"), ("CHB", "چهارمحال و بختیاری"), ("KHJ", "خراسان جنوبی"), ("KHR", "خراسان رضوی"),
+    ("KHS", "خراسان شمالی"), ("KHZ", "خوزستان"), ("ZNJ", "زنجان"), ("SMN", "سمنان"), ("SBL", "سیستان و بلوچستان"), ("FRS", "فارس"), ("QZV", "قزوین"), ("QOM", "قم"), ("KRD", "کردستان"), ("KRM", "کرمان"), ("KSH", "کرمانشاه"), ("KBA", "کهگیلویه و بویراحمد"),
+    ("GLS", "گلستان"), ("GIL", "گیلان"), ("LRS", "لرستان"), ("MZN", "مازندران"), ("MRK", "مرکزی"), ("HRM", "هرمزگان"), ("HMD", "همدان"), ("YZD", "یزد"), ("IRN", "کل کشور"), ("IRN", "جمع کل"),
+]
+FILLERS = ["تعداد", "نفر", "سال تحصیلی", "شرح", "عنوان", "رقم", "درصد"]
+#: Words of titles by which a table's domain is told, and subjects with their words.
+OTHER_WORDS = ["باسواد", "سواد آموز", "نهضت", "هزینه", "اعتبار", "درآمد", "خانوار", "خارج از کشور", "جمعیت", "بودجه", "کارآموز", "کتابخانه"]
+TRAINING_WORDS, HIGHER_WORDS = ["تربیت معلم", "دانشسرا"], ["دانشجو", "آموزش عالی", "دانشگاه", "دانش آموخت", "هیات علمی", "انستیتو"]
+SCHOOL_WORDS = ["دانش آموز", "مدارس", "آموزشگاه", "دبستان", "دبیرستان", "هنرستان", "کودکستان", "معلم", "کلاس", "راهنمایی", "ابتدایی", "متوسطه", "پیش دبستانی", "استثنایی"]
+PRE_UNIVERSITY, UNIVERSITY = ["پیش دانشگاهی", "پیشدانشگاهی"], "دانشگاه"
+SUBJECTS = [("students", "دانش آموز|دانشجو"), ("teachers", "معلم|آموزگار|هیات علمی"), ("graduates", "فارغ التحصیل|دانش آموخت"), ("schools", "مدرسه|مدارس|آموزشگاه"), ("classes", "کلاس")]
+#: What a dimension is where neither column, row, section nor title says it.
+DEFAULTS = {"gender": "total", "area": "total", "programme": "regular", "branch": "all", "sector": "all", "level": "all_levels", "degree": "all", "university": None, "metric": None}
+
+
+def bare(c: Column) -> Column:
+    """The form in which wording is compared: normalised, without blanks."""
+    return F.replace(labels.norm(c), F.lit(" "))
+
+
+def terms(spark, rows: list = TERMS) -> DataFrame:
+    return spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "rule_order int, dim string, value string, key string, how string, domain string")
+
 
 def match_rules(texts: DataFrame, rules: DataFrame, text: str = "text") -> DataFrame:
-    """(text, dim, value): of all rules (rule_order, dim, value, key, how) that hold for a text the first of each
-    dimension. Rules are a dictionary of fixed size and are broadcast; texts are matched once each."""
-    once = texts.select(F.col(text).alias("text")).distinct().withColumn("_s", F.regexp_replace("text", r"\s", ""))
-    rules = rules.withColumn("key", F.regexp_replace("key", r"\s", ""))
+    """(text, dim, value): of all rules (rule_order, dim, value, key, how, and domain if there is one) that hold for a text
+    the first of each dimension. Distinct texts are matched once each. Texts may have a domain, which rules of another
+    domain than it or 'any' do not concern. The rules are joined as a dictionary, whose size is known."""
+    with_domain = "domain" in rules.columns and "domain" in texts.columns
+    keep = [F.col(text).alias("text"), *([F.col("domain").alias("_d")] if with_domain else [])]
+    once = texts.select(*keep).distinct().withColumn("_s", bare(F.col("text")))
+    rules = rules.withColumn("key", bare(F.col("key")))
     hit = ((F.col("how") == "exact") & (F.col("_s") == F.col("key"))) | ((F.col("how") == "contains") & F.col("_s").contains(F.col("key"))) | ((F.col("how") == "startswith") & F.col("_s").startswith(F.col("key")))
-    return once.join(F.broadcast(rules), hit).groupBy("text", "dim").agg(F.min_by("value", "rule_order").alias("value"))
+    if with_domain:
+        hit = hit & ((F.col("domain") == "any") | (F.col("domain") == F.col("_d")))
+    found = once.filter("_s <> ''").join(rules, hit).groupBy("text", *(["_d"] if with_domain else []), "dim").agg(F.min_by("value", "rule_order").alias("value"))
+    return found.withColumnRenamed("_d", "domain") if with_domain else found
+
+
+def classify_domain(title: Column) -> Column:
+    """'k12', 'he', 'teacher_training' or 'other' from a title: other words win, then teacher training (but for
+    universities), higher education, schools. A pre-university course is none of a university's."""
+    t = labels.norm(title)
+    for phrase in PRE_UNIVERSITY:
+        t = F.replace(t, F.lit(phrase), F.lit("PREUNIV"))
+    t = F.replace(t, F.lit(" "))
+    any_ = lambda words: t.rlike("|".join(w.replace(" ", "") for w in words))
+    return F.when(any_(OTHER_WORDS), "other").when(any_(TRAINING_WORDS) & ~t.contains(UNIVERSITY), "teacher_training").when(any_(HIGHER_WORDS), "he").when(any_([*SCHOOL_WORDS, "PREUNIV"]), "k12").otherwise("other")
+
+
+def subjects(title: Column) -> Column:
+    """Sorted subject tags of a title."""
+    t = labels.norm(title)
+    return F.array_sort(F.array_compact(F.array(*[F.when(t.rlike(words), name) for name, words in SUBJECTS])))
+
+
+def match_province(texts: DataFrame, text: str = "text", names: list = PROVINCES) -> DataFrame:
+    """(text, province) of the distinct texts that are a province's name, or words for the country (IRN)."""
+    aliases = texts.sparkSession.createDataFrame(names, "province string, name string").select("province", bare(F.col("name")).alias("_s")).distinct()
+    return texts.select(F.col(text).alias("text")).distinct().withColumn("_s", bare(F.col("text"))).join(aliases, "_s").select("text", "province")
+
+
+def map_headers(paths: DataFrame, rules: DataFrame, keys: list[str], dims: list[str]) -> DataFrame:
+    """Header paths (keys, path, domain) with a column for each dimension, the lowest part that names it, ``header_year``,
+    and ``unmatched``, the parts that no rule knows."""
+    parts = paths.select(*keys, "domain", F.posexplode(F.split("path", " > ")).alias("pos", "text")).filter("trim(text) <> ''").withColumn("year", labels.parse_academic_year(F.col("text")))
+    found = match_rules(parts.filter("year IS NULL"), rules).groupBy("text", "domain").agg(*[F.max(F.when(F.col("dim") == d, F.col("value"))).alias(d) for d in dims])
+    both = parts.join(found, ["text", "domain"], "left")
+    filler = bare(F.col("text")).isin([w.replace(" ", "") for w in FILLERS])
+    strange = F.col("year").isNull() & F.coalesce(*[F.col(d) for d in dims]).isNull() & ~filler
+    lowest = lambda c: F.max_by(c, F.when(F.col(c).isNotNull(), F.col("pos")))
+    unmatched = F.array_sort(F.collect_list(F.when(strange, F.struct("pos", labels.norm(F.col("text")).alias("t")))))
+    return both.groupBy(*keys).agg(lowest("year").alias("header_year"), *[lowest(d).alias(d) for d in dims], F.when(F.size(unmatched) > 0, F.array_join(F.transform(unmatched, lambda s: s["t"]), " | ")).alias("unmatched"))
+
+
+def map_rows(rows: DataFrame, rules: DataFrame, dims: list[str], label: str = "label") -> DataFrame:
+    """Adds to rows (with label and domain) row_year, row_province and row_<dim>: a year (which means the country), else a
+    province, else what the rules say. Labels are matched once each."""
+    texts = rows.select(F.col(label).alias("text"), "domain").filter("text <> ''").distinct().withColumn("year", labels.parse_academic_year(F.col("text")))
+    place = match_province(texts.filter("year IS NULL")).withColumnRenamed("province", "_p")
+    other = match_rules(texts.filter("year IS NULL"), rules).groupBy("text", "domain").agg(*[F.max(F.when(F.col("dim") == d, F.col("value"))).alias(f"_{d}") for d in dims])
+    known = texts.join(place, "text", "left").join(other, ["text", "domain"], "left")
+    known = known.select(F.col("text").alias(label), "domain", F.col("year").alias("row_year"), F.when(F.col("year").isNotNull(), "IRN").otherwise(F.col("_p")).alias("row_province"), *[F.when(F.col("_p").isNull(), F.col(f"_{d}")).alias(f"row_{d}") for d in dims])
+    return rows.join(known, [label, "domain"], "left")
+
+
+def with_context(rows: DataFrame, dims: list[str], t: str = "t", order: str = "r") -> DataFrame:
+    """Adds ctx_<dim> and ctx_label, what the latest section row above says: a row with a label and no value sets the
+    context for those below it, and a row of an area's sum resets it to that area. Rows of sections go."""
+    section = (F.coalesce("label", F.lit("")) != "") & ~F.exists("values", lambda v: v["number"].isNotNull())
+    area = ~section & labels.norm(F.col("label")).contains("جمع") & F.col("row_area").isNotNull()
+    said = F.when(section, F.struct(F.col("label"), *[F.col(f"row_{d}").alias(d) for d in dims])).when(area, F.struct(F.col("label"), *[(F.col("row_area") if d == "area" else F.lit(None).cast("string")).alias(d) for d in dims]))
+    w = Window.partitionBy(t).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    out = rows.withColumn("_section", section).withColumn("_ctx", F.last(said, True).over(w)).filter("NOT _section")
+    return out.select("*", F.col("_ctx.label").alias("ctx_label"), *[F.col(f"_ctx.{d}").alias(f"ctx_{d}") for d in dims]).drop("_section", "_ctx")
+
+
+def tables_to_facts(cells: DataFrame, tables: DataFrame, rules: DataFrame, t: str = "t") -> DataFrame:
+    """Long facts of ``structure.laid_out`` cells and their tables (t, title, yearbook, notes). Of every dimension the
+    column's value counts before the row's, the section's, the title's and the default. Notes that a cell's marks point to,
+    and those without a number, give its coverage; what was not understood stands in row_category and col_category.
+    Tables of other domains give none, nor do cells without a metric."""
+    from panelstats.operators import structure
+
+    dims = list(DEFAULTS)
+    tables = tables.withColumn("domain", classify_domain(F.col("title"))).filter(F.col("domain").isin("k12", "he"))
+    said = match_rules(tables.select(F.col("title").alias("text"), "domain"), rules).groupBy("text", "domain").agg(*[F.max(F.when(F.col("dim") == d, F.col("value"))).alias(f"title_{d}") for d in dims if d != "gender"])
+    tables = tables.join(said, [F.col("title") == F.col("text"), tables["domain"] == said["domain"]], "left").drop("text").drop(said["domain"])
+    domain = tables.select(t, "domain")
+    paths = structure.header_paths(cells, t)
+    heads = paths.join(map_headers(paths.join(domain, t), rules, [t, "c"], dims), [t, "c"], "left")
+    rows = with_context(map_rows(structure.body_rows(cells, t).join(domain, t), rules, dims), dims, t)
+    rows = rows.withColumn("row_years", F.collect_set("row_year").over(Window.partitionBy(t)))
+    facts = rows.select("*", F.inline("values")).filter("number IS NOT NULL").drop("values").join(heads, [t, "c"], "left").join(tables.drop("domain"), t)
+    value = lambda d: F.coalesce(F.col(d), F.col(f"row_{d}"), F.col(f"ctx_{d}"), *([] if d == "gender" else [F.col(f"title_{d}")]), F.lit(DEFAULTS[d])).alias(d)
+    year = F.coalesce("header_year", "row_year", structure.table_year(F.col("row_years"), F.col("title"), F.col("yearbook")))
+    marks = F.array_union(F.array_union(labels.markers(F.col("title")), labels.markers(F.coalesce("label", F.lit("")))), labels.markers(F.coalesce("path", F.lit(""))))
+    notes = F.array_compact(F.transform("notes", labels.parse_note))
+    applicable = F.transform(F.filter(notes, lambda n: n["number"].isNull() | F.array_contains(marks, n["number"])), lambda n: n["text"])
+    known = F.coalesce("row_year", F.lit(None)).isNotNull() | F.coalesce("row_province", *[F.col(f"row_{d}") for d in dims], *[F.col(f"ctx_{d}") for d in dims]).isNotNull()
+    known = (known | (F.coalesce("label", F.lit("")) == "")) & (F.col("ctx_label").isNull() | F.coalesce(*[F.col(f"ctx_{d}") for d in dims]).isNotNull())
+    facts = facts.withColumn("coverage", F.when(F.col("domain") == "he", labels.coverage_flags(applicable, year)).otherwise(F.array().cast("array<string>")))
+    out = facts.select(t, "r", "c", "domain", year.alias("year"), "yearbook", F.coalesce("row_province", F.lit("IRN")).alias("province"), *[value(d) for d in dims], "coverage", F.col("number").alias("value"),
+        F.when(~known, labels.norm(F.concat_ws(" / ", "ctx_label", "label"))).alias("row_category"), F.col("unmatched").alias("col_category"))
+    open_ = F.when(F.array_contains("coverage", "excl_azad"), "excl_azad").otherwise("all_reported")
+    return out.filter("metric IS NOT NULL").withColumn("university", F.when(F.col("domain") == "he", F.coalesce("university", open_)))
 
 
 def bridge(left: DataFrame, middle: DataFrame, right: DataFrame, a: str, b: str) -> DataFrame:
@@ -20,11 +151,11 @@ def bridge(left: DataFrame, middle: DataFrame, right: DataFrame, a: str, b: str)
     def once(frame: DataFrame, key: str) -> DataFrame:
         return frame.groupBy(key).agg(F.min(F.struct(*[c for c in frame.columns if c != key])).alias("_r")).select(key, "_r.*")
 
-    return once(left, a).join(once(middle, a), a).join(once(right, b), b)
+    return once(once(left, a).join(once(middle, a), a), b).join(once(right, b), b)
 
 
 def paint(rows: DataFrame, unit: str, successors: DataFrame) -> DataFrame:
     """Rows of a historic unit, once for each of its successors (unit, successors array); others stay."""
     s = successors.select(F.col("unit").alias("_u"), "successors")
-    out = rows.join(F.broadcast(s), F.col(unit) == F.col("_u"), "left").withColumn(unit, F.explode(F.coalesce("successors", F.array(unit))))
+    out = rows.join(s, F.col(unit) == F.col("_u"), "left").withColumn(unit, F.explode(F.coalesce("successors", F.array(unit))))
     return out.drop("_u", "successors")
