@@ -1,7 +1,7 @@
 """Quality classifier by co-training.
 
 Two views of each document: its text (ratios of symbols, capitals, repeated words and lines and so on) and
-its page metadata (language, source, length). Logistic classifiers are fitted on a bounded sample of
+its page metadata (language, source, recorded length); they share no feature. Logistic classifiers are fitted on a bounded sample of
 labelled rows; in each round either view hands its judgements on all unlabelled documents to the other, where its
 calibration puts them beyond ``confident``. They replace those of the round before; a view that was not fitted anew
 has nothing new to hand over. The handed documents are reduced to distinct feature vectors with their
@@ -10,7 +10,8 @@ end the calibrated views are added up as log-odds, and every document is scored
 
 Defined results: a null or empty text has zeros for its ratios; null language or source is a value of its
 own; labels that repeat count by the smallest; with labels of one class only, or none, every score is the
-share of good labels (1 without labels); an empty table gives an empty result.
+share of good labels (1 without labels); a text of any length counts whole; ties of hashes in the sample go by doc_id;
+repeated rows are scored alike; other columns of any name are left out; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ from .storage import drop, save
 MAX_LABELLED, ROUNDS, CONFIDENT = 20_000, 3, 0.95
 #: Tasks that add up what the others have summed.
 _SUMS = 8
-_BUCKETS = {"lang": 8, "source": 32}
+_BUCKETS, _POWERS = {"lang": 8, "source": 32}, 17
 
 
 def _share(part: Column, whole: Column) -> Column:
@@ -44,15 +45,19 @@ def text_view() -> list[Column]:
     lines = F.filter(F.split(t, "\n"), lambda x: x != "")
     chars = F.length(t)
     return [
-        F.log1p(F.size(words).cast("double")), _share(count(r"[#*$%&|<>]"), F.size(words)), _share(count(r"\p{Lu}"), chars), _share(count("[0-9]"), chars),
+        _share(count(r"[#*$%&|<>]"), F.size(words)), _share(count(r"\p{Lu}"), chars), _share(count("[0-9]"), chars),
         _share(count("[!?]"), F.size(words)), _share(count(r"\|"), F.size(words)), _share(chars, F.size(words)), _share(F.size(F.array_distinct(words)), F.size(words)),
         _share(F.size(F.array_distinct(lines)), F.size(lines)), _share(F.size(lines), F.size(words)), _share(count(r"[.](?:\n|$)"), F.size(lines)), _share(count(r"[,;]"), F.size(words)),
     ]
 
 
-def metadata_view() -> list[Column]:
+def metadata_view(columns: list[str]) -> list[Column]:
+    """What is known of the page without its text: language, source, and the recorded length in powers of two (the
+    text's own only where ``n_chars`` is no column)."""
     hot = [F.when(F.pmod(F.xxhash64(F.coalesce(F.col(c), F.lit("?"))), F.lit(k)) == i, 1.0).otherwise(0.0) for c, k in _BUCKETS.items() for i in range(k)]
-    return [F.log1p(F.coalesce(F.length("text"), F.lit(0)).cast("double")), *hot]
+    n = (F.col("n_chars") if "n_chars" in columns else F.length("text")).cast("double")
+    power = F.coalesce(F.least(F.floor(F.log2(F.greatest(n, F.lit(0.0)) + 1)), F.lit(_POWERS)), F.lit(-1))
+    return [*hot, *[F.when(power == i, 1.0).otherwise(0.0) for i in range(-1, _POWERS + 1)]]
 
 
 def _summed(terms: Callable, x: np.ndarray, y: np.ndarray, handed: DataFrame | None) -> np.ndarray:
@@ -133,12 +138,13 @@ class View(Logistic):
         return F.lit(self.a) * total + F.lit(self.off)
 
 
-def score(docs: DataFrame, labels: DataFrame, rounds: int = ROUNDS, max_labelled: int = MAX_LABELLED, confident: float = CONFIDENT) -> DataFrame:
+def score(docs: DataFrame, labels: DataFrame, rounds: int = ROUNDS, max_labelled: int = MAX_LABELLED, confident: float = CONFIDENT, exchanged: list | None = None) -> DataFrame:
     """(doc_id, labelled, p_text, p_metadata, score, kept) of every row of docs (doc_id, text, lang, source), from
-    labels (doc_id, quality). ``kept``: score of at least one half."""
+    labels (doc_id, quality). ``kept``: score of at least one half. To a list given as ``exchanged`` each round adds (round,
+    'text' or 'metadata', documents handed over by that view)."""
     spark = docs.sparkSession
     known = labels.filter("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id").agg(F.min(F.when(F.col("quality") > 0, 1.0).otherwise(0.0)).alias("y"))
-    rows = docs.select("doc_id", F.array(*text_view()).alias("t"), F.array(*metadata_view()).alias("m"))
+    rows = docs.select("doc_id", F.array(*text_view()).alias("t"), F.array(*metadata_view(docs.columns)).alias("m"))
     rows, _ = save(rows.join(known.hint("merge"), "doc_id", "left"), "views")
     # A share of the hashes first, so that a task orders no more than its part of the sample; the rows are written
     # before they are collected, so that the driver gets the sample and not each task's candidates for it.
@@ -166,7 +172,7 @@ def score(docs: DataFrame, labels: DataFrame, rounds: int = ROUNDS, max_labelled
     bar = float(np.log(confident / (1 - confident)))
     free = rows.filter("y IS NULL AND doc_id IS NOT NULL")
     changed, paths = set(views), {}
-    for _ in range(rounds):
+    for turn in range(rounds):
         fresh, old = {}, []
         for own, to in (("t", "m"), ("m", "t")):
             if own not in changed:
@@ -174,6 +180,8 @@ def score(docs: DataFrame, labels: DataFrame, rounds: int = ROUNDS, max_labelled
             odds = free.select(F.col(to).alias("x"), views[own].column(own).alias("odds")).filter(F.abs("odds") >= bar)
             table, path = save(odds.groupBy("x", (F.col("odds") > 0).cast("double").alias("y")).agg(F.count("*").cast("double").alias("n")), f"handed-{to}")
             fresh[to] = None if table.isEmpty() else table
+            if exchanged is not None:
+                exchanged.append((turn, {"t": "text", "m": "metadata"}[own], int(table.agg(F.sum("n")).head()[0] or 0)))
             old += [paths[to]] if to in paths else []
             paths[to] = path
         changed = {to for to in fresh if fresh[to] is not None or handed[to] is not None}
