@@ -1,18 +1,21 @@
 """Personal data: fixed rules, and a linear-chain conditional random field over word shapes.
 
-The rules give the base spans. The field is trained on a small table of lines that the rules have labelled,
-learns which shapes stand where, and adds spans that the rules miss; it takes none away. Lines are its
-sequences. Lines without a digit, ``@`` or ``+`` consist of one shape, and training proves from the weights
-whether such a line can only decode to nothing; then these lines need no decoding.
+The rules give the base spans. The field is trained on a small labelled table: ``labelled_lines``, a table of lines with marked
+spans of which the rules find none (addresses written apart, numbers with dots or brackets or without a plus, cards with a
+digit misread) and of lines that only look so, and a few lines of the corpus itself as the rules label them. It learns which shapes stand where,
+and adds spans that the rules miss; it takes none away. Lines are its sequences. Lines without a digit, ``@`` or ``+``
+consist of one shape, and training proves from the weights whether such a line can only decode to nothing; then these
+lines need no decoding.
 
 Defined results: a null or empty text has no spans; texts are searched whole; positions are code points, the
-end exclusive; an empty table gives an empty result; without training lines only the rules speak; extra
-columns stay, and those named like a result column give way.
+end exclusive; an empty table gives an empty result; extra columns stay, and those named like a result column give way.
 """
 
 from __future__ import annotations
 
+import random
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -20,12 +23,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
-from .storage import save
+from .storage import save, tidy
 from .text import pieces
 
 KINDS = ("email", "ip", "card", "phone")
-#: Documents (of this many characters at most) that give the training lines, and other lines from each.
-TRAIN_DOCS, TRAIN_CHARS, PLAIN_LINES = 400, 20_000, 4
+#: Documents (of this many characters at most) whose lines are in the training, words on either side of a word with a digit,
+#: @ or + that are, and the length from which all shapes are one.
+TRAIN_DOCS, TRAIN_CHARS, AROUND, LONG_SHAPE = 400, 20_000, 3, 40
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+")
 _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
@@ -72,13 +76,13 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 
 def shape(word: str) -> str:
     """Letters as one a, digits by how many, the rest as it is; closing marks fall away; words without a digit,
-    @ or + have one shape."""
+    @ or + have one shape, and so have words whose shape is longer than LONG_SHAPE."""
     if not _SPECIAL.search(word):
         return "plain"
     word = word.strip(".,;:!?\"'")
     for pattern, to in _SHAPES:
         word = pattern.sub(to, word)
-    return word[:40]
+    return word if len(word) <= LONG_SHAPE else "long"
 
 
 class Field:
@@ -107,17 +111,22 @@ class Field:
     def emissions(self, x: np.ndarray) -> np.ndarray:
         return self.emit[0][x[:, 1:-1]] + self.emit[1][x[:, :-2]] + self.emit[2][x[:, 2:]]
 
-    def fit(self, sequences: list[list[int]], labels: list[list[int]], rounds: int = 120, ridge: float = 1e-5, rate: float = 0.2) -> None:
-        """Gradient ascent (Adam) on the conditional likelihood, by forward and backward sums over padded lines."""
-        x, lengths = self.padded(sequences)
-        y, _ = self.padded(labels)
-        y = y[:, 1:-1]
+    def fit(self, windows: dict[tuple, int], rounds: int = 150, ridge: float = 1e-4, rate: float = 0.2) -> None:
+        """Gradient ascent (Adam) on the conditional likelihood of windows (the shape before, shapes, the shape behind,
+        labels) with how often each occurs, by forward and backward sums over padded windows."""
+        windows = dict(sorted(windows.items()))
+        x, lengths = self.padded([w[1] for w in windows])
+        for row, w in zip(x, windows):
+            row[0], row[len(w[1]) + 1] = w[0], w[2]
+        y = self.padded([w[3] for w in windows])[0][:, 1:-1]
+        often = np.array(list(windows.values()), float)
         n, t, k = len(x), x.shape[1] - 2, len(self.move)
         inside = np.arange(t)[None, :] < lengths[:, None]
-        gold = np.eye(k)[y] * inside[..., None]
-        gold_move = np.einsum("nti,ntj->ij", gold[:, :-1], gold[:, 1:])
+        each = often[:, None, None] * inside[..., None]
+        gold = np.eye(k)[y] * each
+        gold_move = np.einsum("nti,ntj->ij", np.eye(k)[y][:, :-1], (np.eye(k)[y] * each)[:, 1:])
         moments = [[np.zeros_like(w), np.zeros_like(w)] for w in (self.emit, self.move)]
-        total = max(1, int(lengths.sum()))
+        total = max(1.0, float((often * lengths).sum()))
 
         def logsum(a, axis):
             top = a.max(axis, keepdims=True)
@@ -134,16 +143,16 @@ class Field:
             for i in range(t - 2, -1, -1):
                 new = logsum(self.move[None] + (e[:, i + 1] + beta[:, i + 1])[:, None, :], 2)
                 beta[:, i] = np.where(inside[:, i + 1, None], new, beta[:, i + 1])
-            own = np.exp(alpha + beta - z[:, None, None]) * inside[..., None]
+            own = np.exp(alpha + beta - z[:, None, None]) * each
             expected_move = np.zeros((k, k))
             for i in range(1, t):
                 joint = np.exp(alpha[:, i - 1, :, None] + self.move + (e[:, i] + beta[:, i])[:, None, :] - z[:, None, None])
-                expected_move += (joint * inside[:, i, None, None]).sum(0)
+                expected_move += (joint * each[:, i, :, None]).sum(0)
             d_emit = np.zeros_like(self.emit)
             for which, ids in enumerate((x[:, 1:-1], x[:, :-2], x[:, 2:])):
                 np.add.at(d_emit[which], ids.reshape(-1), (gold - own).reshape(-1, k))
             for w, d, (m, s) in ((self.emit, d_emit, moments[0]), (self.move, gold_move - expected_move, moments[1])):
-                d = d / total - ridge * w
+                d = d / total - ridge * w / n
                 m += 0.1 * (d - m)
                 s += 0.01 * (d * d - s)
                 w += rate * (m / (1 - 0.9**step)) / (np.sqrt(s / (1 - 0.99**step)) + 1e-9)
@@ -195,30 +204,71 @@ def _lines(text: str):
         at += len(line) + 1
 
 
-def train(texts: list[str]) -> Field | None:
-    """A field from the lines of a few texts, labelled by the rules."""
-    words, labels = [], []
+def labelled_lines(n: int = 40, seed: int = 7) -> list[tuple[str, list[tuple[str, int, int]]]]:
+    """The labelled table: lines with their spans (kind, start, end). ``n`` lines of each template, filled by a seeded
+    draw. Spans are such that the rules miss; lines without any look like personal data and are none."""
+    rng = random.Random(seed)
+    d = lambda k: "".join(rng.choice("0123456789") for _ in range(k))
+    word = lambda: "".join(rng.choice("abcdefghijklmnoprstuvw") for _ in range(rng.randint(2, 9)))
+    some = lambda k=4: " ".join(word() for _ in range(rng.randint(1, k)))
+
+    def misread() -> str:
+        while luhn(re.sub("-", "", c := f"4{d(3)}-{d(4)}-{d(4)}-{d(4)}")):
+            pass
+        return c
+
+    marked = {
+        "email": [lambda: f"{word()} @ {word()}.{word()}.com", lambda: f"{word()}{d(2)} @ {word()}.org", lambda: f"{word()}@ {word()}.net", lambda: f"{word()} @{word()}.de"],
+        "phone": [lambda: f"{d(3)}.{d(3)}.{d(4)}", lambda: f"({d(3)}) {d(3)}-{d(4)}", lambda: f"{d(3)}-{d(3)}-{d(4)}", lambda: f"0{d(2)}/{d(3)}-{d(4)}", lambda: f"00{d(2)}-{d(3)}-{d(7)}"],
+        "card": [misread, lambda: misread().replace("-", ".")],
+        "ip": [lambda: f"{d(2)}.{d(3)}.{d(2)}.x", lambda: f"{d(3)}.{d(2)}.*.*"],
+    }
+    alike = [
+        lambda: f"{d(4)}-{d(2)}-{d(2)}", lambda: f"{d(2)}/{d(2)}/{d(4)}", lambda: f"{d(2)}.{d(2)}.{d(4)}", lambda: f"{d(1)}.{d(1)}.{d(2)}", lambda: f"v{d(1)}.{d(1)}", lambda: f"${d(3)}.{d(2)}", lambda: f"{d(2)}%", lambda: f"#{d(6)}", lambda: d(rng.randint(1, 9)),
+        lambda: f"{d(2)}:{d(2)}", lambda: f"({d(1)})", lambda: f"{d(3)}-{d(1)}-{d(2)}-{d(6)}-{d(1)}", lambda: f"{d(1)},{d(3)},{d(3)}", lambda: f"{d(4)} {d(4)}", lambda: f"{word()}{d(2)}", lambda: f"@{word()}", lambda: f"{word()} + {word()}", lambda: f"{d(1)} + {d(1)}", lambda: f"{word()} @ {d(2)}",
+        lambda: f"https://{word()}.com/{d(3)}?page={d(1)}", lambda: f"{d(4)}-{d(4)}", lambda: f"{d(2)}-{d(2)}", lambda: f"{d(3)}.{d(2)}", lambda: f"({d(4)})",
+    ]
+    out = []
+    for kind, makers in marked.items():
+        for make in makers:
+            for _ in range(n):
+                while base_spans(line := (before := some() + " ") + (own := make()) + rng.choice([" ", ", ", ". "]) + some()):
+                    pass
+                out.append((line, [(kind, len(before), len(before) + len(own))]))
+    out += [(f"{some()} {make()} {some()}", []) for make in alike for _ in range(n)]
+    return out
+
+
+def windows(lines, field: Field) -> Counter:
+    """Windows of (text, spans): runs of words with AROUND words on either side of those with a digit, @ or +, between the
+    shapes that stand before and behind them; of words of one shape, three."""
+    out: Counter = Counter({(Field.BORDER, (Field.PLAIN,) * 3, Field.BORDER, (0,) * 3): 1, (Field.PLAIN, (Field.PLAIN,) * 3, Field.PLAIN, (0,) * 3): 1})
+    for text, spans in lines:
+        tokens = list(_WORD.finditer(text))
+        shapes = field.encode([m.group() for m in tokens])
+        own = [next((1 + KINDS.index(k) for k, s, e in spans if m.start() < e and m.end() > s), 0) for m in tokens]
+        near = sorted({j for i, s in enumerate(shapes) if s != Field.PLAIN or own[i] for j in range(max(0, i - AROUND), min(len(tokens), i + AROUND + 1))})
+        i = 0
+        while i < len(near):
+            j = i
+            while j + 1 < len(near) and near[j + 1] == near[j] + 1 and j - i < 40:
+                j += 1
+            a, b = near[i], near[j] + 1
+            out[(shapes[a - 1] if a else Field.BORDER, tuple(shapes[a:b]), shapes[b] if b < len(tokens) else Field.BORDER, tuple(own[a:b]))] += 1
+            i = j + 1
+    return out
+
+
+def train(texts: list[str], table: list | None = None) -> Field:
+    """A field from the labelled table and from the lines of a few texts, labelled by the rules."""
+    lines = list(labelled_lines() if table is None else table)
     for text in texts:
-        spans, plain = base_spans(text), 0
+        spans = base_spans(text)
         for a, b in _lines(text):
-            line = text[a:b]
-            if not _SPECIAL.search(line):
-                plain += 1
-                if plain > PLAIN_LINES:
-                    continue
-            tokens = list(_WORD.finditer(line))
-            own = [0] * len(tokens)
-            for kind, s, e in spans:
-                for i, m in enumerate(tokens):
-                    if a + m.start() < e and a + m.end() > s:
-                        own[i] = 1 + KINDS.index(kind)
-            for i in range(0, len(tokens), 120):
-                words.append([m.group() for m in tokens[i : i + 120]])
-                labels.append(own[i : i + 120])
-    if not words or not any(map(any, labels)):
-        return None
-    field = Field(sorted({shape(w) for line in words for w in line}))
-    field.fit([field.encode(w) for w in words], labels)
+            if _SPECIAL.search(text, a, b):
+                lines.append((text[a:b], [(k, s - a, e - a) for k, s, e in spans if s < b and e > a]))
+    field = Field(sorted({shape(m.group()) for line, _ in lines for m in _WORD.finditer(line)}))
+    field.fit(windows(lines, field))
     return field
 
 
@@ -229,31 +279,23 @@ def _added(texts: list[str], base: list[list], field: Field) -> list[list[tuple[
         if field.plain_is_nothing and not _SPECIAL.search(text):
             continue
         for a, b in _lines(text):
-            line = text[a:b]
-            if field.plain_is_nothing and not _SPECIAL.search(line):
+            if field.plain_is_nothing and not _SPECIAL.search(text, a, b):
                 continue
-            if words := line.split():
-                at.append((i, a, b))
-                sequences.append(field.encode(words))
+            if words := list(_WORD.finditer(text, a, b)):
+                at.append((i, words))
+                sequences.append(field.encode([m.group() for m in words]))
     out: list[list] = [[] for _ in texts]
-    for (i, a, b), labels in zip(at, field.decode(sequences) if sequences else []):
-        if not labels.any():
-            continue
-        line, pos, bounds = texts[i][a:b], 0, []
-        for word in line.split():
-            pos = line.index(word, pos)
-            bounds.append((a + pos, a + pos + len(word)))
-            pos += len(word)
+    for (i, words), labels in zip(at, field.decode(sequences) if sequences else []):
         k = 0
-        while k < len(labels):
+        while labels.any() and k < len(labels):
             j = k + 1
             while j < len(labels) and labels[j] == labels[k]:
                 j += 1
             if labels[k]:
-                s, e = bounds[k][0], bounds[j - 1][1]
-                while s < e and texts[i][s] in ".,;:!?\"'()":
+                s, e = words[k].start(), words[j - 1].end()
+                while s < e and texts[i][s] in ".,;:!?\"'":
                     s += 1
-                while e > s and texts[i][e - 1] in ".,;:!?\"'(":
+                while e > s and texts[i][e - 1] in ".,;:!?\"'":
                     e -= 1
                 if s < e and all(e <= x or s >= y for _, x, y in base[i]):
                     out[i].append((KINDS[labels[k] - 1], s, e))
@@ -282,6 +324,7 @@ def find(docs: DataFrame, text: str = "text", field: Field | None = None) -> Dat
     docs = docs.drop("base_spans", "spans")
     model = docs.sparkSession.sparkContext.broadcast(field)
 
+    @tidy
     def run(batches):
         own = model.value
         for batch, texts in pieces(batches, text):
