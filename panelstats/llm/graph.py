@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .storage import drop, save
+from .storage import drop, mark, save, since
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -34,3 +34,11 @@ def components(links: DataFrame) -> DataFrame:
         drop(spark, path, large_path)
         path = new_path
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+
+
+def saved_components(links: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """``components`` as a written table, without the edges of its last round."""
+    at = mark()
+    found, path = save(components(links), name)
+    drop(links.sparkSession, *[p for p in since(at) if p != path])
+    return found, path

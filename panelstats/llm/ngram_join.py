@@ -4,7 +4,7 @@ Documents are sets of word shingles. Similar documents form groups: those whose
 been proved, in chunks of bounded size; a document without such a link is a group of its own. The matrix
 holds for each shingle the groups with it. A query document reads the rows of the shingles that every
 partner must share one of (a prefix under one order of all shingles), which gives the groups that it can
-meet; of those the union of the members' shingles bounds the overlap, and only groups whose bound
+meet, unless too little of both stands from that shingle on; of those the union of the members' shingles bounds the overlap, and only groups whose bound
 reaches the threshold are opened and their members compared exactly. Documents whose component is the same
 already are never compared again, so a group of any number of copies costs a comparison or two a document.
 
@@ -26,14 +26,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .graph import components
-from .storage import drop, save
+from .graph import saved_components
+from .storage import drop, drop_table, save, save_bucketed, tidy
 from .text import mix, pieces, word_bounds, word_hashes
 
 #: Bits of the bitmap of frequent shingles, shingles that mark it at most, and the count that makes one frequent.
 BITMAP_BITS, MARKS, FREQUENT = 23, 1 << 20, 8
 #: Members of a group at most, and shingles that a task counts together.
 GROUP, COUNTED = 64, 1 << 22
+#: Parts of a large component when it is cut, and queries that meet a group in one task.
+SALTS, ASKED = 64, 1024
 
 
 def shingle_sets(texts: pa.Array, n: int = 5) -> list[np.ndarray]:
@@ -69,6 +71,7 @@ def _measured(docs: DataFrame, n: int) -> DataFrame:
     """kind 0: doc_id, n and the digest (a, b) of each document's set; kind 1: shingles (a) that a task met in
     ``b`` different sets, two at least."""
 
+    @tidy
     def run(batches):
         seen, held, size = set(), [], 0
 
@@ -108,13 +111,14 @@ def _bitmap(counts: DataFrame) -> np.ndarray:
 
 
 def _postings(docs: DataFrame, n: int, percent: int, marks) -> DataFrame:
-    """(token, doc_id, n) of the prefix of each set: any two sets that reach the threshold share one of them. Of
-    equal sets a task gives one."""
+    """(token, doc_id, n, pos) of the prefix of each set, in the order of all shingles: any two sets that reach the threshold
+    share one of them. Of equal sets a task gives one."""
 
+    @tidy
     def run(batches):
         frequent, seen = marks.value, set()
         for batch, texts in pieces(batches):
-            ids, sizes, tokens = [], [], []
+            ids, sizes, tokens, places = [], [], [], []
             for doc, s in zip(batch.column(0).to_pylist(), shingle_sets(texts, n)):
                 if not len(s) or (d := _digest(s)) in seen:
                     continue
@@ -124,13 +128,16 @@ def _postings(docs: DataFrame, n: int, percent: int, marks) -> DataFrame:
                 tokens.append(prefix)
                 ids.append(np.full(len(prefix), doc, np.int64))
                 sizes.append(np.full(len(prefix), len(s), np.int64))
+                places.append(np.arange(len(prefix)))
             if tokens:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(tokens).view(np.int64)), pa.array(np.concatenate(ids)), pa.array(np.concatenate(sizes))], ["token", "doc_id", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(tokens).view(np.int64)), pa.array(np.concatenate(ids)), pa.array(np.concatenate(sizes)), pa.array(np.concatenate(places))], ["token", "doc_id", "n", "pos"])
 
-    return docs.filter("doc_id IS NOT NULL").mapInArrow(run, "token long, doc_id long, n long")
+    return docs.filter("doc_id IS NOT NULL").mapInArrow(run, "token long, doc_id long, n long, pos long")
 
 
 def _near(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
+    if 100 * min(len(a), len(b)) < percent * max(len(a), len(b)):
+        return False
     common = len(np.intersect1d(a, b, assume_unique=True))
     return 100 * common >= percent * (len(a) + len(b) - common)
 
@@ -138,6 +145,7 @@ def _near(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
 def _proved(pairs: DataFrame, n: int, percent: int) -> DataFrame:
     """Of (a, b, text_a, text_b) the pairs (a, b) that reach the threshold."""
 
+    @tidy
     def run(batches):
         for batch, texts in pieces(batches, "text_a"):
             others = batch.column(batch.schema.get_field_index("text_b")).cast(pa.large_string()).fill_null("")
@@ -147,26 +155,41 @@ def _proved(pairs: DataFrame, n: int, percent: int) -> DataFrame:
     return pairs.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
 
 
-def _opened(pairs: DataFrame, n: int, percent: int) -> DataFrame:
-    """Of (q, text, g, members) the links (a, b) of queries with members of the groups that their bound opens."""
+def _opened(rows: DataFrame, n: int, percent: int) -> DataFrame:
+    """The links (a, b) of queries with members of the groups that their bound opens. The rows (component, chunk, part,
+    query, doc_id, text) of a task are sorted, the members of a group before the queries that it meets, so that only
+    the shingles of one group's members are held."""
 
+    @tidy
     def run(batches):
-        group, own, union = None, [], None
+        group, own, union, least = None, [], None, 0
         for batch, texts in pieces(batches):
-            q, g, members = _columns(batch, "q", "g", "members")
             found = []
-            for i, s in enumerate(shingle_sets(texts, n)):
-                if g[i] != group:
-                    group = g[i]
-                    sets = shingle_sets(pa.array([m["text"] or "" for m in members[i]], pa.large_string()), n)
-                    own = [(m["doc_id"], x) for m, x in zip(members[i], sets)]
-                    union = np.unique(np.concatenate(sets))
+            for *key, query, doc, s in zip(*_columns(batch, "component", "chunk", "part", "query", "doc_id"), shingle_sets(texts, n)):
+                if key != group:
+                    group, own, union = key, [], None
+                if not query:
+                    own.append((doc, s))
+                    continue
+                if union is None:
+                    union, least = np.unique(np.concatenate([x for _, x in own])), min(len(x) for _, x in own)
                 bound = len(np.intersect1d(s, union, assume_unique=True))
-                if 100 * bound >= percent * max(len(s), min(len(x) for _, x in own)):
-                    found += [(q[i], m) for m, x in own if _near(s, x, percent)]
+                if 100 * bound >= percent * max(len(s), least):
+                    found += [(doc, m) for m, x in own if _near(s, x, percent)]
             yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.int64()), pa.array([y for _, y in found], pa.int64())], ["a", "b"])
 
-    return pairs.select("q", "text", "g", "members").mapInArrow(run, "a long, b long")
+    return rows.select("component", "chunk", "part", "query", "doc_id", "text").mapInArrow(run, "a long, b long")
+
+
+def _chunked(nodes: DataFrame) -> DataFrame:
+    """(doc_id, component, chunk) of (node, component): components of more than GROUP nodes are cut by hash into chunks
+    of about that size. Their sizes meet the nodes by component and SALTS parts of the hash, so that the nodes of one
+    component spread over as many tasks; smaller components need no size."""
+    big = nodes.groupBy("component").agg(F.count("*").alias("of")).filter(F.col("of") > GROUP)
+    big = big.select("component", "of", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    salted = nodes.withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int"))
+    chunk = F.when(F.col("of").isNull(), F.lit(0)).otherwise(F.pmod(F.xxhash64("node", F.lit(1)), F.ceil(F.col("of") / GROUP))).cast("long")
+    return salted.join(big.hint("merge"), ["component", "salt"], "left").select(F.col("node").alias("doc_id"), "component", chunk.alias("chunk"))
 
 
 def link_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
@@ -181,44 +204,61 @@ def link_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame
     members, r_path = save(own.join(classes.hint("merge"), ["a", "b"], "left").select("doc_id", "n", F.when(F.col("n") > 0, F.col("rep")).otherwise(F.col("doc_id")).alias("rep")), "members")
     rep_of = members.filter("n > 0 AND doc_id IS NOT NULL").select("doc_id", "rep").distinct()
 
-    prefixes = _postings(docs, n, percent, marks)
-    prefixes, p_path = save(prefixes, "prefixes")
+    prefixes, p_path = save(_postings(docs, n, percent, marks), "prefixes")
     shared = prefixes.groupBy("token").agg(F.count("*").alias("c")).filter("c > 1").select("token")
     shared = prefixes.join(shared.hint("merge"), "token", "left_semi")
-    shared, s_path = save(shared.join(rep_of.hint("merge"), "doc_id").select("token", F.col("rep").alias("doc_id"), "n").distinct(), "shared")
+    shared, s_path = save(shared.join(rep_of.hint("merge"), "doc_id").select("token", F.col("rep").alias("doc_id"), "n", "pos").distinct(), "shared")
     del prefixes
     drop(spark, p_path, m_path, c_path)
 
-    # Texts of the documents that share a prefix shingle with another; all comparing is among them.
+    # Texts of the documents that share a prefix shingle with another, in buckets; all comparing is among them.
     involved = shared.select("doc_id").distinct()
-    texts, t_path = save(docs.join(involved.hint("merge"), "doc_id", "left_semi"), "involved")
+    texts, table = save_bucketed(docs.join(involved.hint("merge"), "doc_id", "left_semi"), "ngram_texts", "doc_id")
+    try:
+        links = _links(shared, texts, n, percent)
+    finally:
+        drop_table(spark, table)
+    # One document may stand for several sets, if its doc_id repeats.
+    several = members.filter("doc_id IS NOT NULL").select("doc_id", "rep").distinct()
+    first = several.groupBy("doc_id").agg(F.min("rep").alias("a"), F.count("*").alias("c")).filter("c > 1").select("doc_id", "a")
+    same = several.join(first.hint("merge"), "doc_id").select("a", F.col("rep").alias("b"))
+    final, _ = saved_components(links.unionByName(same), "components")
+    drop(spark, s_path)
+    return members.join(final.hint("merge"), F.col("rep") == F.col("node"), "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "rep").alias("component_id"))
+
 
+def _links(shared: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
+    """Proved links (a, b) that connect all that link, from the shared prefix shingles (token, doc_id, n) and the texts
+    of their documents in buckets by doc_id."""
+    spark = shared.sparkSession
     # Groups: each document with the pivot (smallest document of a shingle) it shares most with, once proved.
     pivots = shared.groupBy("token").agg(F.min("doc_id").alias("pivot"), F.count("*").alias("c")).filter("c > 1").select("token", "pivot")
     with_pivot = shared.join(pivots.hint("merge"), "token").filter("doc_id <> pivot").groupBy("doc_id", "pivot").agg(F.count("*").alias("c"))
     pairs = with_pivot.groupBy("doc_id").agg(F.max_by("pivot", F.struct("c", -F.col("pivot"))).alias("b")).select(F.col("doc_id").alias("a"), "b")
     pairs = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")).hint("merge"), "a").join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")).hint("merge"), "b")
     near, n_path = save(_proved(pairs, n, percent), "near")
-    first, f_path = save(components(near), "groups")
+    first, f_path = saved_components(near, "groups")
 
     # The matrix: shingles met in more than one component, with the chunks of members that have them.
-    sizes = first.groupBy("component").agg(F.count("*").alias("of"))
-    chunks = first.join(sizes.hint("merge"), "component").select(F.col("node").alias("doc_id"), "component", F.pmod(F.xxhash64("node"), F.ceil(F.col("of") / GROUP)).alias("chunk"))
-    placed = shared.join(chunks.hint("merge"), "doc_id", "left").select("token", "doc_id", "n", F.coalesce("component", "doc_id").alias("component"), F.coalesce("chunk", F.lit(0)).alias("chunk"))
+    placed = shared.join(_chunked(first).hint("merge"), "doc_id", "left").select("token", "doc_id", "n", "pos", F.coalesce("component", "doc_id").alias("component"), F.coalesce("chunk", F.lit(0)).alias("chunk"))
     placed, l_path = save(placed, "placed")
     open_ = placed.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi").select("token")
     met = placed.join(open_.hint("merge"), "token", "left_semi")
-    matrix = met.groupBy("token", "component", "chunk").agg(F.min("n").alias("least"), F.max("n").alias("most"))
-    queries = met.select("token", F.col("doc_id").alias("q"), F.col("n").alias("q_n"), F.col("component").alias("q_component"))
+    matrix = met.groupBy("token", "component", "chunk").agg(F.min("n").alias("least"), F.max("n").alias("most"), F.max(F.col("n") - F.col("pos")).alias("left"))
+    queries = met.select("token", F.col("doc_id").alias("q"), F.col("n").alias("q_n"), (F.col("n") - F.col("pos")).alias("q_left"), F.col("component").alias("q_component"))
     close = (F.col("q_component") > F.col("component")) & (100 * F.col("most") >= percent * F.col("q_n")) & (100 * F.col("q_n") >= percent * F.col("least"))
+    # The first shingle in order that a query and a member share bounds what they share by what stands from it on in each.
+    close = close & ((100 + percent) * F.least("q_left", "left") >= percent * (F.col("q_n") + F.col("least")))
     asked, a_path = save(queries.join(matrix.hint("merge"), "token").filter(close).select("q", "component", "chunk").distinct(), "asked")
 
-    groups = asked.select("component", "chunk").distinct()
-    who = placed.select("doc_id", "component", "chunk").distinct().join(groups.hint("merge"), ["component", "chunk"], "left_semi")
-    filled = who.join(texts.hint("merge"), "doc_id").groupBy("component", "chunk").agg(F.collect_list(F.struct("doc_id", "text")).alias("members"))
-    asked = asked.join(texts.select(F.col("doc_id").alias("q"), "text").hint("merge"), "q").join(filled.hint("merge"), ["component", "chunk"])
-    asked = asked.withColumn("g", F.concat_ws(":", "component", "chunk"))
-    links, k_path = save(near.unionByName(_opened(asked, n, percent)), "links")
-    final, _ = save(components(links), "components")
-    drop(spark, s_path, t_path, n_path, f_path, l_path, a_path, k_path)
-    return members.join(final.hint("merge"), F.col("rep") == F.col("node"), "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "rep").alias("component_id"))
+    # Groups that many queries meet are opened in several tasks.
+    groups = asked.groupBy("component", "chunk").agg(F.ceil(F.count("*") / ASKED).alias("parts"))
+    at = ["component", "chunk"]
+    who = placed.select("doc_id", *at).distinct().join(groups.hint("merge"), at).withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+    who = who.select("doc_id", *at, "part", F.lit(False).alias("query"))
+    asking = asked.join(groups.hint("merge"), at).select(F.col("q").alias("doc_id"), *at, F.pmod(F.xxhash64("q"), F.col("parts")).alias("part"), F.lit(True).alias("query"))
+    rows = who.unionByName(asking).join(texts.hint("merge"), "doc_id")
+    rows = rows.repartition(*at, "part").sortWithinPartitions(*at, "part", "query", "doc_id")
+    links, _ = save(near.unionByName(_opened(rows, n, percent)), "links")
+    drop(spark, n_path, f_path, l_path, a_path)
+    return links
