@@ -20,10 +20,10 @@ cells AS (SELECT CAST(year(o_orderdate) AS INT) AS year, c_nationkey AS nation,
     count(CASE WHEN o_orderpriority <> '5-LOW' THEN 1 END) AS passed, count(CASE WHEN o_orderpriority <> '5-LOW' AND o_orderstatus = 'F' THEN 1 END) AS girls_passed,
     count(CASE WHEN o_orderpriority = '1-URGENT' THEN 1 END) AS graduates
   FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2, 3),
-units AS (SELECT year, coalesce(nation, -1) AS nation, level, CAST(sum(students) AS DOUBLE) AS students__total, CAST(sum(girls) AS DOUBLE) AS students__female, CAST(sum(students - girls) AS DOUBLE) AS students__male,
+units AS (SELECT year, coalesce(nation, -1) AS nation, coalesce(level, 'all_levels') AS level, CAST(sum(students) AS DOUBLE) AS students__total, CAST(sum(girls) AS DOUBLE) AS students__female, CAST(sum(students - girls) AS DOUBLE) AS students__male,
     CAST(sum(teachers) AS DOUBLE) AS teachers__total, CAST(sum(teachers + 1) AS DOUBLE) AS educational_staff__total, CAST(sum(classes) AS DOUBLE) AS classes__total, CAST(sum(schools) AS DOUBLE) AS schools__total,
     CAST(sum(passed) AS DOUBLE) AS passed__total, CAST(sum(girls_passed) AS DOUBLE) AS passed__female, CAST(sum(passed - girls_passed) AS DOUBLE) AS passed__male, CAST(sum(graduates) AS DOUBLE) AS graduates__total
-  FROM cells GROUP BY GROUPING SETS ((year, nation, level), (year, level))),
+  FROM cells GROUP BY GROUPING SETS ((year, nation, level), (year, level), (year, nation), (year))),
 long_facts AS (SELECT year, nation, level, split_part(what, '__', 1) AS metric, split_part(what, '__', 2) AS gender, value FROM units UNPIVOT (value FOR what IN
     (students__total, students__female, students__male, teachers__total, educational_staff__total, classes__total, schools__total, passed__total, passed__female, passed__male, graduates__total))
   WHERE NOT (what = 'teachers__total' AND (nation + year) % 4 = 0)),
@@ -35,7 +35,7 @@ facts AS (SELECT year, CASE WHEN nation < 0 THEN 'IRN' ELSE 'N' || CAST(nation A
   FROM long_facts CROSS JOIN (VALUES (0), (1), (2), (3)) AS t(r) WHERE NOT (r % 3 = 0 AND (nation + 1 + year) % 7 = 0)),
 catalogue AS (SELECT DISTINCT CAST(year + r % 3 AS STRING) || '/book' AS source_file, level || '#' || CAST(r AS STRING) AS source_table, CASE WHEN (year + r) % 5 = 0 AND r = 2 THEN 'failed' ELSE 'passed' END AS check_status
   FROM (SELECT DISTINCT CAST(year(o_orderdate) AS INT) AS year FROM orders) AS books CROSS JOIN (VALUES (0), (1), (2), (3)) AS t(r)
-    CROSS JOIN (VALUES ('primary'), ('lower_secondary'), ('upper_secondary'), ('preschool'), ('pre_university')) AS l(level) WHERE NOT (level = 'primary' AND r = 1 AND (year + r) % 3 = 0))
+    CROSS JOIN (VALUES ('primary'), ('lower_secondary'), ('upper_secondary'), ('preschool'), ('pre_university'), ('all_levels')) AS l(level) WHERE NOT (level = 'primary' AND r = 1 AND (year + r) % 3 = 0))
 """
 
 HIGHER = """
