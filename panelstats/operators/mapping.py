@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import difflib
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from panelstats.functions import labels
 
@@ -159,3 +163,24 @@ def paint(rows: DataFrame, unit: str, successors: DataFrame) -> DataFrame:
     s = successors.select(F.col("unit").alias("_u"), "successors")
     out = rows.join(s, F.col(unit) == F.col("_u"), "left").withColumn(unit, F.explode(F.coalesce("successors", F.array(unit))))
     return out.drop("_u", "successors")
+
+
+def fuzzy_match(left: DataFrame, right: DataFrame, cutoff: float = 0.82, name: str = "name") -> DataFrame:
+    """(name, match, ratio) of the distinct names on the left: the name on the right with the highest difflib ratio from
+    ``cutoff`` on, the smaller on ties; null without any. Only names that share a pair of letters are compared, and a ratio
+    from one half on means that they do."""
+    @F.pandas_udf(DoubleType())
+    def ratio(a: pd.Series, b: pd.Series) -> pd.Series:
+        return pd.Series([difflib.SequenceMatcher(None, y, x).ratio() for x, y in zip(a, b)])
+
+    def grams(frame: DataFrame, to: str) -> DataFrame:
+        s = F.lower(F.concat(F.lit(" "), F.col(to)))
+        pairs = F.transform(F.sequence(F.lit(1), F.length(s) - 1), lambda i: F.substring(s, i, F.lit(2)))
+        return frame.select(F.col(name).alias(to)).filter(F.length(name) > 0).distinct().select(to, F.explode(F.array_distinct(pairs)).alias("_g"))
+
+    met = grams(left, "_a").join(grams(right, "_b"), "_g").select("_a", "_b").distinct()
+    # 2 m / (a + b) is the ratio at most, m the shorter length
+    near = met.filter(2 * F.least(F.length("_a"), F.length("_b")) >= cutoff * (F.length("_a") + F.length("_b"))).withColumn("ratio", ratio(F.lower("_a"), F.lower("_b"))).filter(F.col("ratio") >= cutoff)
+    best = near.groupBy("_a").agg(F.min_by(F.struct(F.col("_b").alias("match"), "ratio"), F.struct(-F.col("ratio"), F.col("_b"))).alias("m"))
+    names = left.select(F.col(name).alias("_n")).distinct()
+    return names.join(best, F.col("_n") == F.col("_a"), "left").select(F.col("_n").alias(name), "m.match", "m.ratio")

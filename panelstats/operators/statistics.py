@@ -120,3 +120,35 @@ def weighted_slope(rows: DataFrame, weight: str, x: str, values: list[str], zone
     each = cells.groupBy("pv").agg(F.first("slope").alias("slope"), F.sum(F.pow(F.col("replicate") - F.col("slope"), 2)).alias("sampling"))
     out = each.agg(F.avg("slope").alias("slope"), F.avg("sampling").alias("sampling"), F.var_samp("slope").alias("between"), F.count("*").alias("m"))
     return out.select("slope", F.sqrt(F.col("sampling") + (1 + 1 / F.col("m")) * F.col("between")).alias("se"))
+
+
+def weighted_regression(rows: DataFrame, weight: str, terms: list[str], values: list[str], zone: str, rep: str) -> DataFrame:
+    """(term, slope, se) of weighted least squares on several terms and a constant, over plausible values, with jackknife
+    variance and their combination. Spark sums the products of the design per (value, zone) and half; a group of as many rows as
+    there are zones solves the normal equations of the whole and of each replicate."""
+    import pandas as pd
+
+    columns = ["_one", *terms]
+    k = len(columns)
+    long = rows.select(zone, rep, F.col(weight).cast("double").alias("_w"), F.lit(1.0).alias("_one"), *[F.col(t).cast("double").alias(t) for t in terms], F.posexplode(F.array(*values)).alias("_pv", "_y"))
+    products = [(a, b) for i, a in enumerate(columns) for b in columns[i:]] + [(a, "_y") for a in columns]
+    both = [F.sum(F.col("_w") * F.col(a) * F.col(b)) for a, b in products]
+    half = [F.sum(F.when(F.col(rep) == 1, F.col("_w") * F.col(a) * F.col(b)).otherwise(0.0)) for a, b in products]
+    cells = long.groupBy("_pv", zone).agg(F.array(*both).alias("s"), F.array(*half).alias("h")).select("_pv", "s", "h")
+
+    def solved(sums: np.ndarray) -> np.ndarray:
+        left = np.zeros((k, k))
+        left[np.triu_indices(k)] = sums[: k * (k + 1) // 2]
+        left = left + left.T - np.diag(left.diagonal())
+        return np.linalg.lstsq(left, sums[k * (k + 1) // 2 :], rcond=None)[0]
+
+    def each(part: pd.DataFrame) -> pd.DataFrame:
+        s, h = np.stack(part["s"]), np.stack(part["h"])
+        whole = s.sum(0)
+        beta = solved(whole)
+        spread = sum((solved(whole - a + 2 * b) - beta) ** 2 for a, b in zip(s, h))
+        return pd.DataFrame({"term": ["constant", *terms], "slope": beta, "sampling": spread})
+
+    found = cells.groupBy("_pv").applyInPandas(each, "term string, slope double, sampling double")
+    out = found.groupBy("term").agg(F.avg("slope").alias("slope"), F.avg("sampling").alias("sampling"), F.var_samp("slope").alias("between"), F.count("*").alias("m"))
+    return out.select("term", "slope", F.sqrt(F.col("sampling") + (1 + 1 / F.col("m")) * F.coalesce("between", F.lit(0.0))).alias("se"))
