@@ -50,7 +50,7 @@ def M11_subjects(spark, sf_dir):
 @query("SELECT s.s_suppkey, coalesce(n.n_name, 'IRN') AS province FROM supplier s LEFT JOIN nation n ON n.n_nationkey = s.s_nationkey AND n.n_regionkey <> 2")
 def M5_match_province(spark, sf_dir):
     names = table(spark, sf_dir, "nation").filter("n_regionkey <> 2").select(F.col("n_nationkey").alias("s_nationkey"), "n_name")
-    return table(spark, sf_dir, "supplier").join(F.broadcast(names), "s_nationkey", "left").select("s_suppkey", F.coalesce("n_name", F.lit("IRN")).alias("province"))
+    return table(spark, sf_dir, "supplier").join(names, "s_nationkey", "left").select("s_suppkey", F.coalesce("n_name", F.lit("IRN")).alias("province"))
 
 
 @query("SELECT s.s_nationkey, n.n_name, r.r_name FROM (SELECT s_nationkey, min(s_suppkey) AS k FROM supplier GROUP BY 1) s JOIN nation n ON n.n_nationkey = s.s_nationkey JOIN region r ON r.r_regionkey = n.n_regionkey")
@@ -58,13 +58,14 @@ def J15_name_bridge(spark, sf_dir):
     codes = table(spark, sf_dir, "supplier").select(F.col("s_nationkey").alias("a"), F.col("s_suppkey").alias("k"))
     names = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("a"), F.col("n_regionkey").alias("b"), "n_name")
     rows = codes.groupBy("a").agg(F.min("k").alias("k")).join(names, "a")  # a region serves several nations, so its side repeats
-    return rows.join(F.broadcast(table(spark, sf_dir, "region").select(F.col("r_regionkey").alias("b"), "r_name")), "b").select(F.col("a").alias("s_nationkey"), "n_name", "r_name")
+    return rows.join(table(spark, sf_dir, "region").select(F.col("r_regionkey").alias("b"), "r_name"), "b").select(F.col("a").alias("s_nationkey"), "n_name", "r_name")
 
 
-@query("SELECT n_nationkey AS code, y.y::INT AS year, printf('https://stats.example.org/%d/%02d.zip', y.y, n_nationkey) AS url FROM nation CROSS JOIN (SELECT unnest(generate_series(1995, 2001)) AS y) y")
+@query("SELECT n_nationkey AS code, y.y::INT AS year, printf('https://stats.example.org/%d/%02d.zip', y.y, n_nationkey) AS url FROM nation CROSS JOIN (SELECT unnest(generate_series(min(year(o_orderdate)), max(year(o_orderdate)))) AS y FROM orders) y")
 def J16_entity_years(spark, sf_dir):
-    """Every unit in every year, and its address (F16)."""
-    rows = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("code"), F.explode(F.sequence(F.lit(1995), F.lit(2001))).alias("year"))
+    """Every unit in every year from the first to the last of the orders, and its address (F16)."""
+    years = table(spark, sf_dir, "orders").agg(F.sequence(F.min(F.year("o_orderdate")), F.max(F.year("o_orderdate"))).alias("years"))  # one row
+    rows = table(spark, sf_dir, "nation").join(years).select(F.col("n_nationkey").alias("code"), F.explode("years").alias("year"))
     return rows.select("code", "year", F.format_string("https://stats.example.org/%d/%02d.zip", "year", "code").alias("url"))
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelstats.functions import labels
-from panelstats.operators import mapping, structure
+from panelstats.operators import lines, mapping, rings, structure
 from panelstats.sources import table, written
 from panelstats.sources.adapters import adapted
 
@@ -217,3 +217,49 @@ def S13_select_units(spark, sf_dir):
     rank = F.array_position(F.array(F.lit("docx"), F.lit("html"), F.lit("pdf")), labels.file_ext(F.col("file")))
     files = files.filter(~labels.is_archive(F.col("file")) & labels.in_years(F.col("year"), "1391-1393,1394"))
     return files.groupBy("doc", "year").agg(F.min_by("file", F.struct(rank, F.col("file"))).alias("file"))
+
+
+def _free(f):
+    """A query that SQL can't express; tests compare its operator with brute force."""
+    QUERIES[f.__name__] = f
+    return f
+
+
+@_free
+def T17_lines_to_tables(spark, sf_dir):
+    """Conversations as lines of a book: what users say are titles, what assistants say are lines."""
+    rows = table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("doc"), "turn", "role", F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("i", "line"))
+    head = (F.col("role") == "user") & (F.col("i") == 0)
+    rows = rows.select("doc", (F.col("turn") * 10_000 + F.col("i")).alias("n"), F.when(head, F.concat(F.lit("7-"), F.col("turn") % 90, F.lit("- "), F.substring("line", 1, 60))).otherwise(F.concat(F.substring("line", 1, 20), F.lit(" "), F.length("line"), F.lit(" "), F.col("turn"))).alias("text"))
+    return lines.modal_rows(lines.lines_to_tables(rows), ["doc", "title", "part"])
+
+
+@_free
+def T19_template_headers(spark, sf_dir):
+    """Parts as tables, brands as templates: as many columns, a like title, and year cells that agree."""
+    p = table(spark, sf_dir, "part")
+    cell = F.array(*[F.struct(F.lit(1390 + i).alias("year"), F.lit(i).alias("pos"), (F.col("p_size") * (i + 1)).cast("double").alias("value")) for i in range(3)])
+    tables = p.select(F.col("p_partkey").alias("t"), labels.title_key(F.col("p_name")).alias("key"), (F.col("p_size") % 2).alias("part"), (F.col("p_size") % 4).alias("ncols"), cell.alias("cells"))
+    templates = p.groupBy("p_name", "p_size").agg(F.min("p_partkey").alias("template"))
+    templates = templates.filter("p_size % 5 = 0").select("template", labels.title_key(F.col("p_name")).alias("key"), (F.col("p_size") % 2).alias("part"), (F.col("p_size") % 4).alias("ncols"), cell.alias("cells"))
+    return lines.match_template(tables, templates)
+
+
+@query(" SELECT t AS unit, CASE WHEN subject = 2 THEN 0 ELSE len(string_split(notes, '¶')) END AS n_rows, CASE WHEN subject = 2 THEN 'ValueError: no such table' END AS error FROM tables")
+def T14_unit_log(spark, sf_dir):
+    """What was made of each unit, and what went wrong with the others."""
+
+    def parse(row: dict) -> list:
+        if row["subject"] == 2:
+            raise ValueError("no such table")
+        return row["notes"].split("¶")
+
+    return lines.unit_log(_of(spark, sf_dir, "tables").select(F.col("t").alias("unit"), "subject", "notes"), parse)
+
+
+@_free
+def G6_budgeted_rings(spark, sf_dir):
+    """Rings of vectors at the smallest of ten tolerances that keeps their paths below a budget."""
+    v = table(spark, sf_dir, "embeddings").select((F.col("label") % 3).alias("feature"), F.col("label").alias("poly"), F.lit(0).alias("ring"), F.col("vec_id").alias("i"), (F.get("embedding", F.lit(0)) * 100).cast("double").alias("x"), (F.get("embedding", F.lit(1)) * 100).cast("double").alias("y"))
+    simple = written(rings.simplify(v, [0.25, 0.4, 0.6, 0.8, 1.0, 1.3, 1.6, 2.0, 2.5, 3.0]), "rings")
+    return rings.within_budget(simple, 400_000)
