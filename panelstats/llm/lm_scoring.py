@@ -10,8 +10,8 @@ relative frequency with the word's smoothed one, 0.4 to 0.6.
 The base score needs exact counts: those of the most frequent words (``head_words`` at most) are broadcast, and
 the other words of a document meet the table of counts in a join, so nothing broadcast grows with the input.
 
-Defined results: a null or empty text is its end token alone; rows without doc_id are for training; a repeated
-row counts as often as it occurs; without training documents N and V are 0 and every count too.
+Defined results: a null or empty text is its end token alone; a text of any length is scored whole; rows without doc_id
+are for training; a repeated row counts as often as it occurs; other columns of any name are left out; without training documents N and V are 0 and every count too.
 """
 
 from __future__ import annotations
@@ -23,10 +23,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .storage import save
+from .storage import save, tidy
 from .text import mix, pieces, word_bounds, word_hashes
 
-MAX_FILTER_MB, HEAD_WORDS = 64, 500_000
+MAX_FILTER_MB, HEAD_WORDS = 8, 500_000
 #: Bits for each entry and level, probes for each, the weight of pairs, and characters of text for each shard.
 BITS, PROBES, PAIR_WEIGHT, SHARD_CHARS = 8, 4, 0.4, 1 << 24
 #: Tokens that a task counts together.
@@ -34,6 +34,9 @@ COUNTED = 1 << 22
 _END = np.uint64(0x5851F42D4C957F2D)
 _A, _B = np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F)
 _WORD, _PAIR = 0, 1
+#: Bytes of a key that are sent and probed. Words keep all, since their counts are exact. A shard holds a bounded number of
+#: pairs (a few millions), among which 40 bits of the hash, beside the bits that chose the shard, seldom collide.
+_WIDTH = {_WORD: 8, _PAIR: 5}
 
 
 def tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -57,6 +60,17 @@ def shard_of(keys: np.ndarray, shards: int) -> np.ndarray:
     return ((keys >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)).astype(np.int64)
 
 
+def pack(kind: int, keys: np.ndarray) -> bytes:
+    """The lowest bytes of each key."""
+    return keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, : _WIDTH[kind]].tobytes()
+
+
+def unpack(kind: int, data: bytes) -> np.ndarray:
+    out = np.zeros((len(data) // _WIDTH[kind], 8), np.uint8)
+    out[:, : _WIDTH[kind]] = np.frombuffer(data, np.uint8).reshape(-1, _WIDTH[kind])
+    return out.reshape(-1).view("<u8")
+
+
 def levels_of(kind: int, counts: np.ndarray) -> np.ndarray:
     """The same for both kinds: a key met once has level 1."""
     return np.floor(np.log2(counts)).astype(np.int64) + 1
@@ -71,7 +85,8 @@ def count_of(kind: int, levels: np.ndarray) -> np.ndarray:
 class Filter:
     """Bit arrays of shards of one kind of key."""
 
-    def __init__(self, arrays: list[bytes]):
+    def __init__(self, arrays: list[bytes], kind: int = _WORD):
+        self.mask = np.uint64((1 << 8 * _WIDTH[kind]) - 1)
         self.bits = np.frombuffer(b"".join(arrays), np.uint8)
         self.size = np.array([8 * len(a) for a in arrays], np.uint64)
         self.start = np.concatenate([[0], np.cumsum(self.size)[:-1]]).astype(np.uint64)
@@ -82,9 +97,9 @@ class Filter:
         return (h + np.uint64(probe) * (h >> np.uint64(32) | np.uint64(1))) % size
 
     @classmethod
-    def build(cls, kind: int, keys: np.ndarray, counts: np.ndarray) -> bytes:
-        top = levels_of(kind, counts)
-        size = -(-int(top.sum()) * BITS // 64) * 64 or 64
+    def build(cls, kind: int, keys: np.ndarray, counts: np.ndarray, entry_bits: int = BITS) -> bytes:
+        top, keys = levels_of(kind, counts), keys & np.uint64((1 << 8 * _WIDTH[kind]) - 1)
+        size = -(-int(top.sum()) * entry_bits // 64) * 64 or 64
         bits = np.zeros(size, bool)
         for level in range(1, int(top.max(initial=0)) + 1):
             own = keys[top >= level]
@@ -95,7 +110,7 @@ class Filter:
     def levels(self, keys: np.ndarray) -> np.ndarray:
         """Probes each key's levels until one is absent."""
         out, shard = np.zeros(len(keys), np.int64), shard_of(keys, len(self.size))  # one array takes every key
-        left, level = np.arange(len(keys)), 1
+        keys, left, level = keys & self.mask, np.arange(len(keys)), 1
         while len(left):
             for probe in range(PROBES):
                 s = shard[left]
@@ -109,6 +124,7 @@ class Filter:
 def _counted(docs: DataFrame, shards: int) -> DataFrame:
     """(kind, shard, keys, counts): sorted distinct keys of what a task has read, cut at the shards' borders."""
 
+    @tidy
     def run(batches):
         held: dict[int, list] = {_WORD: [], _PAIR: []}
         size = 0
@@ -119,7 +135,7 @@ def _counted(docs: DataFrame, shards: int) -> DataFrame:
                 cut = np.searchsorted(shard_of(keys, shards), np.arange(shards + 1))
                 filled = [s for s in range(shards) if cut[s] < cut[s + 1]]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([kind] * len(filled), pa.int32()), pa.array(filled, pa.int32()), pa.array([keys[cut[s] : cut[s + 1]].tobytes() for s in filled], pa.binary()), pa.array([counts[cut[s] : cut[s + 1]].astype("<u4").tobytes() for s in filled], pa.binary())],
+                    [pa.array([kind] * len(filled), pa.int32()), pa.array(filled, pa.int32()), pa.array([pack(kind, keys[cut[s] : cut[s + 1]]) for s in filled], pa.binary()), pa.array([counts[cut[s] : cut[s + 1]].astype("<u4").tobytes() for s in filled], pa.binary())],
                     ["kind", "shard", "keys", "counts"],
                 )
 
@@ -137,25 +153,25 @@ def _counted(docs: DataFrame, shards: int) -> DataFrame:
     return docs.select("text").mapInArrow(run, "kind int, shard int, keys binary, counts binary")
 
 
-def _summed(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
+def _summed(key: tuple, part: pd.DataFrame, entry_bits: int = BITS) -> pd.DataFrame:
     """One shard: the counts of its keys, words only, and its filter."""
     kind, shard = key
-    keys = np.concatenate([np.frombuffer(x, "<u8") for x in part["keys"]])
+    keys = np.concatenate([unpack(kind, x) for x in part["keys"]])
     counts = np.concatenate([np.frombuffer(x, "<u4") for x in part["counts"]])
     order = np.argsort(keys, kind="stable")
     keys, counts = keys[order], counts[order]
     starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
     keys, counts = keys[starts], np.add.reduceat(counts.astype(np.int64), starts)
-    bits = Filter.build(kind, keys, counts)
+    bits = Filter.build(kind, keys, counts, entry_bits)
     kept = (keys.tobytes(), counts.astype("<i8").tobytes()) if kind == _WORD else (b"", b"")
     return pd.DataFrame({"kind": [kind], "shard": [shard], "bits": [bits], "keys": [kept[0]], "counts": [kept[1]], "n": [int(counts.sum())], "v": [len(keys)]})
 
 
-def train(docs: DataFrame) -> tuple[DataFrame, int]:
+def train(docs: DataFrame, bits: int = BITS) -> tuple[DataFrame, int]:
     """The shards of counts and filters of (text), and their number: one shuffle of distinct keys of each task."""
     chars = docs.agg(F.sum(F.length("text"))).head()[0] or 0
     shards = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), int(chars // SHARD_CHARS))
-    summed = _counted(docs, shards).groupBy("kind", "shard").applyInPandas(_summed, "kind int, shard int, bits binary, keys binary, counts binary, n long, v long")
+    summed = _counted(docs, shards).groupBy("kind", "shard").applyInPandas(lambda key, part: _summed(key, part, bits), "kind int, shard int, bits binary, keys binary, counts binary, n long, v long")
     return summed, shards
 
 
@@ -204,6 +220,7 @@ def _scored(docs: DataFrame, model, head, n: int, v: int, smooth: float, with_sc
     words: their sorted hashes, the index of each token's, and the index of each document's first token."""
     size = max(n + smooth * (v + 1), 1e-300)
 
+    @tidy
     def run(batches):
         filters, (keys, counts) = model.value if with_score else None, head.value
         uid = TaskContext.get().partitionId() << 40
@@ -251,7 +268,7 @@ def _asked(blocks: DataFrame, shards: int) -> DataFrame:
                     cut = np.searchsorted(shard_of(keys, shards), np.arange(shards + 1))
                     filled = [s for s in range(shards) if cut[s] < cut[s + 1]]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([uid] * len(filled), pa.int64()), pa.array([kind] * len(filled), pa.int32()), pa.array(filled, pa.int32()), pa.array([keys[cut[s] : cut[s + 1]].tobytes() for s in filled], pa.binary())],
+                        [pa.array([uid] * len(filled), pa.int64()), pa.array([kind] * len(filled), pa.int32()), pa.array(filled, pa.int32()), pa.array([pack(kind, keys[cut[s] : cut[s + 1]]) for s in filled], pa.binary())],
                         ["uid", "kind", "shard", "keys"],
                     )
 
@@ -260,8 +277,9 @@ def _asked(blocks: DataFrame, shards: int) -> DataFrame:
 
 def _answered(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
     """One shard: the level of each key that a block asks for, a byte each, in the order of the keys."""
-    single = Filter([right["bits"].iloc[0]] if len(right) else [bytes(8)])
-    levels = [single.levels(np.frombuffer(x, "<u8")).astype(np.uint8).tobytes() for x in left["keys"]]
+    kind = int(left["kind"].iloc[0]) if len(left) else _WORD
+    single = Filter([right["bits"].iloc[0]] if len(right) else [bytes(8)], kind)
+    levels = [single.levels(unpack(kind, x)).astype(np.uint8).tobytes() for x in left["keys"]]
     return left[["uid", "kind", "shard"]].assign(levels=levels)
 
 
@@ -284,11 +302,11 @@ def _sharded_score(rows: DataFrame, model: DataFrame, shards: int, n: int, v: in
     return blocks.groupBy("uid").cogroup(levels.groupBy("uid")).applyInPandas(scores, "uid long, score double")
 
 
-def score(docs: DataFrame, smooth: float = 0.1, max_filter_mb: float = MAX_FILTER_MB, head_words: int = HEAD_WORDS) -> DataFrame:
+def score(docs: DataFrame, smooth: float = 0.1, max_filter_mb: float = MAX_FILTER_MB, head_words: int = HEAD_WORDS, bits: int = BITS) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row of (doc_id, text)."""
     spark = docs.sparkSession
     docs = docs.select("doc_id", F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 10 == 0, F.lit(False)).alias("held_out"), "text")
-    model, shards = train(docs.filter("NOT held_out").select("text"))
+    model, shards = train(docs.filter("NOT held_out").select("text"), bits)
     model, _ = save(model, "lm-shards")
     n, v, mb = model.agg(F.sum(F.when(F.col("kind") == _WORD, F.col("n"))), F.sum(F.when(F.col("kind") == _WORD, F.col("v"))), F.sum(F.length("bits")) / 1e6).head()
     n, v, mb = n or 0, v or 0, mb or 0
@@ -301,7 +319,7 @@ def score(docs: DataFrame, smooth: float = 0.1, max_filter_mb: float = MAX_FILTE
         arrays = {kind: [bytes(8)] * shards for kind in (_WORD, _PAIR)}
         for row in model.select("kind", "shard", "bits").toLocalIterator():
             arrays[row["kind"]][row["shard"]] = bytes(row["bits"])
-        filters = spark.sparkContext.broadcast({kind: Filter(a) for kind, a in arrays.items()})
+        filters = spark.sparkContext.broadcast({kind: Filter(a, kind) for kind, a in arrays.items()})
     rows, _ = save(_scored(docs.withColumn("doc_id", F.col("doc_id").cast("long")), filters, head, n, v, smooth, fits), "lm-rows")
     size = F.lit(max(n + smooth * (v + 1), 1e-300))
     rare = rows.select("uid", F.explode("rare").alias("key")).join(counts.hint("merge"), "key", "left")
