@@ -7,7 +7,9 @@ bytes read since; a step adds a byte, and emits the tokens on which all prefixes
 still start from agree. Only those undecided bytes stay, fewer than a few tokens. States and steps are
 made when first met, and dropped together when they are too many.
 
-Defined results: a null or empty text has no ids; texts are encoded whole, whatever their length.
+Defined results: a null or empty text has no ids; texts are encoded whole, whatever their length; a repeated row is
+encoded as often as it occurs; extra columns stay, and those named like a result column give way to it; an empty table
+gives an empty result.
 """
 
 from __future__ import annotations
@@ -25,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StringType, StructField, StructType
 
+from .storage import tidy
 from .text import pieces
 
 #: Cached stretches and pieces (twice as many while one filling gives way to the next), states and pairs at most,
@@ -306,6 +309,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, decoded: str | None =
     pass without a shuffle, and with ``decoded`` a column of that name with their text, from the same pass.
     Extra columns stay; those named like a result column give way."""
 
+    @tidy
     def run(batches):
         own, back = encoder(ranks_path, pattern, cache), decoder(ranks_path)
         gc.disable()  # it would walk all states again and again, and there is no garbage in circles

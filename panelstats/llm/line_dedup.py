@@ -10,8 +10,8 @@ the documents.
 
 Defined results: a null or empty text is one empty line; a doc_id that repeats counts as one document, and
 each of its rows loses the same lines; rows without doc_id are neither counted nor changed; an empty table
-gives an empty result; extra columns stay, and those named like a result column give way to it. A text that
-loses every line becomes empty.
+gives an empty result; extra columns stay, and those named like a result column, or ``_k1``, ``_k2`` and ``_doc``,
+give way. A text that loses every line becomes empty.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from .storage import drop, save
+from .storage import drop, drop_table, save, tidy
 from .text import BLANKS, pieces
 
 _KEYS = "doc_id long, k1 long, k2 long"
@@ -49,6 +49,7 @@ def _long_keys(lines: list[bytes], min_chars: int):
 def line_keys(docs: DataFrame, min_chars: int) -> DataFrame:
     """One row for each row of (doc_id, text) and each distinct key in its text."""
 
+    @tidy
     def keys(batches):
         for batch, texts in pieces(batches):
             ids, hashes = [], []
@@ -97,8 +98,7 @@ class Runs:
             level += 1
 
     def drop(self, names: list[str] | None = None) -> None:
-        for name in names or self._names():
-            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+        drop_table(self.spark, *(self._names() if names is None else names))
 
     def frequent(self) -> DataFrame:
         """Keys of at least ``min_docs`` documents, with the largest doc_id holding each."""
@@ -106,6 +106,7 @@ class Runs:
 
 
 def _kept(schema: pa.Schema, min_chars: int):
+    @tidy
     def apply(batches):
         for batch, texts in pieces(batches):
             own = {n: batch.column(batch.schema.get_field_index(n)) for n in ("_k1", "_k2")}
@@ -135,7 +136,7 @@ def dedup_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, batches
     from pyspark.sql.pandas.types import to_arrow_schema
 
     spark = docs.sparkSession
-    docs = docs.drop("n_lines", "n_dropped", "_k1", "_k2")
+    docs = docs.drop("n_lines", "n_dropped", "_k1", "_k2", "_doc")
     ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"))
     cuts = ids.agg(F.percentile_approx("doc_id", [i / batches for i in range(1, batches)], 1000)).head()[0] or []
     once = ids.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").isEmpty()
@@ -145,13 +146,15 @@ def dedup_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, batches
         keyed = keyed.distinct()
     lines, path = save(keyed, "lines", "batch")
     runs = Runs(spark, min_docs, fanout)
-    for i in range(batches):
-        runs.add(lines.filter(F.col("batch") == i).groupBy("k1", "k2").agg(F.count("*").alias("n"), F.max("doc_id").alias("last")))
-    # A table of its own, so that both sides of the join are plain and Spark can split the task of a very common line.
-    frequent, frequent_path = save(runs.frequent(), "frequent-lines")
+    try:
+        for i in range(batches):
+            runs.add(lines.filter(F.col("batch") == i).groupBy("k1", "k2").agg(F.count("*").alias("n"), F.max("doc_id").alias("last")))
+        # A table of its own, so that both sides of the join are plain and Spark can split the task of a very common line.
+        frequent, frequent_path = save(runs.frequent(), "frequent-lines")
+    finally:
+        runs.drop()
     lost = lines.join(frequent.hint("merge"), ["k1", "k2"]).filter("doc_id < last").groupBy("doc_id").agg(F.collect_list("k1").alias("_k1"), F.collect_list("k2").alias("_k2"))
-    lost, lost_path = save(lost, "lost-lines")
-    runs.drop()
+    lost, _ = save(lost, "lost-lines")
     drop(spark, path, frequent_path)
     # The same join at every size: a broadcast of the lost keys would grow with the documents.
     both = docs.join(lost.withColumnRenamed("doc_id", "_doc").hint("merge"), F.col("doc_id") == F.col("_doc"), "left").drop("_doc")

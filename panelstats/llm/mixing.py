@@ -14,6 +14,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .storage import save
+
 #: Sources in code point order, null last, weigh so, repeating.
 WEIGHTS = (3, 1, 2)
 SHARE, MAX_RATE = 1.5, 2.0
@@ -52,17 +54,18 @@ def draw(doc_id: str, seed: int) -> Column:
     return F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(doc_id).cast("string"), F.lit("")))), 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
 
 
-def plan(sized: DataFrame, seed: int = 8) -> DataFrame:
-    """Adds source_size, target and copies to rows with doc_id, source and size."""
-    sources = targets(sized).withColumnRenamed("source", "_source")
+def plan(rows: DataFrame, sized: DataFrame, seed: int = 8) -> DataFrame:
+    """Adds source_size, target and copies to rows with doc_id and source; ``sized`` has the source and size of all of them."""
+    sources, _ = save(targets(sized).withColumnRenamed("source", "_source"), "targets")
     if sources.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
         sources = F.broadcast(sources)
-    rows = sized.drop("source_size", "target", "copies", "_source").join(sources, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
+    rows = rows.drop("source_size", "target", "copies", "_source").join(sources, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     return rows.withColumn("copies", (F.floor(rate) + F.when(draw("doc_id", seed) < rate - F.floor(rate), 1).otherwise(0)).cast("int"))
 
 
 def mix(docs: DataFrame, seed: int = 8) -> DataFrame:
-    """The mix itself: every document as often as it is taken, with its own columns."""
-    sized = docs.select("doc_id", "source", size_of().alias("size"), F.struct("*").alias("_row"))
-    return plan(sized, seed).select("_row", F.explode(F.array_repeat(F.lit(0), F.col("copies")))).select("_row.*")
+    """The mix itself: every document as often as it is taken, with its own columns. Words are counted in one pass, and
+    the documents are read once more to be emitted."""
+    rows = docs.select("doc_id", "source", F.struct("*").alias("_row"))
+    return plan(rows, docs.select("source", size_of().alias("size")), seed).select("_row", F.explode(F.array_repeat(F.lit(0), F.col("copies")))).select("_row.*")

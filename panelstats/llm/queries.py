@@ -54,7 +54,7 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     sized, _ = storage.save(docs.select("doc_id", "source", mixing.size_of().alias("size")), "sizes")
-    return mixing.plan(sized).select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+    return mixing.plan(sized, sized).select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
 @_query

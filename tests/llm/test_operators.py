@@ -439,3 +439,37 @@ def test_cotraining_fits_on_handed_rows_as_on_its_own(spark):
 def test_digest_columns(docs, ranks):
     out = bpe.encode(docs.filter("doc_id = 303"), *ranks, decoded="decoded").select(*bpe.digests()).head()
     assert out["decoded_sha256"] == hashlib.sha256(b"one two").hexdigest()
+
+
+def test_columns_named_like_the_operators_own(spark, docs, ranks):
+    """Columns of any name are left out or stay as they were; those named like a result give way to it."""
+    own = docs.withColumns({c: F.lit(7) for c in ("n_lines", "n_dropped", "_k1", "k1", "batch", "ids", "decoded", "size", "copies", "target", "uid", "held_out", "score", "t", "m", "y", "labelled", "part", "file", "token", "rep", "level", "block", "dim", "v")})
+    n = own.count()
+    lines = line_dedup.dedup_lines(own)
+    assert lines.count() == n and {"k1", "batch"} <= set(lines.columns) and not lines.filter("n_lines = 7 AND n_dropped = 7").count()
+    assert bpe.encode(own, *ranks, decoded="decoded").filter("decoded = coalesce(text, '')").count() == n
+    assert mixing.mix(own).columns == own.columns and lm_scoring.score(own).count() == n
+    labels = spark.createDataFrame([(i, i % 2, 1) for i in range(40)], "doc_id long, quality int, y int")
+    assert cotraining.score(own, labels).count() == n
+    assert token_files.read(token_files.write(own, pytest.importorskip("public_tokenizers").path("word_bpe_49k.json"), 2)).count() == n
+    vectors = spark.createDataFrame([(i, [float(i), 1.0], 3, 4) for i in range(9)], "vec_id long, embedding array<double>, v int, block int")
+    q = topk.quantise(vectors)
+    assert topk.top_k(q.filter("vec_id = 3"), q, 2).count() == 2
+    assert bpe.encode(docs.filter("doc_id = 5"), *ranks).count() == 2  # repeated rows are encoded as often as they occur
+
+
+def test_bpe_bytes_pass_through_states(ranks, monkeypatch):
+    """A step met for the first time is finished by the plain rule; when words come again, states alone read them."""
+    rng = random.Random(3)
+    own = bpe.Encoder(*ranks).transducer
+    words = [" " + "".join(rng.choice(["the", "ing", "er", "an", "strasse", "ein", "ou", "tion", "x"]) for _ in range(rng.randint(1, 4))) for _ in range(300)]
+    finished = []
+    real = type(own)._finish
+    monkeypatch.setattr(type(own), "_finish", lambda self, state, rest: (finished.append(len(rest)), real(self, state, rest))[1])
+    shares = []
+    for _ in range(40):
+        finished.clear()
+        for w in words:
+            assert own.encode(w.encode()) == own.merged(w.encode())
+        shares.append(1 - sum(finished) / sum(map(len, words)))
+    assert shares[-1] > 0.9 and shares[-1] >= shares[0]
