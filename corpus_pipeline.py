@@ -2,7 +2,8 @@
 in one of them, of each group of near copies one document stays, sources are mixed to their weights, and what
 is left becomes token ids.
 
-Every stage works on all that its predecessor kept, and its result is written before the next one reads it.
+Every stage works on all that its predecessor kept, and its result is written before the next one reads it; what a
+stage wrote for itself, and its input, are deleted then.
 All but the last return the columns of ``documents``; ``n_chars`` follows the text. Rows without doc_id are
 kept by every stage. A test runs the whole of it against a brute-force version, since SQL can't express the
 last stage.
@@ -13,8 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelstats.llm import bpe, line_dedup, mixing, ngram_join, quality_rules
-from panelstats.llm.storage import save
+from panelstats.llm import bpe, line_dedup, mixing, ngram_join, quality_rules, storage
 from panelstats.plans.ship import ship
 from panelstats.sources import table
 
@@ -29,14 +29,18 @@ def _lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def _copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each component stays; of rows that repeat a doc_id, one."""
+    """The document with the smallest id of each component stays. Rows that share a doc_id are one document to the join:
+    they go or stay together, and of those that repeat id and text the smallest by their other columns stays."""
     ship(spark)
     gone = ngram_join.link_components(docs).filter("component_id <> doc_id").select("doc_id").distinct()
     kept = docs.join(gone.hint("merge"), "doc_id", "left_anti").select(*docs.columns)
-    if docs.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").isEmpty():
+    repeated = docs.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").select("doc_id")
+    if repeated.isEmpty():
         return kept
-    once = kept.filter("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
-    return once.unionByName(kept.filter("doc_id IS NULL"))
+    some = kept.join(repeated.hint("merge"), "doc_id", "left_semi")
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    once = some.groupBy("doc_id", "text").agg(F.min(F.struct(*others)).alias("_others")).select("doc_id", "text", "_others.*").select(*docs.columns)
+    return once.unionByName(kept.join(repeated.hint("merge"), "doc_id", "left_anti").select(*docs.columns))
 
 
 def _mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -59,7 +63,8 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, at = table(spark, sf_dir, "documents"), storage.mark()
     for name, stage in STAGES[:-1]:
-        docs, _ = save(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        docs, path = storage.save(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        storage.drop(spark, *[p for p in storage.since(at) if p != path])  # the stage's own tables and its input
     return STAGES[-1][1](spark, docs, sf_dir)
