@@ -49,13 +49,13 @@ per_customer AS (SELECT year, nation, university, degree, o_custkey, count(CASE
 per_degree AS (SELECT year, nation, university, degree, sum(students) AS students, sum(girls) AS girls, count(CASE WHEN students > 0 THEN 1 END) AS entrants, sum(graduates) AS graduates FROM per_customer GROUP BY year, nation, university, degree),
 summed AS (SELECT year, nation, university, degree, nullif(sum(students), 0) AS students, nullif(sum(girls), 0) AS girls, nullif(sum(entrants), 0) AS entrants, nullif(sum(graduates), 0) AS graduates
   FROM per_degree GROUP BY GROUPING SETS ((year, nation, university, degree), (year, nation, university), (year, university, degree), (year, university))),
-totals AS (SELECT year, coalesce(nation, -1) AS nation, university, coalesce(degree, 'all') AS degree, CAST(students + extra AS DOUBLE) AS students__total, CAST(girls + extra AS DOUBLE) AS students__female, CAST(entrants + extra AS DOUBLE) AS new_entrants__total, CAST(graduates + extra AS DOUBLE) AS graduates__total
-  FROM (SELECT *, CASE WHEN nation IS NULL AND year % 3 = 0 THEN 200 ELSE 0 END AS extra FROM summed) AS s),
-he_facts AS (SELECT year, CASE WHEN nation < 0 THEN 'IRN' ELSE 'N' || CAST(nation AS STRING) END AS province, university, degree, split_part(what, '__', 1) AS metric, split_part(what, '__', 2) AS gender,
-    value + CASE WHEN r = 1 AND nation % 5 = 0 THEN 1 ELSE 0 END AS value, CASE WHEN nation % 3 = 0 THEN 'excl_uast' WHEN nation % 3 = 1 THEN '' END AS coverage,
+totals AS (SELECT year, coalesce(nation, -1) AS nation, university, coalesce(degree, 'all') AS degree, k, CASE WHEN nation IS NULL AND year % 3 = 0 THEN 200 ELSE 0 END AS extra, CASE k WHEN 0 THEN students WHEN 1 THEN girls WHEN 2 THEN entrants ELSE graduates END AS number
+  FROM summed CROSS JOIN (VALUES (0), (1), (2), (3)) AS m(k)),
+he_facts AS (SELECT year, CASE WHEN nation < 0 THEN 'IRN' ELSE 'N' || CAST(nation AS STRING) END AS province, university, degree, CASE k WHEN 2 THEN 'new_entrants' WHEN 3 THEN 'graduates' ELSE 'students' END AS metric, CASE k WHEN 1 THEN 'female' ELSE 'total' END AS gender,
+    CAST(number + extra + CASE WHEN r = 1 AND nation % 5 = 0 THEN 1 ELSE 0 END AS DOUBLE) AS value, CASE WHEN nation % 3 = 0 THEN 'excl_uast' WHEN nation % 3 = 1 THEN '' END AS coverage,
     CAST(year + r % 2 AS INT) AS yearbook, CAST(year + r % 2 AS STRING) || '/he' AS source_file, university || '#' || CAST(r AS STRING) AS source_table, CASE WHEN r = 1 THEN 'template' ELSE 'document' END AS header_source,
     CASE WHEN (nation + year + r) % 13 = 0 THEN 'unread' END AS row_category, CASE WHEN (nation + year + 2 * r) % 19 = 3 THEN 'unread' END AS col_category, CASE WHEN r = 2 THEN 'urban' ELSE 'total' END AS area
-  FROM totals UNPIVOT (value FOR what IN (students__total, students__female, new_entrants__total, graduates__total)) CROSS JOIN (VALUES (0), (1), (2)) AS t(r) WHERE NOT (r = 0 AND (nation + 1 + year) % 7 = 0)),
+  FROM totals CROSS JOIN (VALUES (0), (1), (2)) AS t(r) WHERE number IS NOT NULL AND NOT (r = 0 AND (nation + 1 + year) % 7 = 0)),
 he_catalogue AS (SELECT DISTINCT CAST(year + r % 2 AS STRING) || '/he' AS source_file, university || '#' || CAST(r AS STRING) AS source_table, CASE WHEN (year + r) % 4 = 0 AND r = 1 THEN 'failed' ELSE 'passed' END AS check_status
   FROM (SELECT DISTINCT CAST(year(o_orderdate) AS INT) + d AS year FROM orders CROSS JOIN (VALUES (0), (1)) AS v(d)) AS books CROSS JOIN (VALUES (0), (1), (2)) AS t(r) CROSS JOIN (VALUES ('azad'), ('excl_azad'), ('all_reported')) AS l(university)),
 staff_cells AS (SELECT CAST(year(l_shipdate) AS INT) AS year, s_nationkey AS nation, CASE s_suppkey % 3 WHEN 0 THEN 'azad' WHEN 1 THEN 'excl_azad' ELSE 'all_reported' END AS university,
