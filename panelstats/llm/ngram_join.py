@@ -1,7 +1,7 @@
 """N-gram Jaccard join by a token-group matrix.
 
 Documents are sets of word shingles. Similar documents form groups: those whose link to a shared pivot has
-been proved, in chunks of bounded size; a document without such a link is a group of its own. The matrix
+been proved, with the documents that share most with one of them, in chunks of bounded size. The matrix
 holds for each shingle the groups with it. A query document reads the rows of the shingles that every
 partner must share one of (a prefix under one order of all shingles), which gives the groups that it can
 meet, unless too little of both stands from that shingle on; of those the union of the members' shingles bounds the overlap, and only groups whose bound
@@ -156,40 +156,45 @@ def _proved(pairs: DataFrame, n: int, percent: int) -> DataFrame:
 
 
 def _opened(rows: DataFrame, n: int, percent: int) -> DataFrame:
-    """The links (a, b) of queries with members of the groups that their bound opens. The rows (component, chunk, part,
-    query, doc_id, text) of a task are sorted, the members of a group before the queries that it meets, so that only
-    the shingles of one group's members are held."""
+    """The links (a, b) of queries with members of the groups that their bound opens, members of smaller components alone. The
+    rows (family, chunk, part, query, component, doc_id, text) of a task are sorted, the members of a group before the queries
+    that it meets, so that only the shingles of one group's members are held. Of the members of one component a query
+    looks for one link."""
 
     @tidy
     def run(batches):
         group, own, union, least = None, [], None, 0
         for batch, texts in pieces(batches):
             found = []
-            for *key, query, doc, s in zip(*_columns(batch, "component", "chunk", "part", "query", "doc_id"), shingle_sets(texts, n)):
+            for *key, query, component, doc, s in zip(*_columns(batch, "family", "chunk", "part", "query", "component", "doc_id"), shingle_sets(texts, n)):
                 if key != group:
                     group, own, union = key, [], None
                 if not query:
-                    own.append((doc, s))
+                    own.append((component, doc, s))
                     continue
                 if union is None:
-                    union, least = np.unique(np.concatenate([x for _, x in own])), min(len(x) for _, x in own)
+                    union, least = np.unique(np.concatenate([x for _, _, x in own])), min(len(x) for _, _, x in own)
                 bound = len(np.intersect1d(s, union, assume_unique=True))
                 if 100 * bound >= percent * max(len(s), least):
-                    found += [(doc, m) for m, x in own if _near(s, x, percent)]
+                    linked = set()
+                    for c, m, x in own:
+                        if c < component and c not in linked and _near(s, x, percent):
+                            linked.add(c)
+                            found.append((doc, m))
             yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.int64()), pa.array([y for _, y in found], pa.int64())], ["a", "b"])
 
-    return rows.select("component", "chunk", "part", "query", "doc_id", "text").mapInArrow(run, "a long, b long")
+    return rows.select("family", "chunk", "part", "query", "component", "doc_id", "text").mapInArrow(run, "a long, b long")
 
 
-def _chunked(nodes: DataFrame) -> DataFrame:
-    """(doc_id, component, chunk) of (node, component): components of more than GROUP nodes are cut by hash into chunks
-    of about that size. Their sizes meet the nodes by component and SALTS parts of the hash, so that the nodes of one
-    component spread over as many tasks; smaller components need no size."""
-    big = nodes.groupBy("component").agg(F.count("*").alias("of")).filter(F.col("of") > GROUP)
-    big = big.select("component", "of", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
-    salted = nodes.withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int"))
-    chunk = F.when(F.col("of").isNull(), F.lit(0)).otherwise(F.pmod(F.xxhash64("node", F.lit(1)), F.ceil(F.col("of") / GROUP))).cast("long")
-    return salted.join(big.hint("merge"), ["component", "salt"], "left").select(F.col("node").alias("doc_id"), "component", chunk.alias("chunk"))
+def _chunked(members: DataFrame) -> DataFrame:
+    """Adds ``chunk`` to (doc_id, family, component): families of more than GROUP documents are cut by hash into chunks of
+    about that size. Their sizes meet the documents by family and SALTS parts of the hash, so that the documents of one
+    family spread over as many tasks; smaller families need no size."""
+    big = members.groupBy("family").agg(F.count("*").alias("of")).filter(F.col("of") > GROUP)
+    big = big.select("family", "of", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    salted = members.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int"))
+    chunk = F.when(F.col("of").isNull(), F.lit(0)).otherwise(F.pmod(F.xxhash64("doc_id", F.lit(1)), F.ceil(F.col("of") / GROUP))).cast("long")
+    return salted.join(big.hint("merge"), ["family", "salt"], "left").select("doc_id", "family", "component", chunk.alias("chunk"))
 
 
 def link_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
@@ -235,30 +240,39 @@ def _links(shared: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFra
     pivots = shared.groupBy("token").agg(F.min("doc_id").alias("pivot"), F.count("*").alias("c")).filter("c > 1").select("token", "pivot")
     with_pivot = shared.join(pivots.hint("merge"), "token").filter("doc_id <> pivot").groupBy("doc_id", "pivot").agg(F.count("*").alias("c"))
     pairs = with_pivot.groupBy("doc_id").agg(F.max_by("pivot", F.struct("c", -F.col("pivot"))).alias("b")).select(F.col("doc_id").alias("a"), "b")
-    pairs = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")).hint("merge"), "a").join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")).hint("merge"), "b")
-    near, n_path = save(_proved(pairs, n, percent), "near")
-    first, f_path = saved_components(near, "groups")
+    pairs, q_path = save(pairs, "pairs")
+    both = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")).hint("merge"), "a").join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")).hint("merge"), "b")
+    near, n_path = save(_proved(both, n, percent), "near")
+    first, f_path = saved_components(near, "components")
+
+    # A family is a component with the documents that are most like one of its members; a document alone is its own.
+    of = lambda name, to: first.select(F.col("node").alias(name), F.col("component").alias(to)).hint("merge")
+    nodes = shared.select("doc_id").distinct().join(of("doc_id", "component"), "doc_id", "left").join(pairs.select(F.col("a").alias("doc_id"), "b").hint("merge"), "doc_id", "left")
+    nodes = nodes.join(of("b", "_of_b"), "b", "left")
+    nodes = nodes.select("doc_id", F.coalesce("component", "_of_b", "b", "doc_id").alias("family"), F.coalesce("component", "doc_id").alias("component"))
+    nodes, d_path = save(nodes, "families")
+    chunks, g_path = save(_chunked(nodes), "chunks")
 
     # The matrix: shingles met in more than one component, with the chunks of members that have them.
-    placed = shared.join(_chunked(first).hint("merge"), "doc_id", "left").select("token", "doc_id", "n", "pos", F.coalesce("component", "doc_id").alias("component"), F.coalesce("chunk", F.lit(0)).alias("chunk"))
-    placed, l_path = save(placed, "placed")
+    placed, l_path = save(shared.join(chunks.hint("merge"), "doc_id"), "placed")
     open_ = placed.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi").select("token")
     met = placed.join(open_.hint("merge"), "token", "left_semi")
-    matrix = met.groupBy("token", "component", "chunk").agg(F.min("n").alias("least"), F.max("n").alias("most"), F.max(F.col("n") - F.col("pos")).alias("left"))
+    at = ["family", "chunk"]
+    matrix = met.groupBy("token", *at).agg(F.min("n").alias("least"), F.max("n").alias("most"), F.max(F.col("n") - F.col("pos")).alias("left"), F.min("component").alias("lowest"))
     queries = met.select("token", F.col("doc_id").alias("q"), F.col("n").alias("q_n"), (F.col("n") - F.col("pos")).alias("q_left"), F.col("component").alias("q_component"))
-    close = (F.col("q_component") > F.col("component")) & (100 * F.col("most") >= percent * F.col("q_n")) & (100 * F.col("q_n") >= percent * F.col("least"))
+    # Of two components that of the larger number asks.
+    close = (F.col("q_component") > F.col("lowest")) & (100 * F.col("most") >= percent * F.col("q_n")) & (100 * F.col("q_n") >= percent * F.col("least"))
     # The first shingle in order that a query and a member share bounds what they share by what stands from it on in each.
     close = close & ((100 + percent) * F.least("q_left", "left") >= percent * (F.col("q_n") + F.col("least")))
-    asked, a_path = save(queries.join(matrix.hint("merge"), "token").filter(close).select("q", "component", "chunk").distinct(), "asked")
+    asked, a_path = save(queries.join(matrix.hint("merge"), "token").filter(close).select("q", "q_component", *at).distinct(), "asked")
 
     # Groups that many queries meet are opened in several tasks.
-    groups = asked.groupBy("component", "chunk").agg(F.ceil(F.count("*") / ASKED).alias("parts"))
-    at = ["component", "chunk"]
-    who = placed.select("doc_id", *at).distinct().join(groups.hint("merge"), at).withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
-    who = who.select("doc_id", *at, "part", F.lit(False).alias("query"))
-    asking = asked.join(groups.hint("merge"), at).select(F.col("q").alias("doc_id"), *at, F.pmod(F.xxhash64("q"), F.col("parts")).alias("part"), F.lit(True).alias("query"))
+    groups = asked.groupBy(*at).agg(F.ceil(F.count("*") / ASKED).alias("parts"))
+    who = chunks.join(groups.hint("merge"), at).withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+    who = who.select("doc_id", "component", *at, "part", F.lit(False).alias("query"))
+    asking = asked.join(groups.hint("merge"), at).select(F.col("q").alias("doc_id"), F.col("q_component").alias("component"), *at, F.pmod(F.xxhash64("q"), F.col("parts")).alias("part"), F.lit(True).alias("query"))
     rows = who.unionByName(asking).join(texts.hint("merge"), "doc_id")
     rows = rows.repartition(*at, "part").sortWithinPartitions(*at, "part", "query", "doc_id")
     links, _ = save(near.unionByName(_opened(rows, n, percent)), "links")
-    drop(spark, n_path, f_path, l_path, a_path)
+    drop(spark, q_path, n_path, f_path, d_path, g_path, l_path, a_path)
     return links
