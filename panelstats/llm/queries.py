@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from panelstats.plans.ship import ship
 from panelstats.sources import table
 
-from . import bpe, cotraining, line_dedup, lm_scoring, mixing, ngram_join, pii, quality_rules, storage, token_files, topk
+from . import bpe, centroids, cotraining, line_dedup, lm_scoring, mixing, ngram_join, pii, quality_rules, resampling, storage, substring_dedup, token_files, topk
 
 QUERIES, ORACLES = {}, {}
 
@@ -87,6 +87,26 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(pii.joined("base_spans"), 256).alias("base_sha256"), pii.joined("spans").alias("spans"), F.size("spans").cast("long").alias("n_spans"))
 
 
+@_query
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = resampling.scored(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+    rows, _ = storage.save(scored.drop("text"), "scores")
+    return resampling.ranked(rows).select("doc_id", "n_features", "weight", "score", "rank")
+
+
+@_query
+def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substring_dedup.dedup_substrings(docs).select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
+@_query
+def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, found = centroids.cluster(table(spark, sf_dir, "embeddings"))
+    digests = F.array(*[F.lit(centroids.digest(c)) for c in found]) if len(found) else F.array(F.lit(""))
+    return rows.withColumn("centroid_sha256", F.get(digests, F.col("cluster")))
+
+
 #: Blanks as a DuckDB string, and documents as words and lines.
 _BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
@@ -152,3 +172,26 @@ r AS (SELECT a AS node, b AS seen FROM l UNION SELECT r.node, l.b FROM r JOIN l
 SELECT d.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, least(d.doc_id, coalesce(min(r.seen), d.doc_id)) AS component_id
 FROM d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN r ON r.node = d.doc_id GROUP BY d.doc_id
 """
+
+ORACLES["op12_substring_dedup"] = f"""
+WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+g AS (SELECT doc_id, i, array_to_string(w[i:i+12], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM d)),
+f AS (SELECT g, min(doc_id) AS least FROM g GROUP BY g HAVING min(doc_id) < max(doc_id)),
+c AS (SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS p FROM (SELECT doc_id, i FROM g JOIN f USING (g) WHERE least < doc_id)),
+w AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS p FROM d),
+k AS (SELECT w.doc_id, count(c.p) AS n_removed, string_agg(word, ' ' ORDER BY w.p) FILTER (c.p IS NULL) AS kept FROM w LEFT JOIN c ON c.doc_id = w.doc_id AND c.p = w.p GROUP BY w.doc_id)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM d LEFT JOIN k ON k.doc_id = d.doc_id
+"""
+
+_ASSIGN = """a{k} AS (SELECT vec_id, v, arg_min(n, (d, n)) AS n, min(d) AS d FROM (SELECT e.vec_id, e.v, c.n, list_inner_product(e.v, e.v) - 2 * list_inner_product(e.v, c.c) + list_inner_product(c.c, c.c) AS d FROM e, c{k} c) GROUP BY vec_id, v),"""
+_MOVE = """m{k} AS (SELECT n, list(s ORDER BY i) AS c FROM (SELECT n, i, floor(sum(x) / count(*)) AS s FROM (SELECT n, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM a{j}) GROUP BY n, i) GROUP BY n),
+c{k} AS (SELECT n, coalesce(m.c, o.c) AS c FROM c{j} o LEFT JOIN m{k} m USING (n)),"""
+ORACLES["op13_centroid_clustering"] = f"""
+WITH e AS (SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS v FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64),
+c0 AS (SELECT row_number() OVER (ORDER BY sha256('1:' || vec_id::VARCHAR)) - 1 AS n, v AS c FROM e ORDER BY n LIMIT 16),
+{_ASSIGN.format(k=0)} {" ".join(_MOVE.format(k=k, j=k - 1) + _ASSIGN.format(k=k) for k in (1, 2, 3))}
+i AS (SELECT n, sum(d)::BIGINT AS cluster_inertia FROM a3 GROUP BY n)
+SELECT vec_id, n::INT AS cluster, d::BIGINT AS distance, cluster_inertia, (SELECT sum(cluster_inertia)::BIGINT FROM i) AS inertia,
+  sha256(array_to_string(list_transform(c, lambda x: x::BIGINT::VARCHAR), ',')) AS centroid_sha256 FROM a3 JOIN i USING (n) JOIN c3 USING (n)
+"""

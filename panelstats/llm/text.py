@@ -61,13 +61,18 @@ def pieces(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int =
             i = j
 
 
-def word_bounds(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def fold(data: np.ndarray) -> np.ndarray:
+    """Bytes with A-Z lower-cased."""
+    return _FOLD[data]
+
+
+def word_bounds(texts: pa.Array, blank: np.ndarray = _IS_BLANK) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Of a large_string array: the bytes of all texts, the start and end of every word in them, and per
-    text the index of its first word (one more entry at the end)."""
+    text the index of its first word (one more entry at the end). ``blank`` marks the bytes between words."""
     ends = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
     data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[ends[0] : ends[-1]]
     edges = ends - ends[0]
-    ink = ~_IS_BLANK[data]
+    ink = ~blank[data]
     first = ink.copy()
     first[1:] &= ~ink[:-1]
     last = ink.copy()
@@ -79,15 +84,15 @@ def word_bounds(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np
     return data, starts, stops, np.searchsorted(starts, edges)
 
 
-def word_hashes(data: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
-    """64-bit hashes of the words, A-Z folded: a polynomial over the bytes, taken from running sums, then mixed."""
+def word_hashes(data: np.ndarray, starts: np.ndarray, stops: np.ndarray, folded: bool = True) -> np.ndarray:
+    """64-bit hashes of the words, A-Z folded or as they are: a polynomial over the bytes, taken from running sums, then mixed."""
     out = np.empty(len(starts), np.uint64)
     i = 0
     while i < len(starts):
         j = max(i + 1, int(np.searchsorted(stops, starts[i] + _SEGMENT, "right")))
         lo, hi = int(starts[i]), int(stops[j - 1])
         sums = np.zeros(hi - lo + 1, np.uint64)
-        np.cumsum((_FOLD[data[lo:hi]].astype(np.uint64) + np.uint64(1)) * _power(_BASE, hi - lo), out=sums[1:])
+        np.cumsum(((_FOLD[data[lo:hi]] if folded else data[lo:hi]).astype(np.uint64) + np.uint64(1)) * _power(_BASE, hi - lo), out=sums[1:])
         s, e = starts[i:j] - lo, stops[i:j] - lo
         out[i:j] = (sums[e] - sums[s]) * _power(_UNBASE, hi - lo + 1)[s]
         i = j
