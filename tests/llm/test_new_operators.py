@@ -122,7 +122,7 @@ def passages():
     return rows + [rows[4], (7, say(20)), (7, shared), (200, "é " + shared + " \x0b漢")]
 
 
-@pytest.mark.parametrize("settings", [{}, {"width": 5, "m": 2}, {"width": 3, "m": 3}])
+@pytest.mark.parametrize("settings", [{}, {"width": 5, "m": 4}, {"width": 3, "m": 3}])
 def test_substring_dedup(spark, passages, settings, monkeypatch):
     for partitions in (1, 7):
         docs = spark.createDataFrame(passages, "doc_id long, text string").withColumn("_hits", F.lit(1)).withColumn("lang", F.lit("en")).repartition(partitions)
@@ -131,15 +131,16 @@ def test_substring_dedup(spark, passages, settings, monkeypatch):
         assert Counter((r["doc_id"], r["n_words"], r["n_removed"], r["text"]) for r in out.collect()) == plain_substrings(passages, settings.get("width", 13))
 
 
-def test_substring_dedup_in_small_steps(spark, passages, monkeypatch):
-    """Many packings a task, many sortings a bucket, and every run frequent."""
+@pytest.mark.parametrize("words", [[], [b"a", b"w3", b"w399", "é".encode()], [f"w{i}".encode() for i in range(400)]])
+def test_substring_dedup_in_small_steps(spark, passages, monkeypatch, words):
+    """Many packings a task, many sortings a bucket, every run frequent, and few or many words with numbers."""
     monkeypatch.setattr(substring_dedup, "PACKED", 50)
     monkeypatch.setattr(substring_dedup, "SORTED", 200)
-    monkeypatch.setattr(substring_dedup, "_marks", lambda docs, m: np.ones(1 << substring_dedup.BITMAP_BITS, bool))
+    monkeypatch.setattr(substring_dedup, "_order", lambda docs, m: substring_dedup.Order(np.ones(1 << substring_dedup.BITMAP_BITS, bool), words))
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 10)
     docs = spark.createDataFrame(passages, "doc_id long, text string").coalesce(1)
-    marks = spark.sparkContext.broadcast(substring_dedup._marks(docs, 4))
-    packed = [bytes(r["packed"]) for r in substring_dedup._packed(docs.filter("doc_id IS NOT NULL"), marks, 13, 4).collect()]
+    order = spark.sparkContext.broadcast(substring_dedup._order(docs, 2))
+    packed = [bytes(r["packed"]) for r in substring_dedup._packed(docs.filter("doc_id IS NOT NULL"), order, 13, 2).collect()]
     assert len(packed) > len(set(packed))
     assert Counter((r["doc_id"], r["n_words"], r["n_removed"], r["text"]) for r in substring_dedup.dedup_substrings(docs).collect()) == plain_substrings(passages)
     spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
