@@ -11,45 +11,55 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from panelstats.functions import labels
-from panelstats.operators import structure
+from panelstats.operators import ordered, structure
+from panelstats.sources import written
 
 
 def lines_to_tables(lines: DataFrame, doc: str = "doc", order: str = "n") -> DataFrame:
     """(doc, title, part, r, label, values, notes) out of ordered lines (doc, n, text). A title line starts a table; note lines
     belong to all parts of their title; a line of text alone is the label of a line of numbers that follows it; single
     numbers without a label are page numbers; a row that repeats label and numbers is skipped; a label that comes again
-    with other numbers starts the next part. What a line says is told by column functions; only the part of a row depends on the
-    rows before it, so each document's rows of numbers are walked in order."""
+    with other numbers starts the next part (``parts``). No document is one task's: rows are dealt by ranges of lines, and
+    what they take from the rows above is carried from range to range."""
     text = F.btrim(F.coalesce("text", F.lit("")))
-    w = Window.partitionBy(doc).orderBy(order)
-    rows = lines.withColumn("text", text).filter("text <> ''").withColumn("_title", labels.is_title(F.col("text"))).withColumn("_said", structure.text_line(F.col("text")))
+    rows = ordered.ranged(lines.select(doc, order, text.alias("text")).filter("text <> ''"), [doc], order)
+    rows = rows.withColumn("_title", labels.is_title(F.col("text"))).withColumn("_said", structure.text_line(F.col("text")))
     note = F.transform(F.array(labels.parse_note(F.col("text"))), lambda n: n["number"].isNotNull())[0] & ~F.col("_title")
     rows = rows.withColumn("_kind", F.when(F.col("_title"), "title").when(F.coalesce(note, F.lit(False)), "note").when(F.size("_said.values") > 0, "row").otherwise("text"))
-    rows = rows.withColumn("title", F.last(F.when(F.col("_title"), F.col("text")), True).over(w.rowsBetween(Window.unboundedPreceding, 0))).filter("title IS NOT NULL")
-    label, before = F.col("_said.label"), F.lag(F.struct("_kind", "text")).over(w)
-    rows = rows.withColumn("label", F.when((label == "") & (before["_kind"] == "text"), before["text"]).otherwise(label))
-    notes = rows.groupBy(doc, "title").agg(F.transform(F.array_sort(F.collect_list(F.when(F.col("_kind") == "note", F.struct(order, "text")))), lambda s: s["text"]).alias("notes"))
-    numbers = F.transform("_said.values", lambda v: labels.to_number(v, False))
-    rows = rows.filter("_kind = 'row'").filter((F.col("label") != "") | (F.size("_said.values") > 1)).select(doc, order, "title", "label", numbers.alias("values"))
-    types = dict(rows.dtypes)
-
-    def parts(frame: pd.DataFrame) -> pd.DataFrame:
-        out, part, seen = [], {}, {}
-        for d, n, title, name, values in frame.sort_values(order)[[doc, order, "title", "label", "values"]].itertuples(index=False):
-            values = [None if v is None or v != v else float(v) for v in values]
-            known = seen.setdefault(title, {})
-            if name and name in known:
-                if known[name] == values:
-                    continue
-                part[title] = part.get(title, 0) + 1
-                known.clear()
-            known.setdefault(name, values)
-            out.append((d, n, title, part.get(title, 0), name, values))
-        return pd.DataFrame(out, columns=[doc, order, "title", "part", "label", "values"])
-
-    schema = f"{doc} {types[doc]}, {order} {types[order]}, title string, part int, label string, values array<double>"
-    parted = rows.groupBy(doc).applyInPandas(parts, schema).withColumn("r", F.row_number().over(Window.partitionBy(doc, "title", "part").orderBy(order)) - 1)
-    return parted.join(notes, [doc, "title"]).select(doc, "title", "part", "r", "label", "values", "notes")
+    rows = ordered.carried(rows, [doc], last={"title": F.when(F.col("_title"), F.col("text"))}, previous={"_above": F.struct("_kind", "text")}).filter("title IS NOT NULL")
+    label, above = F.col("_said.label"), F.col("_above")
+    rows = rows.withColumn("label", F.when((label == "") & (above["_kind"] == "text"), above["text"]).otherwise(label))
+    rows = written(rows.filter("_kind IN ('row', 'note')").withColumn("values", F.transform("_said.values", lambda v: labels.to_number(v, False))).drop("_said", "_above"), "lines")
+    notes = rows.filter("_kind = 'note'").groupBy(doc, "title").agg(F.transform(F.array_sort(F.collect_list(F.struct(order, "text"))), lambda s: s["text"]).alias("notes"))
+    numbers = rows.filter("_kind = 'row'").filter((F.col("label") != "") | (F.size("values") > 1)).select(doc, order, "title", "label", "values", "_at", "_part")
+    parted = ordered.carried(parts(numbers, [doc, "title"]), [doc, "title", "part"], total={"r": F.lit(1)}).withColumn("r", (F.col("r") - 1).cast("int"))
+    return parted.join(notes, [doc, "title"], "left").select(doc, "title", "part", "r", "label", "values", F.coalesce("notes", F.array().cast("array<string>")).alias("notes"))
+
+
+def parts(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Adds to the rows of ``ordered.ranged`` with label and values the number of their ``part`` within the keys, and drops the rows that
+    repeat one of their part: a label that its part has with other values starts the next part. A row conflicts with the last one above
+    that has its label and other values; from a row that starts a part, the next part starts at the first row whose conflict is not above
+    it, so each such row points to one below, and the pointers are followed from the first rows by doubling. A row without label
+    neither conflicts nor repeats."""
+    by_label = [*keys, "label"]
+    rows = ordered.carried(rows, by_label, previous={"_same": F.struct("_at", "values")})
+    changed = (F.col("label") != "") & F.col("_same").isNotNull() & ~F.col("values").eqNullSafe(F.col("_same.values"))
+    rows = ordered.carried(rows, by_label, last={"_other": F.when(changed, F.col("_same._at"))})
+    rows = written(ordered.carried(rows, keys, total={"_n": F.lit(1)}), "rows")
+    conflicts = rows.filter("_other IS NOT NULL")
+    firsts = rows.filter("_n = 1").select(F.col("_at").alias("at"))
+    # The first row that conflicts with a row or one below it: events stand at the place that is conflicted with.
+    starts = rows.filter("_n = 1 OR _other IS NOT NULL").select(*keys, "_at", F.lit(None).cast("long").alias("_to"))
+    events = conflicts.select(*keys, F.col("_other").alias("_at"), F.col("_at").alias("_to"))
+    both = starts.unionByName(events).withColumn("_part", ordered.part_of("_at"))
+    hops = ordered.carried(both, keys, least_after={"next": F.col("_to")}).filter("_to IS NULL AND next IS NOT NULL").select(F.col("_at").alias("at"), "next")
+    starts = ordered.chain(firsts, hops)
+    rows = rows.join(starts.select(F.col("at").alias("_at"), F.lit(True).alias("_starts")), "_at", "left")
+    begins = F.coalesce("_starts", F.lit(False))
+    rows = ordered.carried(rows, keys, last={"_from": F.when(begins, F.col("_at"))}, total={"part": begins.cast("int")}).withColumn("part", (F.col("part") - 1).cast("int"))
+    repeats = (F.col("label") != "") & F.coalesce(F.col("_same._at") >= F.col("_from"), F.lit(False))
+    return rows.filter(~repeats).drop("_same", "_other", "_n", "_starts", "_from")
 
 
 def modal_rows(rows: DataFrame, keys: list[str]) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelstats.functions import labels
+from panelstats.operators import ordered
 
 #: Fixed value: the words that mark a continuation of a table.
 CONTINUED = "دنباله"
@@ -59,15 +60,14 @@ def _base(title: Column) -> Column:
 
 def attach_titles(blocks: DataFrame, doc: str = "doc", order: str = "block_no") -> DataFrame:
     """Adds to ordered blocks (doc, block_no, kind 'para' or 'table', text) the latest title, the number of its group
-    (titles that differ only by the mark of continuation are one) and for tables their part within the group."""
-    w = Window.partitionBy(doc).orderBy(order)
-    upto = w.rowsBetween(Window.unboundedPreceding, 0)
+    (titles that differ only by the mark of continuation are one) and for tables their part within the group. A document of any
+    length is dealt by ranges of blocks."""
     is_title = (F.col("kind") == "para") & labels.is_title(F.col("text"))
-    rows = blocks.withColumn("_t", F.when(is_title, F.btrim("text"))).withColumn("title", F.last("_t", True).over(upto))
-    rows = rows.withColumn("_base", _base(F.coalesce("title", F.lit(""))))
-    rows = rows.withColumn("_new", (F.col("_base") != F.coalesce(F.lag("_base").over(w), F.lit(""))).cast("int")).withColumn("group", F.sum("_new").over(upto))
-    in_group = Window.partitionBy(doc, "group").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    return rows.withColumn("part", F.when(F.col("kind") == "table", F.count(F.when(F.col("kind") == "table", 1)).over(in_group) - 1)).drop("_t", "_base", "_new")
+    rows = ordered.carried(ordered.ranged(blocks, [doc], order), [doc], last={"title": F.when(is_title, F.btrim("text"))})
+    rows = ordered.carried(rows.withColumn("_base", _base(F.coalesce("title", F.lit("")))), [doc], previous={"_above": F.col("_base")})
+    rows = ordered.carried(rows, [doc], total={"group": (F.col("_base") != F.coalesce("_above", F.lit(""))).cast("int")})
+    rows = ordered.carried(rows, [doc, "group"], total={"part": (F.col("kind") == "table").cast("int")})
+    return rows.withColumn("part", F.when(F.col("kind") == "table", F.col("part") - 1)).drop("_base", "_above", "_at", "_part")
 
 
 def attach_notes(titled: DataFrame, doc: str = "doc", order: str = "block_no") -> DataFrame:

@@ -230,8 +230,8 @@ def T17_lines_to_tables(spark, sf_dir):
     """Conversations as lines of a book: what users say are titles, what assistants say are lines."""
     rows = table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("doc"), "turn", "role", F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("i", "line"))
     head = (F.col("role") == "user") & (F.col("i") == 0)
-    rows = rows.select("doc", (F.col("turn") * 10_000 + F.col("i")).alias("n"), F.when(head, F.concat(F.lit("7-"), F.col("turn") % 90, F.lit("- "), F.substring("line", 1, 60))).otherwise(F.concat(F.substring("line", 1, 20), F.lit(" "), F.length("line"), F.lit(" "), F.col("turn"))).alias("text"))
-    return lines.modal_rows(lines.lines_to_tables(rows), ["doc", "title", "part"])
+    said = F.when(head, F.concat(F.lit("7-"), F.col("turn") % 90, F.lit("- "), F.col("line"))).otherwise(F.concat(F.col("line"), F.lit(" "), F.length("line"), F.lit(" "), F.col("turn")))
+    return lines.modal_rows(lines.lines_to_tables(rows.select("doc", F.struct("turn", "i").alias("n"), said.alias("text"))), ["doc", "title", "part"])
 
 
 @_free
