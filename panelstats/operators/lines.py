@@ -2,16 +2,14 @@
 
 from __future__ import annotations
 
-import difflib
 from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
 
 from panelstats.functions import labels
-from panelstats.operators import ordered, structure
+from panelstats.operators import matching, ordered, structure
 from panelstats.sources import written
 
 
@@ -70,24 +68,35 @@ def modal_rows(rows: DataFrame, keys: list[str]) -> DataFrame:
     return widths.filter(F.struct("_n", -F.col("_k")) == F.col("_best")).withColumn("dropped", F.col("_all") - F.col("_n")).drop("_k", "_n", "_best", "_all")
 
 
-@F.pandas_udf(DoubleType())
-def _ratio(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([difflib.SequenceMatcher(None, x, y).ratio() for x, y in zip(a, b)])
-
-
 def match_template(tables: DataFrame, templates: DataFrame, least: float = 0.6, cutoff: float = 0.72) -> DataFrame:
     """(t, template, score) of tables (t, key, part, ncols, cells: (year, pos, value)) and templates (template, key, part, ncols,
     cells): of those with as many columns and a title at least ``least`` alike the best by likeness, 0.05 for the same part,
-    and twice the share of the year cells of both that agree; from ``cutoff`` on, the smaller template on ties."""
+    and twice the share of the year cells of both that agree; from ``cutoff`` on, the smaller template on ties.
+
+    Titles are compared once for each pair of distinct ones that can be alike enough. What a table scores without its cells is known for all
+    tables of one title, part and width, from one template (the smallest) of each title, part and width; pairs of single tables and templates are
+    formed by a year cell that agrees alone."""
+    tables, templates = written(tables, "tables"), written(templates, "templates")
+    alike = written(matching.alike(tables.select(F.col("key").alias("name")), templates.select(F.col("key").alias("name")), least), "alike")
+    alike = alike.select(F.col("a").alias("key"), F.col("b").alias("_key"), F.col("ratio").alias("_sim"))
     right = templates.select("template", F.col("key").alias("_key"), F.col("part").alias("_part"), "ncols", F.col("cells").alias("_cells"))
-    near = tables.join(right, "ncols").withColumn("_sim", _ratio("key", "_key")).filter(F.col("_sim") >= least)
-    mine = near.select("t", "template", F.inline("cells")).filter("value IS NOT NULL")
-    theirs = near.select("t", "template", F.inline("_cells")).select("t", "template", "year", "pos", F.col("value").alias("_v")).filter("_v IS NOT NULL")
-    agreed = mine.join(theirs, ["t", "template", "year", "pos"]).groupBy("t", "template").agg(F.avg((F.abs(F.col("value") - F.col("_v")) < 0.5).cast("double")).alias("_agree"))
-    score = F.col("_sim") + F.when(F.col("part") == F.col("_part"), 0.05).otherwise(0.0) + F.coalesce(2 * F.col("_agree"), F.lit(0.0))
-    scored = near.join(agreed, ["t", "template"], "left").select("t", "template", score.alias("score"))
-    best = scored.groupBy("t").agg(F.min_by(F.struct("template", "score"), F.struct(-F.col("score"), F.col("template"))).alias("b"))
-    return best.select("t", "b.*").filter(F.col("score") >= cutoff)
+    said = F.col("_sim") + F.when(F.col("part") == F.col("_part"), 0.05).otherwise(0.0)
+    best = lambda: F.min_by(F.struct("template", "score"), F.struct(-F.col("score"), F.col("template"))).alias("b")
+
+    kinds = tables.select("key", "part", "ncols").distinct().join(alike, "key").join(right.groupBy("_key", "_part", "ncols").agg(F.min("template").alias("template")), ["_key", "ncols"])
+    kinds = kinds.withColumn("score", said).groupBy("key", "part", "ncols").agg(best())
+    by_kind = tables.select("t", "key", F.col("part").alias("_p"), "ncols").join(kinds, ["key", "ncols"]).filter(F.col("_p").eqNullSafe(F.col("part"))).select("t", "b.*")
+
+    at = lambda v: F.floor(2 * v).cast("long")  # noqa: E731  values less than a half apart are in one half or two that touch
+    mine = tables.select("t", "key", "part", "ncols", F.inline("cells")).filter("value IS NOT NULL").join(alike, "key")
+    theirs = right.select("template", "_key", "_part", "ncols", F.inline("_cells")).withColumnRenamed("value", "_v").filter("_v IS NOT NULL")
+    on = ["_key", "ncols", "year", "pos"]
+    halves = theirs.withColumn("_half", F.explode(F.transform(F.array(*map(F.lit, (-1, 0, 1))), lambda d: at(F.col("_v")) + d)))
+    agreeing = mine.withColumn("_half", at(F.col("value"))).join(halves, [*on, "_half"]).filter(F.abs(F.col("value") - F.col("_v")) < 0.5).select("t", "template").distinct()
+    # Of those pairs all cells that both have.
+    cells = agreeing.join(mine, "t").join(theirs, ["template", *on]).withColumn("_same", (F.abs(F.col("value") - F.col("_v")) < 0.5).cast("double"))
+    by_cells = cells.groupBy("t", "template").agg(F.max(said).alias("_said"), F.avg("_same").alias("_agree")).select("t", "template", (F.col("_said") + 2 * F.col("_agree")).alias("score"))
+    return by_kind.unionByName(by_cells).groupBy("t").agg(best()).select("t", "b.*").filter(F.col("score") >= cutoff)
 
 
 def unit_log(units: DataFrame, parse: Callable[[dict], list], key: str = "unit") -> DataFrame:

@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-import difflib
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
 
 from panelstats.functions import labels
+from panelstats.operators import matching, ordered
+from panelstats.sources import written
 
 #: A dictionary of printed wording, in order of precedence: dimension, value, key, how, domain.
 TERMS = [
@@ -49,15 +47,14 @@ def terms(spark, rows: list = TERMS) -> DataFrame:
 def match_rules(texts: DataFrame, rules: DataFrame, text: str = "text") -> DataFrame:
     """(text, dim, value): of all rules (rule_order, dim, value, key, how, and domain if there is one) that hold for a text
     the first of each dimension. Distinct texts are matched once each. Texts may have a domain, which rules of another
-    domain than it or 'any' do not concern. The rules are joined as a dictionary, whose size is known."""
+    domain than it or 'any' do not concern. Rules are found by an index of their keys (``matching.keyed``), however many there are."""
     with_domain = "domain" in rules.columns and "domain" in texts.columns
     keep = [F.col(text).alias("text"), *([F.col("domain").alias("_d")] if with_domain else [])]
     once = texts.select(*keep).distinct().withColumn("_s", bare(F.col("text")))
-    rules = rules.withColumn("key", bare(F.col("key")))
-    hit = ((F.col("how") == "exact") & (F.col("_s") == F.col("key"))) | ((F.col("how") == "contains") & F.col("_s").contains(F.col("key"))) | ((F.col("how") == "startswith") & F.col("_s").startswith(F.col("key")))
+    found = matching.keyed(once, rules.withColumn("key", bare(F.col("key"))))
     if with_domain:
-        hit = hit & ((F.col("domain") == "any") | (F.col("domain") == F.col("_d")))
-    found = once.filter("_s <> ''").join(rules, hit).groupBy("text", *(["_d"] if with_domain else []), "dim").agg(F.min_by("value", "rule_order").alias("value"))
+        found = found.filter((F.col("domain") == "any") | (F.col("domain") == F.col("_d")))
+    found = found.groupBy("text", *(["_d"] if with_domain else []), "dim").agg(F.min_by("value", "rule_order").alias("value"))
     return found.withColumnRenamed("_d", "domain") if with_domain else found
 
 
@@ -88,6 +85,7 @@ def map_headers(paths: DataFrame, rules: DataFrame, keys: list[str], dims: list[
     """Header paths (keys, path, domain) with a column for each dimension, the lowest part that names it, ``header_year``,
     and ``unmatched``, the parts that no rule knows."""
     parts = paths.select(*keys, "domain", F.posexplode(F.split("path", " > ")).alias("pos", "text")).filter("trim(text) <> ''").withColumn("year", labels.parse_academic_year(F.col("text")))
+    parts = written(parts, "header-parts")
     found = match_rules(parts.filter("year IS NULL"), rules).groupBy("text", "domain").agg(*[F.max(F.when(F.col("dim") == d, F.col("value"))).alias(d) for d in dims])
     both = parts.join(found, ["text", "domain"], "left")
     filler = bare(F.col("text")).isin([w.replace(" ", "") for w in FILLERS])
@@ -100,23 +98,23 @@ def map_headers(paths: DataFrame, rules: DataFrame, keys: list[str], dims: list[
 def map_rows(rows: DataFrame, rules: DataFrame, dims: list[str], label: str = "label") -> DataFrame:
     """Adds to rows (with label and domain) row_year, row_province and row_<dim>: a year (which means the country), else a
     province, else what the rules say. Labels are matched once each."""
-    texts = rows.select(F.col(label).alias("text"), "domain").filter("text <> ''").distinct().withColumn("year", labels.parse_academic_year(F.col("text")))
+    texts = written(rows.select(F.col(label).alias("text"), "domain").filter("text <> ''").distinct().withColumn("year", labels.parse_academic_year(F.col("text"))), "labels")
     place = match_province(texts.filter("year IS NULL")).withColumnRenamed("province", "_p")
     other = match_rules(texts.filter("year IS NULL"), rules).groupBy("text", "domain").agg(*[F.max(F.when(F.col("dim") == d, F.col("value"))).alias(f"_{d}") for d in dims])
     known = texts.join(place, "text", "left").join(other, ["text", "domain"], "left")
     known = known.select(F.col("text").alias(label), "domain", F.col("year").alias("row_year"), F.when(F.col("year").isNotNull(), "IRN").otherwise(F.col("_p")).alias("row_province"), *[F.when(F.col("_p").isNull(), F.col(f"_{d}")).alias(f"row_{d}") for d in dims])
-    return rows.join(known, [label, "domain"], "left")
+    return rows.join(written(known, "known-labels"), [label, "domain"], "left")
 
 
 def with_context(rows: DataFrame, dims: list[str], t: str = "t", order: str = "r") -> DataFrame:
     """Adds ctx_<dim> and ctx_label, what the latest section row above says: a row with a label and no value sets the
-    context for those below it, and a row of an area's sum resets it to that area. Rows of sections go."""
+    context for those below it, and a row of an area's sum resets it to that area. Rows of sections go. A table of any length
+    is dealt by ranges of rows."""
     section = (F.coalesce("label", F.lit("")) != "") & ~F.exists("values", lambda v: v["number"].isNotNull())
     area = ~section & labels.norm(F.col("label")).contains("جمع") & F.col("row_area").isNotNull()
     said = F.when(section, F.struct(F.col("label"), *[F.col(f"row_{d}").alias(d) for d in dims])).when(area, F.struct(F.col("label"), *[(F.col("row_area") if d == "area" else F.lit(None).cast("string")).alias(d) for d in dims]))
-    w = Window.partitionBy(t).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    out = rows.withColumn("_section", section).withColumn("_ctx", F.last(said, True).over(w)).filter("NOT _section")
-    return out.select("*", F.col("_ctx.label").alias("ctx_label"), *[F.col(f"_ctx.{d}").alias(f"ctx_{d}") for d in dims]).drop("_section", "_ctx")
+    out = ordered.carried(ordered.ranged(rows.withColumn("_section", section), [t], order), [t], last={"_ctx": said}).filter("NOT _section")
+    return out.select("*", F.col("_ctx.label").alias("ctx_label"), *[F.col(f"_ctx.{d}").alias(f"ctx_{d}") for d in dims]).drop("_section", "_ctx", "_at", "_part")
 
 
 def tables_to_facts(cells: DataFrame, tables: DataFrame, rules: DataFrame, t: str = "t") -> DataFrame:
@@ -129,11 +127,12 @@ def tables_to_facts(cells: DataFrame, tables: DataFrame, rules: DataFrame, t: st
     dims = list(DEFAULTS)
     tables = tables.withColumn("domain", classify_domain(F.col("title"))).filter(F.col("domain").isin("k12", "he"))
     said = match_rules(tables.select(F.col("title").alias("text"), "domain"), rules).groupBy("text", "domain").agg(*[F.max(F.when(F.col("dim") == d, F.col("value"))).alias(f"title_{d}") for d in dims if d != "gender"])
-    tables = tables.join(said, [F.col("title") == F.col("text"), tables["domain"] == said["domain"]], "left").drop("text").drop(said["domain"])
+    tables = written(tables.join(said, [F.col("title") == F.col("text"), tables["domain"] == said["domain"]], "left").drop("text").drop(said["domain"]), "titles")
     domain = tables.select(t, "domain")
     paths = structure.header_paths(cells, t)
-    heads = paths.join(map_headers(paths.join(domain, t), rules, [t, "c"], dims), [t, "c"], "left")
-    rows = with_context(map_rows(structure.body_rows(cells, t).join(domain, t), rules, dims), dims, t)
+    paths = written(paths.join(domain, t), "paths")
+    heads = written(paths.drop("domain").join(map_headers(paths, rules, [t, "c"], dims), [t, "c"], "left"), "heads")
+    rows = with_context(map_rows(written(structure.body_rows(cells, t).join(domain, t), "body"), rules, dims), dims, t)
     rows = rows.withColumn("row_years", F.collect_set("row_year").over(Window.partitionBy(t)))
     facts = rows.select("*", F.inline("values")).filter("number IS NOT NULL").drop("values").join(heads, [t, "c"], "left").join(tables.drop("domain"), t)
     value = lambda d: F.coalesce(F.col(d), F.col(f"row_{d}"), F.col(f"ctx_{d}"), *([] if d == "gender" else [F.col(f"title_{d}")]), F.lit(DEFAULTS[d])).alias(d)
@@ -167,20 +166,10 @@ def paint(rows: DataFrame, unit: str, successors: DataFrame) -> DataFrame:
 
 def fuzzy_match(left: DataFrame, right: DataFrame, cutoff: float = 0.82, name: str = "name") -> DataFrame:
     """(name, match, ratio) of the distinct names on the left: the name on the right with the highest difflib ratio from
-    ``cutoff`` on, the smaller on ties; null without any. Only names that share a pair of letters are compared, and a ratio
-    from one half on means that they do."""
-    @F.pandas_udf(DoubleType())
-    def ratio(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series([difflib.SequenceMatcher(None, y, x).ratio() for x, y in zip(a, b)])
-
-    def grams(frame: DataFrame, to: str) -> DataFrame:
-        s = F.lower(F.concat(F.lit(" "), F.col(to)))
-        pairs = F.transform(F.sequence(F.lit(1), F.length(s) - 1), lambda i: F.substring(s, i, F.lit(2)))
-        return frame.select(F.col(name).alias(to)).filter(F.length(name) > 0).distinct().select(to, F.explode(F.array_distinct(pairs)).alias("_g"))
-
-    met = grams(left, "_a").join(grams(right, "_b"), "_g").select("_a", "_b").distinct()
-    # 2 m / (a + b) is the ratio at most, m the shorter length
-    near = met.filter(2 * F.least(F.length("_a"), F.length("_b")) >= cutoff * (F.length("_a") + F.length("_b"))).withColumn("ratio", ratio(F.lower("_a"), F.lower("_b"))).filter(F.col("ratio") >= cutoff)
-    best = near.groupBy("_a").agg(F.min_by(F.struct(F.col("_b").alias("match"), "ratio"), F.struct(-F.col("ratio"), F.col("_b"))).alias("m"))
+    ``cutoff`` on, letters' case aside, the smaller on ties; null without any. Only names that can reach the cutoff are compared."""
+    folded = lambda frame: frame.select(F.lower(name).alias("name"))
+    near = matching.alike(folded(right), folded(left), cutoff)
+    of = right.select(F.col(name).alias("_b")).distinct().withColumn("a", F.lower("_b"))
+    best = near.join(of, "a").groupBy("b").agg(F.min_by(F.struct(F.col("_b").alias("match"), "ratio"), F.struct(-F.col("ratio"), F.col("_b"))).alias("m"))
     names = left.select(F.col(name).alias("_n")).distinct()
-    return names.join(best, F.col("_n") == F.col("_a"), "left").select(F.col("_n").alias(name), "m.match", "m.ratio")
+    return names.join(best, F.lower("_n") == F.col("b"), "left").select(F.col("_n").alias(name), "m.match", "m.ratio")

@@ -86,7 +86,7 @@ def M2_title_domain(spark, sf_dir):
 def M3_map_headers(spark, sf_dir):
     """Header parts from the bottom up, and what no rule knows."""
     domain = _tables(spark, sf_dir).select("t", mapping.classify_domain(F.col("title")).alias("domain")).filter("domain <> 'other'")
-    paths = structure.header_paths(laid_out(spark, sf_dir)).join(domain, "t")
+    paths = written(structure.header_paths(laid_out(spark, sf_dir)).join(domain, "t"), "paths")
     return mapping.map_headers(paths, mapping.terms(spark), ["t", "c"], ["gender", "metric"]).select("t", "c", "gender", "metric", "unmatched")
 
 
@@ -94,7 +94,7 @@ def M3_map_headers(spark, sf_dir):
 def M4_map_rows(spark, sf_dir):
     """Row labels: years before provinces (M5, by their names) before rules."""
     rows = _of(spark, sf_dir, "body").select("label").distinct().withColumn("domain", F.lit("k12"))
-    return mapping.map_rows(rows, mapping.terms(spark), ["area"]).select("label", F.col("row_year").alias("year"), F.col("row_province").alias("province"), F.col("row_area").alias("area"))
+    return mapping.map_rows(written(rows, "labels"), mapping.terms(spark), ["area"]).select("label", F.col("row_year").alias("year"), F.col("row_province").alias("province"), F.col("row_area").alias("area"))
 
 
 _FACTS = f""",
@@ -122,11 +122,11 @@ FROM (SELECT t, t % 3 AS subject, count(*) AS n_rows, count(DISTINCT code) FILTE
 def T13_table_catalogue(spark, sf_dir):
     """One row per table: rows, provinces, years, geographic class and number of facts."""
     cells = written(laid_out(spark, sf_dir), "cells")
-    rows = structure.body_rows(cells).withColumn("domain", F.lit("k12"))
+    rows = written(structure.body_rows(cells).withColumn("domain", F.lit("k12")), "body")
     known = mapping.map_rows(rows, mapping.terms(spark), ["area"])
     provinces = F.count_distinct(F.when(F.col("row_year").isNull() & (F.col("row_province") != "IRN"), F.col("row_province")))
     out = known.groupBy("t").agg(F.count("*").alias("n_rows"), provinces.alias("n_provinces"), F.coalesce(F.max(F.col("row_year").isNotNull()), F.lit(False)).alias("has_years"))
-    n = facts(cells, spark, sf_dir).groupBy("t").agg(F.count("*").alias("n"))
+    n = written(facts(cells, spark, sf_dir).groupBy("t").agg(F.count("*").alias("n")), "facts")
     return out.join(n, "t", "left").select("t", (F.col("t") % 3).alias("subject"), "n_rows", "n_provinces", "has_years", structure.geo_class(F.col("n_provinces"), F.col("has_years")).alias("geo"), F.coalesce("n", F.lit(0)).alias("n_facts"))
 
 
