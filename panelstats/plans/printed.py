@@ -259,7 +259,7 @@ def T14_unit_log(spark, sf_dir):
 
 @_free
 def G6_budgeted_rings(spark, sf_dir):
-    """Rings of vectors at the smallest of ten tolerances that keeps their paths below a budget."""
+    """Rings of vectors at the smallest of eight tolerances that keeps their paths below a budget."""
     v = table(spark, sf_dir, "embeddings").select((F.col("label") % 3).alias("feature"), F.col("label").alias("poly"), F.lit(0).alias("ring"), F.col("vec_id").alias("i"), (F.get("embedding", F.lit(0)) * 100).cast("double").alias("x"), (F.get("embedding", F.lit(1)) * 100).cast("double").alias("y"))
-    simple = written(rings.simplify(v, [0.25, 0.4, 0.6, 0.8, 1.0, 1.3, 1.6, 2.0, 2.5, 3.0]), "rings")
+    simple = written(rings.simplify(v, [0.25 * 1.5**k for k in range(8)]), "rings")
     return rings.within_budget(simple, 400_000)

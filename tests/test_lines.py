@@ -62,17 +62,41 @@ def plain(points, eps):
     return plain(points[: i + 2], eps)[:-1] + plain(points[i + 1 :], eps) if far[i] > eps else [points[0], points[-1]]
 
 
+def around(ring, eps):
+    far = int(np.hypot(*(np.array(ring) - ring[0]).T).argmax())
+    return plain(ring[: far + 1], eps)[:-1] + plain([*ring[far:], ring[0]], eps)[:-1]
+
+
+@pytest.mark.parametrize("large", [50_000, 40, 3])
+def test_tolerances_keep_what_splitting_keeps(spark, monkeypatch, large):
+    """Stretches split by Spark, in a task, or both, at every tolerance at once; with equal points, straight lines and a ring of two."""
+    monkeypatch.setattr(rings, "LARGE", large)
+    rng = np.random.default_rng(large)
+    angle = np.linspace(0, 2 * np.pi, 150, endpoint=False)
+    shapes = [np.stack([50 * np.cos(angle), 50 * np.sin(angle)], 1) + rng.normal(size=(150, 2)), np.stack([np.arange(30.0), np.zeros(30)], 1), np.repeat(rng.normal(size=(6, 2)), 3, 0), rng.normal(size=(2, 2)), rng.integers(0, 4, (60, 2)).astype(float)]
+    rows = [(1, k, 0, 7 * i, float(x), float(y)) for k, p in enumerate(shapes) for i, (x, y) in enumerate(p)]
+    df = spark.createDataFrame(rows, "feature int, poly int, ring int, i int, x double, y double").repartition(3)
+    got = rings.tolerances(df).collect()
+    assert len(got) == len(rows)
+    for k, p in enumerate(shapes):
+        own = sorted((r for r in got if r["poly"] == k), key=lambda r: r["i"])
+        for eps in (0.0, 0.5, 1.5, 4.0, 20.0):
+            assert [(r["x"], r["y"]) for r in own if r["tolerance"] > eps] == around([tuple(map(float, q)) for q in p], eps), (k, eps)
+
+
 def test_simplify_and_budget(spark):
     rng = np.random.default_rng(2)
     angle = np.linspace(0, 2 * np.pi, 80, endpoint=False)
     outer = np.stack([50 * np.cos(angle), 50 * np.sin(angle)], 1) + rng.normal(size=(80, 2))
-    far = int(np.hypot(*(outer - outer[0]).T).argmax())
     points = [tuple(map(float, p)) for p in outer]
-    assert [tuple(map(float, p)) for p in rings.simplified_ring(outer, 1.5)] == plain(points[: far + 1], 1.5)[:-1] + plain(points[far:] + points[:1], 1.5)[:-1]
     rows = [(1, 0, 0, i, *p) for i, p in enumerate(points)] + [(1, 0, 1, i, x, y) for i, (x, y) in enumerate([(0.0, 0.0), (5.0, 0.0), (5.0, 5.0)])] + [(1, 1, 0, i, x, y) for i, (x, y) in enumerate([(0.0, 0.0), (0.5, 0.0), (0.5, 0.5)])] + [(1, 1, 1, i, x, y) for i, (x, y) in enumerate([(0.0, 0.0), (9.0, 0.0), (9.0, 9.0)])]
     df = spark.createDataFrame(rows, "feature int, poly int, ring int, i int, x double, y double")
     simple = rings.simplify(df, [0.5, 2.0, 8.0]).persist()
     assert {(r["poly"], r["ring"]) for r in simple.collect()} == {(0, 0), (0, 1)}  # a speck takes its holes along
+    for r in simple.filter("ring = 0").collect():
+        want = around(points, r["eps"])
+        assert r["n"] == len(want) and r["path"] == "M" + "L".join(f"{x:.1f},{y:.1f}" for x, y in want) + "Z"
+        assert r["area"] == pytest.approx(sum(a * d - c * b for (a, b), (c, d) in zip(want, want[1:] + want[:1])) / 2)
     sizes = {r["eps"]: r["b"] for r in simple.selectExpr("eps", "octet_length(path) b").groupBy("eps").sum("b").withColumnRenamed("sum(b)", "b").collect()}
     assert {r["eps"] for r in rings.within_budget(simple, sizes[0.5]).collect()} == {2.0}
     assert rings.within_budget(simple, 1).count() == 0

@@ -1,3 +1,5 @@
+import unicodedata
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -60,10 +62,16 @@ def test_parse_academic_year(spark, text, want):
 
 
 def test_norm_makes_spellings_equal(spark):
-    rows = spark.createDataFrame([("هيأت علمي",), ("هیات علمی",), ("هیئت علمی",)], "s string").select(labels.norm(labels.nfkc(F.col("s")))).collect()
+    rows = spark.createDataFrame([("هيأت علمي",), ("هیات علمی",), ("هیئت علمی",)], "s string").select(labels.norm(F.col("s"))).collect()
     assert len({r[0] for r in rows}) == 1
 
 
+def test_printed_forms_compose(spark):
+    rows = [("\ufee3\ufeaa\ufead\ufeb3\ufeea",), ("\ufefb",), ("\uff11\uff12",), ("\u0627\u0653",), ("\u0648\u0654",), ("plain",)]
+    got = [r[0] for r in spark.createDataFrame(rows, "s string").select(labels.composed(F.col("s"))).collect()]
+    assert got == [unicodedata.normalize("NFKC", t) for (t,) in rows]
+
+
 def test_best_quartile_and_markers(spark):
     row = spark.createDataFrame([("A (Q3); B (Q1)", "Q2", "name (1و2)")], "c string, q string, m string").select(labels.best_quartile(F.col("c"), F.col("q")), labels.best_quartile(F.lit("A (-)"), F.col("q")), labels.markers(F.col("m"))).head()
     assert list(row) == ["Q1", "Q2", [1, 2]]
