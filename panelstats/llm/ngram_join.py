@@ -20,6 +20,7 @@ with the links of each; rows without doc_id have no component; an empty table gi
 from __future__ import annotations
 
 import hashlib
+import math
 
 import numpy as np
 import pyarrow as pa
@@ -241,7 +242,11 @@ def _links(shared: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFra
     with_pivot = shared.join(pivots.hint("merge"), "token").filter("doc_id <> pivot").groupBy("doc_id", "pivot").agg(F.count("*").alias("c"))
     pairs = with_pivot.groupBy("doc_id").agg(F.max_by("pivot", F.struct("c", -F.col("pivot"))).alias("b")).select(F.col("doc_id").alias("a"), "b")
     pairs, q_path = save(pairs, "pairs")
-    both = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")).hint("merge"), "a").join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")).hint("merge"), "b")
+    # A pivot of many documents meets them in several tasks, with a copy of its text in each.
+    pivots = pairs.groupBy("b").agg(F.ceil(F.count("*") / ASKED).cast("int").alias("parts"))
+    salted = pairs.join(pivots.hint("merge"), "b").select("a", "b", F.pmod(F.xxhash64("a"), F.col("parts")).cast("int").alias("salt"))
+    of_pivots = pivots.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")).hint("merge"), "b").select("b", "text_b", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("salt"))
+    both = salted.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")).hint("merge"), "a").join(of_pivots.hint("merge"), ["b", "salt"])
     near, n_path = save(_proved(both, n, percent), "near")
     first, f_path = saved_components(near, "components")
 
@@ -263,8 +268,13 @@ def _links(shared: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFra
     # Of two components that of the larger number asks.
     close = (F.col("q_component") > F.col("lowest")) & (100 * F.col("most") >= percent * F.col("q_n")) & (100 * F.col("q_n") >= percent * F.col("least"))
     # The first shingle in order that a query and a member share bounds what they share by what stands from it on in each.
+    # Both are in classes of length, a factor of 100 / percent wide, and meet in those alone that admit a link.
+    width = max(math.log(100 / percent), 1e-6)
+    length = lambda n, slack: F.floor(F.log(n.cast("double")) / width + slack)
+    queries = queries.withColumn("length", length(F.col("q_n"), 1e-9))
+    matrix = matrix.withColumn("length", F.explode(F.sequence(length(F.col("least") * percent / 100, 0.0), length(F.col("most") * 100 / percent, 2e-9))))
     close = close & ((100 + percent) * F.least("q_left", "left") >= percent * (F.col("q_n") + F.col("least")))
-    asked, a_path = save(queries.join(matrix.hint("merge"), "token").filter(close).select("q", "q_component", *at).distinct(), "asked")
+    asked, a_path = save(queries.join(matrix.hint("merge"), ["token", "length"]).filter(close).select("q", "q_component", *at).distinct(), "asked")
 
     # Groups that many queries meet are opened in several tasks.
     groups = asked.groupBy(*at).agg(F.ceil(F.count("*") / ASKED).alias("parts"))
