@@ -153,7 +153,7 @@ def dedup_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, batches
         frequent, frequent_path = save(runs.frequent(), "frequent-lines")
     finally:
         runs.drop()
-    lost = lines.join(frequent.hint("merge"), ["k1", "k2"]).filter("doc_id < last").groupBy("doc_id").agg(F.collect_list("k1").alias("_k1"), F.collect_list("k2").alias("_k2"))
+    lost = lines.join(frequent.hint("merge"), ["k1", "k2"]).filter("doc_id < last").groupBy("doc_id").agg(F.collect_list(F.struct("k1", "k2")).alias("_l")).select("doc_id", F.col("_l.k1").alias("_k1"), F.col("_l.k2").alias("_k2"))
     lost, _ = save(lost, "lost-lines")
     drop(spark, path, frequent_path)
     # The same join at every size: a broadcast of the lost keys would grow with the documents.

@@ -3,8 +3,9 @@
 Tasks count the word and word-pair hashes of their training documents, and send sorted keys with counts to
 shards of the key space, where they are summed. A count c becomes a level, 1 + floor(log2 c) for words and pairs
 alike; key and level go into the shard's Bloom filter for every level up to the count's. The filters, of a few bits
-an entry, are broadcast while they are within ``max_filter_mb``; beyond it the distinct keys of each block of
-documents go to the shards, whose filters send the same levels back to the block. A count comes back by probing level after level until one is absent. The model mixes the pair's
+an entry, are broadcast while they are within ``max_filter_mb`` (their size is counted first; a worker holds them once); a corpus whose
+filters outgrow that sends the distinct keys of each block of documents to the shards, whose filters send the same levels back to the
+block, so that scores are equal either way. A count comes back by probing level after level until one is absent. The model mixes the pair's
 relative frequency with the word's smoothed one, 0.4 to 0.6.
 
 The base score needs exact counts: those of the most frequent words (``head_words`` at most) are broadcast, and
@@ -26,7 +27,7 @@ from pyspark.sql import functions as F
 from .storage import save, tidy
 from .text import mix, pieces, word_bounds, word_hashes
 
-MAX_FILTER_MB, HEAD_WORDS = 8, 500_000
+MAX_FILTER_MB, HEAD_WORDS = 256, 500_000
 #: Bits for each entry and level, probes for each, the weight of pairs, and characters of text for each shard.
 BITS, PROBES, PAIR_WEIGHT, SHARD_CHARS = 8, 4, 0.4, 1 << 24
 #: Tokens that a task counts together.

@@ -5,6 +5,7 @@ from __future__ import annotations
 import contextlib
 import ctypes
 import tempfile
+import threading
 import uuid
 from functools import wraps
 
@@ -12,8 +13,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-#: Paths of the tables that ``save`` has written and nobody has dropped, in order.
-_written: list[str] = []
+#: Of each thread, the paths of the tables that its ``save`` has written and nobody has dropped, in order.
+_own = threading.local()
+
+
+def _written() -> list[str]:
+    if not hasattr(_own, "paths"):
+        _own.paths = []
+    return _own.paths
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -45,9 +52,11 @@ def save(df: DataFrame, name: str, *by: str) -> tuple[DataFrame, str]:
     a lost executor costs only the tasks that it was running. Returns the frame and its path."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    _written.append(path)
+    _written().append(path)
     with _shuffles_removed(spark):
         (df.write.partitionBy(*by) if by else df.write).option("parquet.block.size", 1 << 25).parquet(path)
+    where, files = _hadoop(spark, path)
+    files.deleteOnExit(where)  # what a result still reads when its query returns goes with the session
     return spark.read.schema(df.schema).parquet(path), path
 
 
@@ -69,20 +78,25 @@ def drop_table(spark: SparkSession, *tables: str) -> None:
 def drop(spark: SparkSession, *paths: str) -> None:
     """Deletes tables that ``save`` wrote and that no later step reads."""
     for path in paths:
-        where = spark._jvm.org.apache.hadoop.fs.Path(path)
-        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
-        if path in _written:
-            _written.remove(path)
+        where, files = _hadoop(spark, path)
+        files.delete(where, True)
+        if path in _written():
+            _written().remove(path)
+
+
+def _hadoop(spark: SparkSession, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where, where.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
 def mark() -> int:
-    """A place in the list of written tables, for ``since``."""
-    return len(_written)
+    """A place in the list of tables that this thread has written, for ``since``."""
+    return len(_written())
 
 
 def since(at: int) -> list[str]:
-    """The tables written after ``mark`` and not dropped."""
-    return _written[at:]
+    """The tables that this thread has written after ``mark`` and not dropped."""
+    return _written()[at:]
 
 
 def tidy(task):
