@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from panelstats.functions import labels
-from panelstats.operators import mapping, panel, statistics
+from panelstats.operators import mapping, panel, places, statistics, unions
 from panelstats.sources import table, written
 from panelstats.sources.adapters import HIGHER, SOURCES, SURVEY, WORKS, adapted
 
@@ -146,11 +148,10 @@ def nearest(spark, sf_dir) -> DataFrame:
     """(inst, capital, nation, km): the nearest of a dimension of capitals (one row per province), the smaller one on ties."""
     s, n = F.col("s_suppkey"), F.col("n_nationkey")
     i = table(spark, sf_dir, "supplier").select(s.alias("inst"), F.col("s_nationkey").alias("nation"), ((s * 37 % 360) / 10).alias("lon"), ((s * 53 % 200) / 10).alias("lat"))
-    c = table(spark, sf_dir, "nation").agg(F.collect_list(F.struct(n.alias("capital"), ((n * 71 % 360) / 10).alias("lon"), ((n * 29 % 200) / 10).alias("lat"))).alias("capitals"))
-    d = lambda c: F.pow((F.col("lon") - c["lon"]) * 0.75, 2) + F.pow(F.col("lat") - c["lat"], 2)
-    best = F.array_min(F.transform("capitals", lambda c: F.struct(d(c).alias("d"), c["capital"].alias("capital"), c["lon"].alias("clon"), c["lat"].alias("clat"))))
-    rows = i.join(c).withColumn("b", best)  # the right side is one row
-    return rows.select("inst", "b.capital", "nation", labels.distance_km(F.col("lon"), F.col("lat"), F.col("b.clon"), F.col("b.clat")).alias("km"))
+    c = table(spark, sf_dir, "nation").select(n.alias("site"), ((n * 71 % 360) / 10).alias("x"), ((n * 29 % 200) / 10).alias("y"))
+    best = places.nearest(i.select(F.col("inst").alias("id"), F.col("lon").alias("x"), F.col("lat").alias("y")), c, 0.75).select(F.col("id").alias("inst"), F.col("site").alias("capital"))
+    rows = i.join(best, "inst").join(c.select(F.col("site").alias("capital"), F.col("x").alias("clon"), F.col("y").alias("clat")), "capital")
+    return rows.select("inst", "capital", "nation", labels.distance_km(F.col("lon"), F.col("lat"), F.col("clon"), F.col("clat")).alias("km"))
 
 
 @query(_NEAREST + " SELECT inst, capital, round(km, 6) AS km, capital = nation AS agrees FROM near")
@@ -194,6 +195,18 @@ def A12_unions(spark, sf_dir):
     return _metrics(_once(rows.withColumn("unit", unit), "unit"), "unit", "year")
 
 
+@query(f"WITH {WORKS}, units AS (SELECT unnest(['province ' || province, 'region ' || n_regionkey, 'nation']) AS unit, work, n_countries FROM works JOIN nation ON n_nationkey = province) SELECT unit, count(DISTINCT work) AS works, count(DISTINCT work) FILTER (n_countries > 1) AS international FROM units GROUP BY unit")
+def A12_union_sizes(spark, sf_dir):
+    """Works of provinces, groups and the nation out of one bitmap of each province: the rows of works are shuffled once, by province."""
+    works = unions.numbered(_works(spark, sf_dir).select("province", "work", (F.col("n_countries") > 1).alias("abroad")), "work")
+    both = works.select("province", "number", F.explode(F.when(F.col("abroad"), F.array(F.lit("works"), F.lit("international"))).otherwise(F.array(F.lit("works")))).alias("kind"))
+    provinces = written(unions.bitmaps(both, ["province", "kind"], "number"), "bitmaps")
+    regions = provinces.join(table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("province"), "n_regionkey"), "province")
+    kind, levels = F.col("kind"), [F.concat(F.lit("province "), "province"), F.concat(F.lit("region "), "n_regionkey"), F.lit("nation")]
+    every = reduce(DataFrame.unionByName, [unions.sizes(unions.merged(regions, {"unit": unit, "kind": kind}), ["unit", "kind"]) for unit in levels])
+    return every.groupBy("unit").agg(*[F.coalesce(F.max(F.when(kind == k, F.col("n"))), F.lit(0)).alias(k) for k in ("works", "international")])
+
+
 @query(f"""WITH {WORKS}, {HIGHER}, u AS (SELECT work, max(year) AS year FROM works GROUP BY work), w AS (SELECT year, count(*) AS works FROM u GROUP BY year),
 s AS (SELECT year, sum(value) FILTER (university = 'all_reported') AS a, sum(value) FILTER (university <> 'all_reported') AS b, count(DISTINCT province) AS units FROM staff WHERE staff_rank = 'all' GROUP BY year)
 SELECT year, works, units AS coverage, a AS staff, round(works / nullif(a, 0), 9) AS per_staff_printed, round(works / nullif(b, 0), 9) AS per_staff_parts FROM w LEFT JOIN s USING (year)""")
@@ -238,6 +251,14 @@ def X7_controls(spark, sf_dir):
     return out.select("term", F.round("slope", 5).alias("slope"), F.round("se", 5).alias("se"))
 
 
+@query(None)
+def X7_dummies(spark, sf_dir):
+    """Bands of class size and regions as dummies, with girls as a control; tested on dense matrices under every replicate."""
+    rows = adapted(spark, sf_dir, SURVEY, "survey").withColumn("band", labels.band(F.col("size"), [10, 15, 20])).withColumn("region", F.col("school") % 4)
+    out = statistics.weighted_regression(rows, "w", ["girl"], _PVS, "zone", "rep", ["band", "region"])
+    return out.select("term", F.round("slope", 5).alias("slope"), F.round("se", 5).alias("se"))
+
+
 @query(f"WITH {SURVEY}, b AS (SELECT *, CASE WHEN size <= 10 THEN '<=10' WHEN size <= 15 THEN '11-15' WHEN size <= 20 THEN '16-20' WHEN size > 20 THEN '>20' END AS band FROM survey) SELECT band, count(*) AS n, CASE WHEN count(*) >= 30 THEN round(sum(w * pv1) / sum(w), 6) END AS mean, CASE WHEN count(*) >= 30 THEN round(sum(w * girl) / sum(w), 9) END AS girls FROM b GROUP BY band")
 def X5_bands(spark, sf_dir):
     """Weighted mean and share per band (F29), with a gate on rows."""
