@@ -1,14 +1,15 @@
 """Personal data: fixed rules, and a linear-chain conditional random field over word shapes.
 
-The rules give the base spans. The field is trained on a small labelled table: ``labelled_lines``, a table of lines with marked
+The rules give the base spans. The field is trained on a small labelled table: ``labelled_lines``, lines with marked
 spans of which the rules find none (addresses written apart, numbers with dots or brackets or without a plus, cards with a
-digit misread) and of lines that only look so, and a few lines of the corpus itself as the rules label them. It learns which shapes stand where,
-and adds spans that the rules miss; it takes none away. Lines are its sequences. Lines without a digit, ``@`` or ``+``
+digit misread) and lines that only look so, and a few lines of the corpus itself as the rules label them. A word scores by several
+features of its shape and of its neighbours', so that forms outside the table are found by what they share with it. It learns which
+shapes stand where, and adds spans that the rules miss; it takes none away. Lines are its sequences. Lines without a digit, ``@`` or ``+``
 consist of one shape, and training proves from the weights whether such a line can only decode to nothing; then these
 lines need no decoding.
 
 Defined results: a null or empty text has no spans; texts are searched whole; positions are code points, the
-end exclusive; an empty table gives an empty result; extra columns stay, and those named like a result column give way.
+end exclusive; spans that begin together stand in the order of their kinds; rows that repeat get equal spans each; an empty table gives an empty result; extra columns stay, and those named like a result column give way.
 """
 
 from __future__ import annotations
@@ -85,19 +86,64 @@ def shape(word: str) -> str:
     return word if len(word) <= LONG_SHAPE else "long"
 
 
+def features(shape: str) -> list[str]:
+    """What a shape is made of, so that one that was not in the training scores by what it shares with those that were: its
+    form without lengths, marks and how often each stands in it, digits and groups of digits by classes of number, the first and last group,
+    and the classes of the ends."""
+    if shape in ("plain", "long", ""):
+        return [f"is {shape}"]
+    groups = [int(x, 16) for x in re.findall("[0-9b-f]|(?<![a-z])a(?![a-z])", shape) if x != "a"]
+    many = sum(groups)
+    digits = next(i for i, top in enumerate((0, 2, 4, 6, 8, 11, 15, 19, 1 << 30)) if many <= top)
+    marks = Counter(re.findall(r"[^0-9a-f]", shape))
+    kind = lambda c: "digit" if c in "0123456789bcdef" else "letter" if c == "a" else c
+    form = re.sub("[0-9b-f]", "9", shape)
+    out = [f"form {form}", f"digits {digits}", f"groups {min(len(groups), 5)}", f"digits {digits} in {min(len(groups), 5)}", f"first {kind(shape[0])}", f"last {kind(shape[-1])}", f"length {min(len(shape), 12) // 3}"]
+    out += [f"mark {c}" for c in marks] + [f"mark {c} {min(n, 4)}" for c, n in marks.items()] + [f"digits {digits} mark {c}" for c in marks]
+    if groups:
+        out += [f"first group {min(groups[0], 5)}", f"last group {min(groups[-1], 8)}", f"largest group {min(max(groups), 8)}"]
+    return [*out, "letters" if "a" in shape else "no letters"]
+
+
 class Field:
-    """Label 0 is nothing, then KINDS. Scores: shapes of a word and its neighbours, and label to label."""
+    """Label 0 is nothing, then KINDS. Scores: the features of a word's shape and of its neighbours', and label to label. A shape's score is
+    the sum of its features' weights; it is kept in a row for each shape, of those met after the training too."""
 
     BORDER, OTHER, PLAIN = 0, 1, 2
+    #: Rows kept at most.
+    ROWS = 1 << 16
 
     def __init__(self, shapes: list[str]):
         self.ids = {"plain": self.PLAIN} | {s: i + 3 for i, s in enumerate(s for s in shapes if s != "plain")}
         n, k = len(self.ids) + 2, len(KINDS) + 1
+        rows = [["border"], ["other"], *map(features, self.ids)]
+        self.names = {f: i for i, f in enumerate(sorted({f for row in rows for f in row}))}
+        self.made_of = np.zeros((n, len(self.names)))
+        for i, row in enumerate(rows):
+            self.made_of[i, [self.names[f] for f in row]] = 1
+        self.weights = np.zeros((3, len(self.names), k))
         self.emit, self.move = np.zeros((3, n, k)), np.zeros((k, k))
+        self.trained, self.fresh = n, []
         self.plain_is_nothing = False
 
     def encode(self, words: list[str]) -> list[int]:
-        return [self.ids.get(shape(w), self.OTHER) for w in words]
+        out = []
+        for s in map(shape, words):
+            if s not in self.ids:
+                self.ids[s] = len(self.ids) + 2
+                self.fresh.append(self.weights[:, [self.names[f] for f in features(s) if f in self.names]].sum(1))
+            out.append(self.ids[s])
+        return out
+
+    def settle(self) -> None:
+        """Puts the rows of new shapes behind the others'."""
+        if self.fresh:
+            self.emit, self.fresh = np.concatenate([self.emit, np.stack(self.fresh, 1)], 1), []
+
+    def forget(self) -> None:
+        """Drops the rows of shapes met after the training where they are many; ids given before are void then."""
+        if len(self.ids) > self.ROWS:
+            self.ids, self.emit, self.fresh = {s: i for s, i in self.ids.items() if i < self.trained}, self.emit[:, : self.trained], []
 
     @staticmethod
     def padded(sequences: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
@@ -111,7 +157,7 @@ class Field:
     def emissions(self, x: np.ndarray) -> np.ndarray:
         return self.emit[0][x[:, 1:-1]] + self.emit[1][x[:, :-2]] + self.emit[2][x[:, 2:]]
 
-    def fit(self, windows: dict[tuple, int], rounds: int = 150, ridge: float = 1e-4, rate: float = 0.2) -> None:
+    def fit(self, windows: dict[tuple, int], rounds: int = 150, ridge: float = 3e-2, rate: float = 0.2) -> None:
         """Gradient ascent (Adam) on the conditional likelihood of windows (the shape before, shapes, the shape behind,
         labels) with how often each occurs, by forward and backward sums over padded windows."""
         windows = dict(sorted(windows.items()))
@@ -125,7 +171,7 @@ class Field:
         each = often[:, None, None] * inside[..., None]
         gold = np.eye(k)[y] * each
         gold_move = np.einsum("nti,ntj->ij", np.eye(k)[y][:, :-1], (np.eye(k)[y] * each)[:, 1:])
-        moments = [[np.zeros_like(w), np.zeros_like(w)] for w in (self.emit, self.move)]
+        moments = [[np.zeros_like(w), np.zeros_like(w)] for w in (self.weights, self.move)]
         total = max(1.0, float((often * lengths).sum()))
 
         def logsum(a, axis):
@@ -151,11 +197,13 @@ class Field:
             d_emit = np.zeros_like(self.emit)
             for which, ids in enumerate((x[:, 1:-1], x[:, :-2], x[:, 2:])):
                 np.add.at(d_emit[which], ids.reshape(-1), (gold - own).reshape(-1, k))
-            for w, d, (m, s) in ((self.emit, d_emit, moments[0]), (self.move, gold_move - expected_move, moments[1])):
+            d_weights = np.einsum("nf,wnk->wfk", self.made_of, d_emit)
+            for w, d, (m, s) in ((self.weights, d_weights, moments[0]), (self.move, gold_move - expected_move, moments[1])):
                 d = d / total - ridge * w / n
                 m += 0.1 * (d - m)
                 s += 0.01 * (d * d - s)
                 w += rate * (m / (1 - 0.9**step)) / (np.sqrt(s / (1 - 0.99**step)) + 1e-9)
+            self.emit = np.einsum("nf,wfk->wnk", self.made_of, self.weights)
         self._prove()
 
     def _prove(self) -> None:
@@ -168,6 +216,7 @@ class Field:
 
     def decode(self, sequences: list[list[int]]) -> list[np.ndarray]:
         """Viterbi over batches of lines of similar length."""
+        self.settle()
         out: list = [None] * len(sequences)
         order = sorted(range(len(sequences)), key=lambda i: len(sequences[i]))
         at = 0
@@ -204,39 +253,35 @@ def _lines(text: str):
         at += len(line) + 1
 
 
-def labelled_lines(n: int = 40, seed: int = 7) -> list[tuple[str, list[tuple[str, int, int]]]]:
-    """The labelled table: lines with their spans (kind, start, end). ``n`` lines of each template, filled by a seeded
-    draw. Spans are such that the rules miss; lines without any look like personal data and are none."""
+#: The labelled table, as patterns: N is a digit, W a word, M one to nine digits, anything else itself. Spans of personal data as
+#: people write them and the rules do not read them, and what looks like them and is none.
+MARKED = {
+    "email": ["W @ W.W.com", "WNN @ W.org", "W@ W.net", "W @W.de", "W.W @ W.com", "W_W @ W.W", "W.W@ W.W.uk", "WN @W.W.fr"],
+    "phone": ["NNN.NNN.NNNN", "(NNN) NNN-NNNN", "NNN-NNN-NNNN", "0NN/NNN-NNNN", "00NN-NNN-NNNNNNN", "NNN/NNN/NNNN", "(NNN)NNN-NNNN", "(NNN) NNN.NNNN", "0NN-NNNN-NNNN", "0NNN.NNN.NNN", "0NNN/NNNNNN", "00NN.NNN.NNN.NNN", "NNN_NNN_NNNN", "NN-NN-NN-NN-NN", "(0NN) NNNN-NNNN", "0NNN-NNNNNN", "00NN/NNN/NNNNNN"],
+    "card": ["NNNN-NNNN-NNNN-NNNN", "NNNN.NNNN.NNNN.NNNN", "NNNN/NNNN/NNNN/NNNN", "NNNN_NNNN_NNNN_NNNN", "NNNN-NNNNNN-NNNNN", "NNNN.NNNNNN.NNNNN"],
+    "ip": ["NN.NNN.NN.x", "NNN.NN.*.*", "NNN.NNN.NN.x", "NNN.N.*.*", "NN.NN.NN.xx", "NNN.NNN.NNN.*", "N.NN.NNN.x", "NNN.NNN.N.?"],
+}
+LOOKS_LIKE = [
+    "NNNN-NN-NN", "NN/NN/NNNN", "NN.NN.NNNN", "N.N.NN", "vN.N", "$NNN.NN", "NN%", "#NNNNNN", "M", "NN:NN", "(N)", "NNN-N-NN-NNNNNN-N", "N,NNN,NNN", "NNNN NNNN", "WNN", "@W", "W + W", "N + N", "W @ NN", "https://W.com/NNN?page=N", "NNNN-NNNN", "NN-NN", "NNN.NN", "(NNNN)",
+    "NN/NN/NN", "N/N", "NN.N.NN", "NN:NN:NN", "N.NNN.NNN", "$N,NNN", "NN-W-NNNN", "W-NNNN", "(NN)", "@W_NN", "@NN", "NN_NN", "N-N", "NNN/NNN", "W.W", "vN.NN.N",
+]
+
+
+def labelled_lines(n: int = 24, seed: int = 7, marked: dict | None = None, looks_like: list | None = None) -> list[tuple[str, list[tuple[str, int, int]]]]:
+    """Lines with their spans (kind, start, end): ``n`` of each pattern, filled by a seeded draw, between words."""
     rng = random.Random(seed)
-    d = lambda k: "".join(rng.choice("0123456789") for _ in range(k))
     word = lambda: "".join(rng.choice("abcdefghijklmnoprstuvw") for _ in range(rng.randint(2, 9)))
     some = lambda k=4: " ".join(word() for _ in range(rng.randint(1, k)))
-
-    def misread() -> str:
-        while luhn(re.sub("-", "", c := f"4{d(3)}-{d(4)}-{d(4)}-{d(4)}")):
-            pass
-        return c
-
-    marked = {
-        "email": [lambda: f"{word()} @ {word()}.{word()}.com", lambda: f"{word()}{d(2)} @ {word()}.org", lambda: f"{word()}@ {word()}.net", lambda: f"{word()} @{word()}.de"],
-        "phone": [lambda: f"{d(3)}.{d(3)}.{d(4)}", lambda: f"({d(3)}) {d(3)}-{d(4)}", lambda: f"{d(3)}-{d(3)}-{d(4)}", lambda: f"0{d(2)}/{d(3)}-{d(4)}", lambda: f"00{d(2)}-{d(3)}-{d(7)}"],
-        "card": [misread, lambda: misread().replace("-", ".")],
-        "ip": [lambda: f"{d(2)}.{d(3)}.{d(2)}.x", lambda: f"{d(3)}.{d(2)}.*.*"],
-    }
-    alike = [
-        lambda: f"{d(4)}-{d(2)}-{d(2)}", lambda: f"{d(2)}/{d(2)}/{d(4)}", lambda: f"{d(2)}.{d(2)}.{d(4)}", lambda: f"{d(1)}.{d(1)}.{d(2)}", lambda: f"v{d(1)}.{d(1)}", lambda: f"${d(3)}.{d(2)}", lambda: f"{d(2)}%", lambda: f"#{d(6)}", lambda: d(rng.randint(1, 9)),
-        lambda: f"{d(2)}:{d(2)}", lambda: f"({d(1)})", lambda: f"{d(3)}-{d(1)}-{d(2)}-{d(6)}-{d(1)}", lambda: f"{d(1)},{d(3)},{d(3)}", lambda: f"{d(4)} {d(4)}", lambda: f"{word()}{d(2)}", lambda: f"@{word()}", lambda: f"{word()} + {word()}", lambda: f"{d(1)} + {d(1)}", lambda: f"{word()} @ {d(2)}",
-        lambda: f"https://{word()}.com/{d(3)}?page={d(1)}", lambda: f"{d(4)}-{d(4)}", lambda: f"{d(2)}-{d(2)}", lambda: f"{d(3)}.{d(2)}", lambda: f"({d(4)})",
-    ]
+    digit = lambda k=1: "".join(rng.choice("0123456789") for _ in range(k))
+    filled = lambda pattern: re.sub("[NWM]", lambda m: digit() if m.group() == "N" else word() if m.group() == "W" else digit(rng.randint(1, 9)), pattern)
     out = []
-    for kind, makers in marked.items():
-        for make in makers:
+    for kind, patterns in (MARKED if marked is None else marked).items():
+        for pattern in patterns:
             for _ in range(n):
-                while base_spans(line := (before := some() + " ") + (own := make()) + rng.choice([" ", ", ", ". "]) + some()):
+                while base_spans(line := (before := some() + " ") + (own := filled(pattern)) + rng.choice([" ", ", ", ". "]) + some()):
                     pass
                 out.append((line, [(kind, len(before), len(before) + len(own))]))
-    out += [(f"{some()} {make()} {some()}", []) for make in alike for _ in range(n)]
-    return out
+    return out + [(f"{some()} {filled(pattern)} {some()}", []) for pattern in (LOOKS_LIKE if looks_like is None else looks_like) for _ in range(n)]
 
 
 def windows(lines, field: Field) -> Counter:
@@ -274,6 +319,7 @@ def train(texts: list[str], table: list | None = None) -> Field:
 
 def _added(texts: list[str], base: list[list], field: Field) -> list[list[tuple[str, int, int]]]:
     """Spans of the field that meet none of the rules'."""
+    field.forget()
     at, sequences = [], []
     for i, text in enumerate(texts):
         if field.plain_is_nothing and not _SPECIAL.search(text):
