@@ -24,6 +24,12 @@ PROVINCES = [
     ("KHS", "خراسان شمالی"), ("KHZ", "خوزستان"), ("ZNJ", "زنجان"), ("SMN", "سمنان"), ("SBL", "سیستان و بلوچستان"), ("FRS", "فارس"), ("QZV", "قزوین"), ("QOM", "قم"), ("KRD", "کردستان"), ("KRM", "کرمان"), ("KSH", "کرمانشاه"), ("KBA", "کهگیلویه و بویراحمد"),
     ("GLS", "گلستان"), ("GIL", "گیلان"), ("LRS", "لرستان"), ("MZN", "مازندران"), ("MRK", "مرکزی"), ("HRM", "هرمزگان"), ("HMD", "همدان"), ("YZD", "یزد"), ("IRN", "کل کشور"), ("IRN", "جمع کل"),
 ]
+#: Other spellings of provinces and of the country, a province that was divided, and its successors.
+ALIASES = [
+    ("CHB", "چهارمحال بختیاری"), ("ILM", "ایالم"), ("GIL", "گیالن"), ("KSH", "باختران"), ("KSH", "کرمانشاهان"), ("KBA", "کهکیلویه و بویراحمد"), ("KBA", "کهگیلویه"), ("KHO", "خراسان"),
+    ("IRN", "کل"), ("IRN", "کشور"), ("IRN", "جمع کشور"), ("IRN", "کل کشور جمع"),
+]
+HISTORIC = [("KHO", ["KHR", "KHS", "KHJ"])]
 FILLERS = ["تعداد", "نفر", "سال تحصیلی", "شرح", "عنوان", "رقم", "درصد"]
 #: Words of titles by which a table's domain is told, and subjects with their words.
 OTHER_WORDS = ["باسواد", "سواد آموز", "نهضت", "هزینه", "اعتبار", "درآمد", "خانوار", "خارج از کشور", "جمعیت", "بودجه", "کارآموز", "کتابخانه"]
@@ -75,8 +81,9 @@ def subjects(title: Column) -> Column:
     return F.array_sort(F.array_compact(F.array(*[F.when(t.rlike(words), name) for name, words in SUBJECTS])))
 
 
-def match_province(texts: DataFrame, text: str = "text", names: list = PROVINCES) -> DataFrame:
-    """(text, province) of the distinct texts that are a province's name, or words for the country (IRN)."""
+def match_province(texts: DataFrame, text: str = "text", names: list = [*PROVINCES, *ALIASES]) -> DataFrame:
+    """(text, province) of the distinct texts that are a province's name, one of its other spellings, a divided province's, or words for the
+    country (IRN)."""
     aliases = texts.sparkSession.createDataFrame(names, "province string, name string").select("province", bare(F.col("name")).alias("_s")).distinct()
     return texts.select(F.col(text).alias("text")).distinct().withColumn("_s", bare(F.col("text"))).join(aliases, "_s").select("text", "province")
 

@@ -121,8 +121,8 @@ def quality_rows(spark, sf_dir) -> DataFrame:
     """Completion, rank mix and degree mix as rows; a value that is not ok has only its status."""
     ok = lambda c: F.when(F.col("status") == "ok", F.col(c)).alias("value")
     item = lambda *c: F.concat_ws("/", *c).alias("item")
-    facts = higher.J7_cohort_completion(spark, sf_dir).filter("gender = 'total'")
-    completion = facts.select("year", "province", F.lit("completion").alias("section"), item("university", "degree", "length_basis"), ok("completion_ratio"), "status")
+    facts = higher.J7_cohort_completion(spark, sf_dir)
+    completion = facts.select("year", "province", F.lit("completion").alias("section"), item("university", "degree", "length_basis", "gender"), ok("completion_ratio"), "status")
     ranks = higher.J10_rank_mix(spark, sf_dir).select("year", "province", F.lit("rank_mix").alias("section"), item("university", "employment"), ok("senior_share"), "status")
     mix = higher.trend(spark, sf_dir).select("year", "province", F.lit("degree_mix").alias("section"), item("university"), ok("share_postgraduate"), "status")
     return completion.unionByName(ranks).unionByName(mix)
@@ -132,7 +132,7 @@ _QUALITY = ", ".join(f"{n} AS ({ORACLE})" for n, ORACLE in (("q7", higher.ORACLE
 
 
 @query(f"""WITH {_QUALITY},
-r AS (SELECT year, province, 'completion' AS section, concat_ws('/', university, degree, length_basis) AS item, completion_ratio AS value, status FROM q7 WHERE gender = 'total' UNION ALL SELECT year, province, 'rank_mix', concat_ws('/', university, employment), senior_share, status FROM q10
+r AS (SELECT year, province, 'completion' AS section, concat_ws('/', university, degree, length_basis, gender) AS item, completion_ratio AS value, status FROM q7 UNION ALL SELECT year, province, 'rank_mix', concat_ws('/', university, employment), senior_share, status FROM q10
   UNION ALL SELECT year, province, 'degree_mix', university, share_postgraduate, status FROM q9)
 SELECT year, province, section, item, if(status = 'ok', value, NULL) AS value, status FROM r""")
 def E3_he_quality(spark, sf_dir):
@@ -184,10 +184,15 @@ outcomes AS (SELECT year, province, 'pass_rate' AS measure, level || '/' || gend
   UNION ALL SELECT year, province, 'completion', 'upper_secondary', completion_proxy, status FROM J5_completion UNION ALL SELECT year, province, 'survival', gender, cohort_survival, status FROM J6_cohort_survival UNION ALL SELECT year, province, 'graduation', basis || '/' || gender, graduation_ratio, status FROM J8)"""
 
 
-def outcome_rows(spark, sf_dir) -> DataFrame:
-    """Five measures of every year and province, long, with a status for each value. The clean facts are written once."""
+def school_facts(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """The clean facts and the best of them, each written once."""
     clean = written(k12.cleaned(spark, sf_dir), "clean")
-    best = written(k12.panel.best_value(clean, k12.KEY), "best")
+    return clean, written(k12.panel.best_value(clean, k12.KEY), "best")
+
+
+def outcome_rows(spark, sf_dir, facts: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
+    """Five measures of every year and province, long, with a status for each value."""
+    clean, best = facts or school_facts(spark, sf_dir)
     row = lambda df, name, item, value: df.select("year", "province", F.lit(name).alias("measure"), item.alias("item"), F.when(F.col("status") == "ok", F.col(value)).alias("value"), "status")
     c, slash = F.col, lambda *x: F.concat_ws("/", *x)
     parts = [
@@ -208,19 +213,45 @@ def E4_outcomes(spark, sf_dir):
 _FAMILIES = "CASE measure WHEN 'pass_rate' THEN split_part(item, '/', 1) WHEN 'class_size' THEN item WHEN 'completion' THEN item ELSE 'lower_secondary' END"
 
 
-@query(_OUTCOMES + f", exposure AS ({k12.ORACLES['V4_students_per_teacher']})" + f""",
-pairs AS (SELECT measure, {_FAMILIES} AS level, students_per_teacher AS x, o.value AS y FROM outcomes o JOIN exposure e ON e.year = o.year AND e.province = o.province AND e.level = {_FAMILIES}
-  WHERE o.status = 'ok' AND o.province <> 'IRN' AND measure <> 'graduation' AND (measure NOT IN ('pass_rate', 'survival') OR item LIKE '%total') AND students_per_teacher IS NOT NULL AND o.value IS NOT NULL),
-ranked AS (SELECT *, rank() OVER (PARTITION BY measure, level ORDER BY x) + (count(*) OVER (PARTITION BY measure, level, x) - 1) / 2.0::DOUBLE AS rx, rank() OVER (PARTITION BY measure, level ORDER BY y) + (count(*) OVER (PARTITION BY measure, level, y) - 1) / 2.0::DOUBLE AS ry FROM pairs)
-SELECT measure, level, count(*) AS n, if(count(*) >= 25, round(corr(x, y), 7), NULL) AS pearson, if(count(*) >= 25, round(corr(rx, ry), 7), NULL) AS spearman FROM ranked GROUP BY ALL""")
-def E5_relations(spark, sf_dir):
-    """Students per teacher against every school outcome, by level: Pearson and Spearman (X1, X2 over the outcome families)."""
+_PAIRS = _OUTCOMES + f", exposure AS ({k12.ORACLES['V4_students_per_teacher']})" + f""",
+pairs AS (SELECT measure, {_FAMILIES} AS level, o.year, o.province, students_per_teacher AS x, o.value AS y FROM outcomes o JOIN exposure e ON e.year = o.year AND e.province = o.province AND e.level = {_FAMILIES}
+  WHERE o.status = 'ok' AND o.province <> 'IRN' AND measure <> 'graduation' AND (measure NOT IN ('pass_rate', 'survival') OR item LIKE '%total') AND students_per_teacher IS NOT NULL AND o.value IS NOT NULL)"""
+
+
+def relation_pairs(spark, sf_dir) -> DataFrame:
+    """(measure, level, year, province, x, y): students per teacher against every school outcome that is ok, as one written table; the best facts are made
+    once, for the outcomes and the exposure."""
     m, item = F.col("measure"), F.col("item")
     level = F.when(m == "pass_rate", F.substring_index("item", "/", 1)).when(m.isin("class_size", "completion"), item).otherwise("lower_secondary")
-    rows = outcome_rows(spark, sf_dir).filter((m != "graduation") & (F.col("province") != "IRN") & (~m.isin("pass_rate", "survival") | item.endswith("total")) & F.col("value").isNotNull())
-    exposure = k12.ratios(k12.best(spark, sf_dir)).select("year", "province", "level", F.col("students_per_teacher").alias("x"))
-    both = rows.withColumn("level", level).join(exposure, ["year", "province", "level"]).select("measure", "level", "x", F.col("value").alias("y"))
-    return statistics.correlations(both, ["measure", "level"], "x", "y").withColumns({c: F.round(c, 7) for c in ("pearson", "spearman")})
+    facts = school_facts(spark, sf_dir)
+    rows = outcome_rows(spark, sf_dir, facts).filter((m != "graduation") & (F.col("province") != "IRN") & (~m.isin("pass_rate", "survival") | item.endswith("total")) & F.col("value").isNotNull())
+    exposure = k12.ratios(facts[1]).select("year", "province", "level", F.col("students_per_teacher").alias("x")).filter("x IS NOT NULL")
+    return written(rows.withColumn("level", level).join(exposure, ["year", "province", "level"]).select("measure", "level", "year", "province", "x", F.col("value").alias("y")), "relations")
+
+
+@query(_PAIRS + """, ranked AS (SELECT *, rank() OVER (PARTITION BY measure, level ORDER BY x) + (count(*) OVER (PARTITION BY measure, level, x) - 1) / 2.0::DOUBLE AS rx, rank() OVER (PARTITION BY measure, level ORDER BY y) + (count(*) OVER (PARTITION BY measure, level, y) - 1) / 2.0::DOUBLE AS ry FROM pairs)
+SELECT measure, level, count(*) AS n, if(count(*) >= 25, round(corr(x, y), 7), NULL) AS pearson, if(count(*) >= 25, round(corr(rx, ry), 7), NULL) AS spearman FROM ranked GROUP BY ALL""")
+def E5_relations(spark, sf_dir):
+    """Pearson and Spearman (X1, X2) by outcome family and level."""
+    return statistics.correlations(relation_pairs(spark, sf_dir), ["measure", "level"], "x", "y").withColumns({c: F.round(c, 7) for c in ("pearson", "spearman")})
+
+
+@query(_PAIRS + f", long AS (SELECT measure, level, s.spec, province, year, x, y FROM pairs, (VALUES ('all_valid_years'), ('excl_reform')) s(spec) WHERE s.spec = 'all_valid_years' OR year NOT BETWEEN {k12.REFORM[0]} AND {k12.REFORM[1]})" + k12.effects_sql(["measure", "level", "spec"], "long"))
+def E5_effects(spark, sf_dir):
+    """Fixed effects by outcome family and level, over all years and without the reform's."""
+    spec = F.explode(F.array_compact(F.array(F.lit("all_valid_years"), F.when(~F.col("year").between(*k12.REFORM), "excl_reform"))))
+    found = statistics.fixed_effects(relation_pairs(spark, sf_dir).withColumn("spec", spec), "province", "year", "x", "y", ["measure", "level", "spec"])
+    return found.select("measure", "level", "spec", "n", "units", "years", *[F.round(c, 7).alias(c) for c in ("coef", "se")])
+
+
+@query(_PAIRS + f""", f AS (SELECT measure, year, unnest([if(count(*) < 20, 'few_provinces', NULL), if(year BETWEEN {k12.REFORM[0]} AND {k12.REFORM[1]}, 'reform_window', NULL), if(year BETWEEN {k12.PANDEMIC[0]} AND {k12.PANDEMIC[1]}, 'pandemic', NULL)]) AS flag FROM pairs GROUP BY measure, year)
+SELECT measure, year, string_agg(flag, ',' ORDER BY flag) AS flags FROM f GROUP BY ALL""")
+def E5_flags(spark, sf_dir):
+    """What stands against each year of a family."""
+    year = F.col("year")
+    flags = F.array_compact(F.array(F.when(F.count("*") < 20, "few_provinces"), F.when(year.between(*k12.PANDEMIC), "pandemic"), F.when(year.between(*k12.REFORM), "reform_window")))
+    rows = relation_pairs(spark, sf_dir).groupBy("measure", "year").agg(flags.alias("f"))
+    return rows.select("measure", "year", F.when(F.size("f") > 0, F.array_join("f", ",")).alias("flags"))
 
 
 @query(PANEL + """, f AS (SELECT province, year, students_per_teacher AS value FROM ratios WHERE level = 'primary' AND students_per_teacher IS NOT NULL), p AS (SELECT *, CASE WHEN province = 'N3' THEN ['N31', 'N32'] ELSE [province] END AS units FROM f WHERE province <> 'IRN')
@@ -321,6 +352,29 @@ def S8_html_tables(spark, sf_dir):
     return sources.html_tables(_pages(spark, sf_dir)).select("page_id", "r", "c", "text")
 
 
+@query("""SELECT page_id, 0 AS table_no, r, c, t AS text FROM (SELECT page_id, unnest([0, 0, 1, 1, 2]) AS r, unnest([0, 1, 0, 1, 0]) AS c, unnest(['id', 'page', page_id::VARCHAR, page_id::VARCHAR, 'últ & ج']) AS t FROM pages)""")
+def S8_raw_pages(spark, sf_dir):
+    """A table in every raw page, with its styles, scripts and open paragraphs, read from bytes: some say their charset, some are no UTF-8."""
+    own = F.concat(F.lit("<table><tr><th>id<th>page</tr><tr><td colspan=2>"), F.col("page_id"), F.lit("</td></tr><tr><td>"), F.lit("&uacute;lt &amp; ج"), F.lit("</table><footer>"))
+    pages = table(spark, sf_dir, "pages").select("page_id", F.replace("html", F.lit("<footer>"), own).alias("html"))
+
+    def encoded(frames):
+        for frame in frames:
+            plain = [h.replace('<meta charset="utf-8">', "") for h in frame["html"]]
+            yield frame.assign(html=[h.encode() if i % 3 == 0 else p.encode("cp1256", "replace") if i % 3 == 1 else p.replace("<head>", '<head><meta charset="windows-1256">').encode("cp1256", "replace") for i, h, p in zip(frame["page_id"], frame["html"], plain)])
+
+    return sources.html_tables(pages.mapInPandas(encoded, "page_id long, html binary"))
+
+
+@query("SELECT n_nationkey AS year, n_regionkey * 1.5 AS value FROM nation WHERE n_nationkey % 3 <> 0")
+def S15_series(spark, sf_dir):
+    """A side series out of a file: what is not verified is no measurement."""
+    n = F.col("n_nationkey")
+    path = f"{shared_dir(spark)}/series-{uuid.uuid4().hex}"
+    sources.write_csv(table(spark, sf_dir, "nation").select(n.alias("year"), (F.col("n_regionkey") * 1.5).alias("value"), (n % 3 != 0).alias("verified")), path)
+    return sources.read_series(spark, path, "year int, value double, verified boolean").select("year", "value")
+
+
 @query("SELECT s_suppkey AS page_id, s_nationkey::VARCHAR AS value, s_name AS name, s_suppkey::INT AS count FROM supplier")
 def S9_options(spark, sf_dir):
     """Options of lists: value, name and count, placeholders skipped."""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from panelstats.operators import mapping, panel
+from panelstats.operators import lines, mapping, panel
 from panelstats.sources import table
 from panelstats.sources.adapters import FACTS, HIGHER, WORKS, adapted
 
@@ -53,12 +53,27 @@ def M5_match_province(spark, sf_dir):
     return table(spark, sf_dir, "supplier").join(names, "s_nationkey", "left").select("s_suppkey", F.coalesce("n_name", F.lit("IRN")).alias("province"))
 
 
-@query("SELECT s.s_nationkey, n.n_name, r.r_name FROM (SELECT s_nationkey, min(s_suppkey) AS k FROM supplier GROUP BY 1) s JOIN nation n ON n.n_nationkey = s.s_nationkey JOIN region r ON r.r_regionkey = n.n_regionkey")
+@query("""SELECT s_nationkey, n_name, r_name, k FROM (SELECT s_nationkey, min(s_suppkey) AS k FROM supplier GROUP BY 1) JOIN nation ON n_nationkey = s_nationkey JOIN region ON r_regionkey = n_regionkey
+QUALIFY row_number() OVER (PARTITION BY n_regionkey ORDER BY s_nationkey) = 1""")
 def J15_name_bridge(spark, sf_dir):
+    """Codes to names over a table between; every row of each side serves once."""
     codes = table(spark, sf_dir, "supplier").select(F.col("s_nationkey").alias("a"), F.col("s_suppkey").alias("k"))
     names = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("a"), F.col("n_regionkey").alias("b"), "n_name")
-    rows = codes.groupBy("a").agg(F.min("k").alias("k")).join(names, "a")  # a region serves several nations, so its side repeats
-    return rows.join(table(spark, sf_dir, "region").select(F.col("r_regionkey").alias("b"), "r_name"), "b").select(F.col("a").alias("s_nationkey"), "n_name", "r_name")
+    regions = table(spark, sf_dir, "region").select(F.col("r_regionkey").alias("b"), "r_name")
+    return mapping.bridge(codes, names, regions, "a", "b").select(F.col("a").alias("s_nationkey"), "n_name", "r_name", "k")
+
+
+_SPELLINGS = [*mapping.PROVINCES, *mapping.ALIASES]
+
+
+@query(f"""WITH n(i, code) AS (VALUES {', '.join(f"({i}, '{code}')" for i, (code, _) in enumerate(_SPELLINGS))}), s AS (SELECT s_suppkey, code FROM supplier JOIN n ON i = s_suppkey % {len(_SPELLINGS)})
+SELECT s_suppkey, code, unnest(CASE code WHEN 'KHO' THEN ['KHR', 'KHS', 'KHJ'] ELSE [code] END) AS unit FROM s""")
+def M5_spellings(spark, sf_dir):
+    """Provinces by every spelling, and divided ones on their successors."""
+    names = F.element_at(F.array(*[F.lit(name) for _, name in _SPELLINGS]), (F.col("s_suppkey") % len(_SPELLINGS) + 1).cast("int"))
+    rows = table(spark, sf_dir, "supplier").select("s_suppkey", F.concat(names, F.lit(" (1)")).alias("text"))
+    known = rows.join(mapping.match_province(rows), "text").select("s_suppkey", F.col("province").alias("code"), F.col("province").alias("unit"))
+    return mapping.paint(known, "unit", spark.createDataFrame(mapping.HISTORIC, "unit string, successors array<string>"))
 
 
 @query("SELECT n_nationkey AS code, y.y::INT AS year, printf('https://stats.example.org/%d/%02d.zip', y.y, n_nationkey) AS url FROM nation CROSS JOIN (SELECT unnest(generate_series(min(year(o_orderdate)), max(year(o_orderdate)))) AS y FROM orders) y")
@@ -137,8 +152,8 @@ def T4_header_paths(spark, sf_dir):
 @query("WITH w AS (SELECT l_suppkey AS t, l_orderkey % 4 AS width FROM lineitem), c AS (SELECT t, width, count(*) AS n FROM w GROUP BY 1, 2), m AS (SELECT t, arg_min(width, -n * 100 + width) AS width, sum(n) AS total, max(n) AS most FROM c GROUP BY t) SELECT t, width::BIGINT AS width, (total - most)::BIGINT AS dropped FROM m")
 def T18_modal_width(spark, sf_dir):
     """The most common number of columns of a table (the smaller on ties), and rows of other widths."""
-    c = table(spark, sf_dir, "lineitem").groupBy(F.col("l_suppkey").alias("t"), (F.col("l_orderkey") % 4).alias("width")).agg(F.count("*").alias("n"))
-    return c.groupBy("t").agg(F.max_by("width", F.struct("n", -F.col("width"))).alias("width"), (F.sum("n") - F.max("n")).alias("dropped"))
+    rows = table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("t"), F.array_repeat(F.lit(1), (F.col("l_orderkey") % 4).cast("int")).alias("values"))
+    return lines.modal_rows(rows, ["t"]).groupBy("t").agg(F.first(F.size("values")).cast("long").alias("width"), F.first("dropped").alias("dropped"))
 
 
 @query("WITH c AS (SELECT c_nationkey AS doc, c_custkey % 5 AS chapter, count(*) AS n FROM customer GROUP BY 1, 2), k AS (SELECT doc, arg_min(chapter, -n * 100 + chapter) AS chapter FROM c GROUP BY doc) SELECT k.doc, k.chapter, c.n FROM k JOIN c ON c.doc = k.doc AND c.chapter = k.chapter")

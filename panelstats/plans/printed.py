@@ -82,6 +82,12 @@ def M2_title_domain(spark, sf_dir):
     return titles.select("title", mapping.classify_domain(F.col("title")).alias("domain"), F.when(F.size(tags) > 0, F.array_join(tags, ",")).alias("subjects"), labels.table_number(F.col("title")).alias("table_no"))
 
 
+@query(" SELECT DISTINCT title, CASE subject WHEN 0 THEN 'دانشآموزاندورهابتدایی' WHEN 1 THEN 'دانشجویانکشور' ELSE 'بودجهآموزش' END AS key FROM tables")
+def F10_title_keys(spark, sf_dir):
+    """Titles without numbers, marks and blanks."""
+    return _of(spark, sf_dir, "tables").select("title", labels.title_key(F.col("title")).alias("key")).distinct()
+
+
 @query(" SELECT DISTINCT t, c, CASE c WHEN 1 THEN 'male' WHEN 2 THEN 'female' END AS gender, CASE WHEN c = 3 AND t % 3 = 0 THEN 'teachers' END AS metric, CASE WHEN c = 3 AND t % 3 <> 0 THEN 'غیره' END AS unmatched FROM codes CROSS JOIN (VALUES (1), (2), (3)) AS w(c) WHERE t % 3 < 2")
 def M3_map_headers(spark, sf_dir):
     """Header parts from the bottom up, and what no rule knows."""

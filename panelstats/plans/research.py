@@ -63,12 +63,12 @@ def A13_zero_filled_series(spark, sf_dir):
     return rows.select("inst", "year", F.coalesce(F.col("by_year")[F.col("year")], F.lit(0)).alias("works"))
 
 
-@query(f"WITH {WORKS}{_ONCE}, s AS (SELECT s_nationkey AS province, count(*) AS n, max(s_acctbal) AS b FROM supplier GROUP BY s_nationkey) SELECT o.province, count(*) AS works, CASE WHEN s.b > 5000 THEN round(count(*) / s.n::DOUBLE, 4) END AS per_staff_consistent, CASE WHEN s.b <= 5000 THEN round(count(*) / s.n::DOUBLE, 4) END AS per_staff_mixed FROM once o JOIN s ON s.province = o.province GROUP BY o.province, s.n, s.b")
+@query(f"WITH {WORKS}{_ONCE}, s AS (SELECT s_nationkey AS province, count(*) AS n, max(s_acctbal) AS b FROM supplier GROUP BY s_nationkey) SELECT o.province, count(*) AS works, CASE WHEN s.b > 5000 THEN round_even(count(*) / s.n::DOUBLE, 4) END AS per_staff_consistent, CASE WHEN s.b <= 5000 THEN round_even(count(*) / s.n::DOUBLE, 4) END AS per_staff_mixed FROM once o JOIN s ON s.province = o.province GROUP BY o.province, s.n, s.b")
 def A14_works_per_staff(spark, sf_dir):
     """Two bases that are never compared stand in two columns."""
     staff = table(spark, sf_dir, "supplier").groupBy(F.col("s_nationkey").alias("province")).agg(F.count("*").alias("n"), F.max("s_acctbal").alias("b"))
     rows = _once(_works(spark, sf_dir), "province").groupBy("province").agg(F.count("*").alias("works")).join(staff, "province")
-    ratio = F.round(panel.safe_ratio("works", "n"), 4)
+    ratio = labels.publish_ratio(panel.safe_ratio("works", "n"))
     return rows.select("province", "works", F.when(F.col("b") > 5000, ratio).alias("per_staff_consistent"), F.when(F.col("b") <= 5000, ratio).alias("per_staff_mixed"))
 
 

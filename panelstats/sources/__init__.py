@@ -27,9 +27,11 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a table in the shared folder, for frames that a plan uses more than once."""
+    """``df`` as a table in the shared folder, for frames that a plan uses more than once. It goes with the session."""
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    where = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).deleteOnExit(where)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -89,8 +91,9 @@ def register_views(spark: SparkSession, views: dict[str, str]) -> None:
 
 def html_tables(pages: DataFrame, html: str = "html", key: str = "page_id") -> DataFrame:
     """(key, table_no, r, c, text) of all cells of the tables in pages, spans filled in, each cell with the innermost table
-    that it stands in. One pass, a page at a time."""
-    from panelstats.sources.html import cells
+    that it stands in. Pages may be bytes, which are read by the charset that they name, else as UTF-8, else as ``html.FALLBACK``. One
+    pass, a page at a time."""
+    from panelstats.sources.html import cells, decoded
 
     kind = dict(pages.dtypes)[key]
 
@@ -98,7 +101,7 @@ def html_tables(pages: DataFrame, html: str = "html", key: str = "page_id") -> D
         import pandas as pd
 
         for frame in frames:
-            rows = [(k, *cell) for k, text in zip(frame[key], frame[html]) for cell in cells(text or "")]
+            rows = [(k, *cell) for k, text in zip(frame[key], frame[html]) for cell in cells(decoded(text))]
             yield pd.DataFrame(rows, columns=[key, "table_no", "r", "c", "text"])
 
     return pages.select(key, html).mapInPandas(run, f"{key} {kind}, table_no int, r int, c int, text string")

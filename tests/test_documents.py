@@ -12,8 +12,8 @@ from panelstats import sources
 from panelstats.functions import labels
 from panelstats.operators import mapping, statistics, structure
 from panelstats.operators.export import flattened, nested
-from panelstats.plans import export, higher, k12, validation
-from panelstats.sources.html import cells
+from panelstats.plans import export, higher, k12, research, validation
+from panelstats.sources.html import cells, decoded
 
 
 def test_nested_quotes_keys_names_null_and_has_no_empty_branch(spark):
@@ -32,6 +32,17 @@ def test_html_cells_fill_spans_and_belong_to_the_innermost_table():
     assert cells("") == cells("<p>no table</p>") == []
 
 
+@pytest.mark.parametrize(("page", "want"), [(None, ""), ("é", "é"), ("é".encode(), "é"), ("ج".encode("cp1256"), "ج"), (b'<meta charset="windows-1256">' + "ج".encode("cp1256"), "ج"), (b"<meta http-equiv='x' content='text/html; charset=iso-8859-1'>\xe9", "é"), (b'<meta charset="no-such">' + "é".encode(), "é"), (b'<meta charset="utf-8">' + "ج".encode("cp1256"), "ج")])
+def test_charset_of_a_page(page, want):
+    assert decoded(page).endswith(want)
+
+
+def test_other_spellings_and_divided_provinces(spark):
+    rows = spark.createDataFrame([("باختران",), ("خراسان (1)",), ("کل کشور جمع",)], "text string")
+    got = {r["text"]: r["unit"] for r in mapping.paint(mapping.match_province(rows).withColumnRenamed("province", "unit"), "unit", spark.createDataFrame(mapping.HISTORIC, "unit string, successors array<string>")).filter("unit <> 'KHS' AND unit <> 'KHJ'").collect()}
+    assert got == {"باختران": "KSH", "خراسان (1)": "KHR", "کل کشور جمع": "IRN"}
+
+
 def test_html_pages_without_tables_or_text(spark):
     pages = spark.createDataFrame([(1, None), (2, ""), (3, '<option value="">none</option><option value="7">Tehran Province (12)</option><option value="8">44</option>')], "page_id long, html string")
     assert sources.html_tables(pages).count() == 0
@@ -138,7 +149,7 @@ def test_bridge_uses_each_row_once(spark):
     assert len(out) == 1 and out[0]["code"] == 1
 
 
-@pytest.mark.parametrize("name", ["W4_k12_growth", "J12_offsets", "J10_rank_mix", "C8_table_status", "J7_cohort_completion", "E4_outcomes"])
+@pytest.mark.parametrize("name", ["W4_k12_growth", "J12_offsets", "J10_rank_mix", "C8_table_status", "J7_cohort_completion", "E4_outcomes", "E5_relations", "A12_union_sizes", "J18_nearest_capital"])
 def test_plans_read_each_table_a_few_times_at_most(spark, name):
-    plan = {**k12.QUERIES, **higher.QUERIES, **validation.QUERIES, **export.QUERIES}[name](spark, "/root/testdata/sf0.001")
+    plan = {**k12.QUERIES, **higher.QUERIES, **validation.QUERIES, **export.QUERIES, **research.QUERIES}[name](spark, "/root/testdata/sf0.001")
     assert plan._jdf.queryExecution().executedPlan().toString().count("Scan parquet") <= 8
