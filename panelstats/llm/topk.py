@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Vectors of a block, and queries that meet it at once.
+#: Vectors of a block about, and queries that meet it at once.
 BLOCK, BATCH = 4096, 1024
 #: Steps in which the postings of a block are read.
 STEPS = 16
@@ -131,19 +131,44 @@ def search_block(segments: pd.DataFrame, queries: pd.DataFrame, k: int) -> tuple
 
 def top_k(queries: DataFrame, rows: DataFrame, k: int = 20) -> DataFrame:
     """(query_id, rank, vec_id, score) of the k best rows other than its own for each query; both frames have
-    (vec_id, v). Work and shuffle are queries x rows, in blocks of fixed size: a task holds one block and one
-    batch, and gives k rows a query."""
+    (vec_id, v). The index is shuffled once, each block to one task; the queries stream past every block, a batch at a time, so that a task holds
+    one block and one batch, and gives k rows a query."""
     blocks = max(1, -(-rows.count() // BLOCK))
-    batches = max(1, -(-queries.count() // BATCH))
-    segments = index(rows, blocks).withColumn("batch", F.explode(F.sequence(F.lit(0), F.lit(batches - 1))))
-    asked = queries.select(F.col("vec_id").alias("query_id"), "v", F.pmod(F.xxhash64("vec_id"), F.lit(batches)).cast("int").alias("batch"))
-    asked = asked.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-
-    def met(key, s: pd.DataFrame, q: pd.DataFrame) -> pd.DataFrame:
-        if s.empty or q.empty:
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype("int64")
-        return search_block(s, q, k)[0]
-
-    found = segments.groupBy("block", "batch").cogroup(asked.groupBy("block", "batch")).applyInPandas(met, "query_id long, vec_id long, score long")
+    segments = index(rows, blocks).select("block", F.lit(None).cast("long").alias("query_id"), "level", "dim", "ids", "impacts")
+    asked = queries.select(F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), F.col("vec_id").alias("query_id"), *[F.lit(None).cast("int").alias(c) for c in ("level", "dim")], F.lit(None).cast("array<long>").alias("ids"), F.col("v").alias("impacts"))
+    batch = BATCH
+
+    def run(frames):
+        block, own, held, waiting = None, [], None, []
+
+        def answers():
+            nonlocal held, waiting
+            if held is None:
+                held = pd.concat(own)
+            some, waiting = pd.concat(waiting), []
+            return search_block(held, some.rename(columns={"impacts": "v"}), k)[0]
+
+        for frame in frames:
+            for at, part in frame.groupby("block", sort=True):
+                if at != block:
+                    if waiting:
+                        yield answers()
+                    block, own, held = at, [], None
+                is_query = part["query_id"].notna()
+                if len(mine := part[~is_query]):
+                    own.append(mine)
+                asking = part[is_query].astype({"query_id": "int64"})
+                while len(asking) and own:  # a block without vectors answers nothing
+                    room = batch - sum(map(len, waiting))
+                    waiting.append(asking.iloc[:room])
+                    asking = asking.iloc[room:]
+                    if sum(map(len, waiting)) >= batch:
+                        yield answers()
+        if waiting:
+            yield answers()
+
+    # Nulls come first: the segments of a block stand before the queries that meet it.
+    dealt = segments.unionByName(asked).repartition("block").sortWithinPartitions("block", F.col("query_id").asc_nulls_first())
+    found = dealt.mapInPandas(run, "query_id long, vec_id long, score long")
     best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
