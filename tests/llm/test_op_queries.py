@@ -71,6 +71,69 @@ def test_op6(spark, texts):
     assert sum(out[d]["kept"] == bool(q) for d, q in labels.items() if d in out) >= 0.9 * len(labels)
 
 
+def plain_logistic(x, y, ridge=1.0):
+    """Ridge logistic regression on standardised columns, classes weighing alike."""
+    mean, scale = x.mean(0), x.std(0) + 1e-9
+    z, good = np.column_stack([np.ones(len(x)), (x - mean) / scale]), y.mean()
+    weight, keep, w = np.where(y > 0, 0.5 / good, 0.5 / (1 - good)), ridge * np.r_[0.0, np.ones(x.shape[1])], np.zeros(x.shape[1] + 1)
+    for _ in range(60):
+        q = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
+        w = w + np.linalg.solve((z * (weight * q * (1 - q))[:, None]).T @ z + np.diag(keep + 1e-9), z.T @ (weight * (y - q)) - keep * w)
+    return lambda v: np.column_stack([np.ones(len(v)), (v - mean) / scale]) @ w
+
+
+def test_op6_equals_plain_cotraining(spark):
+    """The whole of it in numpy, on one machine: two views, three rounds of judgements handed over, calibrated log-odds added up."""
+    from pyspark.sql import functions as F
+
+    from panelstats.llm import cotraining
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    rows = docs.select("doc_id", F.array(*cotraining.text_view()).alias("t"), F.array(*cotraining.metadata_view(docs.columns)).alias("m")).collect()
+    known = {}
+    for d, q in duckdb.sql(f"SELECT doc_id, quality FROM '{SF}/labels.parquet' WHERE quality IS NOT NULL").fetchall():
+        known[d] = min(known.get(d, 1.0), float(q > 0))
+    x = {v: np.array([r[v] for r in rows], float) for v in "tm"}
+    of = {r["doc_id"]: i for i, r in enumerate(rows)}
+    mine = np.array([of[d] for d in sorted(known) if d in of])
+    y = np.array([known[d] for d in sorted(known) if d in of])
+    apart = np.random.default_rng(6).permutation(len(y)) % 5 == 0
+    free = np.array([i for i, r in enumerate(rows) if r["doc_id"] not in known])
+
+    def fitted(v, handed):
+        own, target = x[v][mine[~apart]], y[~apart]
+        if handed is not None:
+            own, target = np.concatenate([own, x[v][handed[0]]]), np.concatenate([target, handed[1]])
+        logit = plain_logistic(own, target)
+        odds = logit(x[v][mine[apart]])
+        a, b = 0.0, float(np.log((y[apart].sum() + 1) / (len(odds) - y[apart].sum() + 1)))
+        for _ in range(3000):
+            q = 1 / (1 + np.exp(-np.clip(a * odds + b, -30, 30)))
+            s = q * (1 - q)
+            step = np.linalg.solve([[(s * odds * odds).sum() + 1e-3, (s * odds).sum()], [(s * odds).sum(), s.sum() + 1e-3]], [((y[apart] - q) * odds).sum() - 1e-3 * a, (y[apart] - q).sum()])
+            a, b = a + step[0] / max(1.0, np.abs(step).max()), b + step[1] / max(1.0, np.abs(step).max())
+        return lambda u: max(0.0, a) * logit(u) + b
+
+    views, handed, bar = {v: fitted(v, None) for v in "tm"}, {"t": None, "m": None}, np.log(cotraining.CONFIDENT / (1 - cotraining.CONFIDENT))
+    changed = {"t", "m"}
+    for _ in range(cotraining.ROUNDS):
+        fresh = {}
+        for own, to in (("t", "m"), ("m", "t")):
+            if own in changed:
+                odds = views[own](x[own][free])
+                sure = np.abs(odds) >= bar
+                fresh[to] = (free[sure], (odds[sure] > 0).astype(float)) if sure.any() else None
+        changed = {to for to in fresh if fresh[to] is not None or handed[to] is not None}
+        handed |= fresh
+        if not changed:
+            break
+        views |= {to: fitted(to, handed[to]) for to in changed}
+    prior = np.log((y[apart].sum() + 1) / (apart.sum() - y[apart].sum() + 1))
+    want = 1 / (1 + np.exp(-(views["t"](x["t"]) + views["m"](x["m"]) - prior)))
+    got = {r["doc_id"]: r["score"] for r in run(spark, "op6_cotraining").collect()}
+    assert set(got) == set(of) and max(abs(got[d] - want[i]) for d, i in of.items()) < 1e-4
+
+
 def test_op7(spark, texts):
     out = {r["doc_id"]: r for r in run(spark, "op7_pii").collect()}
     joined = lambda spans: ",".join(f"{k}:{a}:{b}" for k, a, b in spans)

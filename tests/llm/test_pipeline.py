@@ -5,6 +5,7 @@ import re
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from panelstats.llm.storage import save
@@ -81,3 +82,21 @@ def test_stages_with_awkward_rows(spark, docs):
             # 3 is a near copy of 2, and 5 a copy of what stands under 4; of the two equal rows one stays, rows without id stay
             assert ids == Counter([1, 2, 4, 4, None, None])
     assert all(r["decodes"] for r in out.collect())
+
+
+def test_two_threads_do_not_delete_each_other_s_tables(spark):
+    """Each drops what it has written itself while the other is at work."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    from panelstats.llm import storage
+
+    def work(name):
+        at, out = storage.mark(), []
+        for i in range(4):
+            table, path = storage.save(spark.range(100).withColumn("x", F.lit(f"{name}{i}")), name)
+            storage.drop(spark, *[p for p in storage.since(at) if p != path])
+            out.append((table.count(), [p.rsplit("/", 1)[1].split("-")[0] for p in storage.since(at)]))
+        return out
+
+    with ThreadPoolExecutor(2) as pool:
+        assert list(pool.map(work, ["left", "right"])) == [[(100, [n])] * 4 for n in ("left", "right")]
