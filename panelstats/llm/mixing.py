@@ -5,8 +5,9 @@ times plus once more when its own hash, read as a number in [0, 1), is below the
 Reruns and retried tasks draw the same.
 
 Defined results: a null or empty text has size 0; null sources form one source, the last; rows that share a
-doc_id draw alike, rows without doc_id share one draw; an empty table gives an empty result; extra columns
-stay, and those named like a result column give way to it.
+doc_id draw alike, rows without doc_id draw by their text, those with equal texts alike; ties between sources go by
+code point; texts of any length count whole; an empty table gives an empty result; extra columns stay, and those named
+like a result column, ``_source`` or ``_unnamed`` give way to it.
 """
 
 from __future__ import annotations
@@ -49,23 +50,31 @@ def targets(sized: DataFrame, weights=WEIGHTS, share: float = SHARE, max_rate: f
     return sources.select("source", "source_size", target.alias("target"))
 
 
-def draw(doc_id: str, seed: int) -> Column:
-    """A number in [0, 1) that the document and the seed fix."""
-    return F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(doc_id).cast("string"), F.lit("")))), 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
+def unnamed(doc_id: str = "doc_id", text: str = "text") -> Column:
+    """What rows without doc_id draw by; null for the others, whose texts it doesn't read."""
+    return F.when(F.col(doc_id).isNull(), F.md5(F.coalesce(F.col(text), F.lit(""))))
+
+
+def draw(doc_id: str, seed: int, other: Column | None = None) -> Column:
+    """A number in [0, 1) that the seed and the document's id, or else ``other``, fix."""
+    key = F.coalesce(F.col(doc_id).cast("string"), *([] if other is None else [other]), F.lit(""))
+    return F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), key)), 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
 
 
 def plan(rows: DataFrame, sized: DataFrame, seed: int = 8) -> DataFrame:
-    """Adds source_size, target and copies to rows with doc_id and source; ``sized`` has the source and size of all of them."""
+    """Adds source_size, target and copies to rows with doc_id, source and, if there is one, ``_unnamed``; ``sized`` has the source and
+    size of all of them."""
+    other = F.col("_unnamed") if "_unnamed" in rows.columns else None
     sources, _ = save(targets(sized).withColumnRenamed("source", "_source"), "targets")
     if sources.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
         sources = F.broadcast(sources)
     rows = rows.drop("source_size", "target", "copies", "_source").join(sources, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    return rows.withColumn("copies", (F.floor(rate) + F.when(draw("doc_id", seed) < rate - F.floor(rate), 1).otherwise(0)).cast("int"))
+    return rows.withColumn("copies", (F.floor(rate) + F.when(draw("doc_id", seed, other) < rate - F.floor(rate), 1).otherwise(0)).cast("int")).drop("_unnamed")
 
 
 def mix(docs: DataFrame, seed: int = 8) -> DataFrame:
     """The mix itself: every document as often as it is taken, with its own columns. Words are counted in one pass, and
     the documents are read once more to be emitted."""
-    rows = docs.select("doc_id", "source", F.struct("*").alias("_row"))
+    rows = docs.select("doc_id", "source", unnamed().alias("_unnamed"), F.struct("*").alias("_row"))
     return plan(rows, docs.select("source", size_of().alias("size")), seed).select("_row", F.explode(F.array_repeat(F.lit(0), F.col("copies")))).select("_row.*")

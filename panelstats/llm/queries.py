@@ -53,7 +53,7 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    sized, _ = storage.save(docs.select("doc_id", "source", mixing.size_of().alias("size")), "sizes")
+    sized, _ = storage.save(docs.select("doc_id", "source", mixing.size_of().alias("size"), mixing.unnamed().alias("_unnamed")), "sizes")
     return mixing.plan(sized, sized).select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
@@ -141,7 +141,7 @@ FROM j GROUP BY doc_id
 """
 
 ORACLES["op8_mixing"] = f"""
-WITH d AS (SELECT doc_id, source, len({_WORDS})::BIGINT AS size FROM documents),
+WITH d AS (SELECT doc_id, source, len({_WORDS})::BIGINT AS size, CASE WHEN doc_id IS NULL THEN md5(coalesce(text, '')) END AS unnamed FROM documents),
 s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
 w AS (SELECT *, [3.0::DOUBLE, 1.0::DOUBLE, 2.0::DOUBLE][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS w, source_size * 2.0::DOUBLE AS cap FROM s),
 f AS (SELECT *, row_number() OVER (ORDER BY cap / w, source NULLS LAST) AS k,
@@ -150,7 +150,7 @@ f AS (SELECT *, row_number() OVER (ORDER BY cap / w, source NULLS LAST) AS k,
 o AS (SELECT min(k) AS k, arg_min(level, k) AS level FROM f WHERE cap / w > level),
 t AS (SELECT f.source, f.source_size, CASE WHEN o.k IS NULL OR f.k < o.k THEN f.cap ELSE o.level * f.w END AS target FROM f, o),
 r AS (SELECT d.doc_id, d.size, t.source_size, t.target, CASE WHEN t.source_size > 0 THEN t.target / t.source_size ELSE 0 END AS rate,
-  ('0x' || substr(md5('8:' || coalesce(d.doc_id::VARCHAR, '')), 1, 8))::BIGINT / 4294967296.0::DOUBLE AS u FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
+  ('0x' || substr(md5('8:' || coalesce(d.doc_id::VARCHAR, d.unnamed, '')), 1, 8))::BIGINT / 4294967296.0::DOUBLE AS u FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
 SELECT doc_id, size, source_size, target, (size * (floor(rate) + CASE WHEN u < rate - floor(rate) THEN 1 ELSE 0 END))::BIGINT AS taken FROM r
 """
 

@@ -162,6 +162,18 @@ def test_mixing(docs, none):
     assert mixing.mix(none).count() == 0
 
 
+def test_mixing_of_rows_without_id(spark):
+    rows = [(None, f"word number {i}" if i % 50 else None, "en", "s0" if i % 3 else "s1", 1) for i in range(600)]
+    docs = spark.createDataFrame([*rows, rows[1], rows[1]], DOCS)
+    mixed = mixing.mix(docs)
+    assert mixed.columns == docs.columns
+    taken = Counter(r["source"] for r in mixed.filter("text IS NOT NULL").collect())
+    sized = docs.select("doc_id", "source", mixing.size_of().alias("size"))
+    for r in mixing.targets(sized).collect():
+        assert 3 * taken[r["source"]] == pytest.approx(r["target"], rel=0.15)
+    assert sum(r["text"] == rows[1][1] for r in mixed.collect()) in (0, 3, 6)
+
+
 @pytest.fixture(scope="module")
 def ranks():
     public_tokenizers = pytest.importorskip("public_tokenizers")
