@@ -190,27 +190,30 @@ def write(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame:
 
     @tidy
     def files(batches):
-        gc.disable()  # nothing here is garbage in circles, and the collector would walk all known words
         own, part, number = encoder(tokenizer_path), TaskContext.get().partitionId(), 0
-        docs_in, lengths, ids = [], [], []
+        docs_in, lengths, ids, held = [], [], [], 0
 
         def closed():
             all_ids = np.frombuffer(b"".join(ids), "<u4")
             row = {"part": [part], "file": [number], "doc_ids": [docs_in], "lengths": [lengths], "n_ids": [len(all_ids)], "payload": [encode_ids(all_ids)]}
             return pa.RecordBatch.from_pydict(row, pa.schema([("part", pa.int32()), ("file", pa.int32()), ("doc_ids", pa.list_(pa.int64())), ("lengths", pa.list_(pa.int64())), ("n_ids", pa.int64()), ("payload", pa.binary())]))
 
-        for batch, texts in pieces(batches):
-            for doc, made in zip(batch.column(0).to_pylist(), own.ids(texts.to_pylist())):
-                docs_in.append(doc)
-                ids.append(made + end)
-                lengths.append(len(ids[-1]) // 4)
-                if sum(lengths[-1:]) >= FILE_IDS or (len(lengths) % 64 == 0 and sum(lengths) >= FILE_IDS):
-                    yield closed()
-                    number += 1
-                    docs_in, lengths, ids = [], [], []
-        if docs_in:
-            yield closed()
-        gc.enable()
+        gc.disable()  # nothing here is garbage in circles, and the collector would walk all known words
+        try:
+            for batch, texts in pieces(batches):
+                for doc, made in zip(batch.column(0).to_pylist(), own.ids(texts.to_pylist())):
+                    docs_in.append(doc)
+                    ids.append(made + end)
+                    lengths.append(len(ids[-1]) // 4)
+                    held += lengths[-1]
+                    if held >= FILE_IDS:
+                        yield closed()
+                        number += 1
+                        docs_in, lengths, ids, held = [], [], [], 0
+            if docs_in:
+                yield closed()
+        finally:
+            gc.enable()
 
     ordered = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
     return save(ordered.mapInArrow(files, _FILES), "token-files")[0]

@@ -225,6 +225,10 @@ def test_token_files_round_trip(spark, docs, rows, none):
         assert r["start"] == start and any(r["ids"] == e.tolist() for e in encoded[r["doc_id"]]) and r["ids_crc32"] == zlib.crc32(np.array(r["ids"], "<u4").tobytes())
         start += r["n_tokens"]
     assert token_files.read(token_files.write(none, path, 2)).count() == 0
+    small = token_files.FILE_IDS // 3
+    many = spark.createDataFrame([(i, "a " * small) for i in range(7)], "doc_id long, text string").coalesce(1)
+    for f in token_files.write(many, path, 2).collect():  # a file closes with the document that fills it
+        assert f["n_ids"] - f["lengths"][-1] < token_files.FILE_IDS
 
 
 @pytest.mark.parametrize("n", [0, 1, 1023, 1024, 5000])
