@@ -14,7 +14,8 @@ decides how much is compared, never what is linked.
 
 Defined results: a null or empty text, or one without words, has no shingles and is linked with nothing;
 with fewer words than ``n`` the whole sequence is the one shingle; rows that share a doc_id are one node
-with the links of each; rows without doc_id have no component; an empty table gives an empty result.
+with the links of each; rows without doc_id have no component; texts of any length count whole; a tie between
+documents goes to the smallest doc_id; other columns of any name are left out; an empty table gives an empty result.
 """
 
 from __future__ import annotations
