@@ -102,12 +102,14 @@ classed AS (SELECT j.source, CASE WHEN j.kind <> 'journal' THEN j.kind WHEN m.hi
 
 
 def _classed(spark, sf_dir) -> DataFrame:
-    """The best ranking by any of several numbers, then the class."""
+    """The best ranking by any of several numbers, then the class. A number that many rankings and journals share would pair
+    all of them: the rankings of a number are one row, its best, before journals meet it."""
     ranked = adapted(spark, sf_dir, SOURCES, "rankings").select("ranking", F.explode(F.split("issns", ",")).alias("issn"), labels.best_quartile(F.col("categories"), F.col("quartile")).alias("q"))
+    ranked = ranked.groupBy("issn").agg(F.min(F.struct(F.coalesce("q", F.lit("Q9")).alias("o"), "ranking", "q")).alias("best"))
     journals = adapted(spark, sf_dir, SOURCES, "journals").select("source", "kind", F.explode(F.split("issns", ",")).alias("issn"))
-    order = F.struct(F.coalesce("q", F.lit("Q9")), F.col("ranking"))
-    best = journals.join(ranked, "issn", "left").groupBy("source", "kind").agg(F.min_by("q", order).alias("q"), F.count("ranking").alias("hits"))
-    return best.select("source", F.when(F.col("kind") != "journal", F.col("kind")).when(F.col("hits") == 0, "unranked").when(F.col("q").isNull(), "no_quartile").otherwise(F.col("q")).alias("class"))
+    best = journals.join(ranked, "issn", "left").groupBy("source", "kind").agg(F.min("best").alias("best"))
+    q = F.col("best.q")
+    return best.select("source", F.when(F.col("kind") != "journal", F.col("kind")).when(F.col("best").isNull(), "unranked").when(q.isNull(), "no_quartile").otherwise(q).alias("class"))
 
 
 @query(_CLASSED + " SELECT * FROM classed")

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from panelstats.operators import lines, mapping, matching
-from panelstats.plans import printed
+from panelstats.plans import printed, research
 
 SF, LARGER = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
 
@@ -109,3 +109,21 @@ def test_templates_of_parts_compare_few_titles(spark):
         if best and best[0] >= 0.72:
             want[t] = (-best[1], pytest.approx(best[0]))
     assert got == want and seen["compared"] < pairs / 10
+
+
+def test_numbers_that_many_share_pair_no_rankings_with_journals(spark, tmp_path, monkeypatch):
+    # 140,000 parts print 700 numbers that are shared: a hundred rankings and journals each.
+    part = spark.read.parquet(f"{SF}/part.parquet").limit(1)
+    part.drop("p_partkey").join(spark.range(1, 140_001).withColumnRenamed("id", "p_partkey")).select(*part.columns).write.parquet(f"{tmp_path}/part.parquet")
+    for name in ("lineitem", "supplier"):
+        spark.read.parquet(f"{SF}/{name}.parquet").write.parquet(f"{tmp_path}/{name}.parquet")
+    whole, rows = type(part).join, []
+
+    def counted(left, *others, **options):
+        out = whole(left, *others, **options)
+        rows.append(out.count())
+        return out
+
+    monkeypatch.setattr(type(part), "join", counted)
+    out = research.QUERIES["J21_source_classes"](spark, str(tmp_path))
+    assert out.count() == sum(i % 17 != 0 for i in range(1, 140_001)) and rows and max(rows) <= 2 * 140_000
