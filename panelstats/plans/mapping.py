@@ -53,14 +53,13 @@ def M5_match_province(spark, sf_dir):
     return table(spark, sf_dir, "supplier").join(names, "s_nationkey", "left").select("s_suppkey", F.coalesce("n_name", F.lit("IRN")).alias("province"))
 
 
-@query("""SELECT s_nationkey, n_name, r_name, k FROM (SELECT s_nationkey, min(s_suppkey) AS k FROM supplier GROUP BY 1) JOIN nation ON n_nationkey = s_nationkey JOIN region ON r_regionkey = n_regionkey
-QUALIFY row_number() OVER (PARTITION BY n_regionkey ORDER BY s_nationkey) = 1""")
+@query("SELECT s_nationkey, n_name, r_name, k FROM (SELECT s_nationkey, min(s_suppkey) AS k FROM supplier GROUP BY 1) JOIN nation ON n_nationkey = s_nationkey JOIN region ON r_regionkey = n_regionkey")
 def J15_name_bridge(spark, sf_dir):
-    """Codes to names over a table between; every row of each side serves once."""
+    """Codes to names over a table between: every row of the codes and names serves once, and a region serves all of its nations."""
     codes = table(spark, sf_dir, "supplier").select(F.col("s_nationkey").alias("a"), F.col("s_suppkey").alias("k"))
     names = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("a"), F.col("n_regionkey").alias("b"), "n_name")
     regions = table(spark, sf_dir, "region").select(F.col("r_regionkey").alias("b"), "r_name")
-    return mapping.bridge(codes, names, regions, "a", "b").select(F.col("a").alias("s_nationkey"), "n_name", "r_name", "k")
+    return mapping.bridge(codes, names, regions, "a", "b", shared=True).select(F.col("a").alias("s_nationkey"), "n_name", "r_name", "k")
 
 
 _SPELLINGS = [*mapping.PROVINCES, *mapping.ALIASES]

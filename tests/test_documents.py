@@ -13,6 +13,7 @@ from panelstats.functions import labels
 from panelstats.operators import mapping, statistics, structure
 from panelstats.operators.export import flattened, nested
 from panelstats.plans import export, higher, k12, research, validation
+from panelstats.plans import mapping as plans_mapping
 from panelstats.sources.html import cells, decoded
 
 
@@ -149,6 +150,13 @@ def test_bridge_uses_each_row_once(spark):
     assert len(out) == 1 and out[0]["code"] == 1
 
 
+def test_name_bridge_names_every_nation(spark):
+    sf = "/root/testdata/sf0.01"
+    got = plans_mapping.QUERIES["J15_name_bridge"](spark, sf).collect()
+    nations = spark.read.parquet(f"{sf}/supplier.parquet").select("s_nationkey").distinct().count()
+    assert len(got) == len({r["s_nationkey"] for r in got}) == nations > 5
+
+
 @pytest.mark.parametrize("name", ["W4_k12_growth", "J12_offsets", "J10_rank_mix", "C8_table_status", "J7_cohort_completion", "E4_outcomes", "E5_relations", "A12_union_sizes", "J18_nearest_capital"])
 def test_plans_read_each_table_a_few_times_at_most(spark, name):
     plan = {**k12.QUERIES, **higher.QUERIES, **validation.QUERIES, **export.QUERIES, **research.QUERIES}[name](spark, "/root/testdata/sf0.001")
