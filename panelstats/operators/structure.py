@@ -13,16 +13,16 @@ CONTINUED = "دنباله"
 
 
 def clean_grid(cells: DataFrame, t: str = "t") -> DataFrame:
-    """Blank rows go, then grids with fewer than two rows or columns."""
+    """Blank rows go, then grids with fewer than two rows or columns. One shuffle, by table."""
     row, grid = Window.partitionBy(t, "r"), Window.partitionBy(t)
-    some = cells.withColumn("_ink", F.max(F.btrim(F.coalesce("x", F.lit(""))) != "").over(row)).filter("_ink").drop("_ink")
+    some = cells.repartition(t).withColumn("_ink", F.max(F.btrim(F.coalesce("x", F.lit(""))) != "").over(row)).filter("_ink").drop("_ink")
     return some.withColumn("_big", (F.max("r").over(grid) > F.min("r").over(grid)) & (F.max("c").over(grid) > F.min("c").over(grid))).filter("_big").drop("_big")
 
 
 def laid_out(cells: DataFrame, t: str = "t", slash_swapped: bool = True) -> DataFrame:
     """Adds to every cell its number, the table's label column (the first or last column, whichever has more text; the
     first on ties) and its header depth (the first row in which half of the printed data cells are numbers). Tables
-    without such a row go. One shuffle, by table."""
+    without such a row go. Cells of ``clean_grid`` are not shuffled again."""
     grid, row = Window.partitionBy(t), Window.partitionBy(t, "r")
     x = F.btrim(F.coalesce("x", F.lit("")))
     out = cells.withColumn("x", x).withColumn("number", labels.to_number(F.col("x"), slash_swapped))

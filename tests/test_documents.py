@@ -161,3 +161,16 @@ def test_name_bridge_names_every_nation(spark):
 def test_plans_read_each_table_a_few_times_at_most(spark, name):
     plan = {**k12.QUERIES, **higher.QUERIES, **validation.QUERIES, **export.QUERIES, **research.QUERIES}[name](spark, "/root/testdata/sf0.001")
     assert plan._jdf.queryExecution().executedPlan().toString().count("Scan parquet") <= 8
+
+
+@pytest.mark.parametrize("of", [labels.is_numeric_cell, labels.to_number, labels.parse_note, lambda c: structure.laid_out(c)])
+def test_cells_are_read_by_small_expressions(spark, of):
+    # A value that stands in an expression many times makes more code than is compiled, and every row is slow.
+    cells = spark.createDataFrame([(1, 0, 0, "a")], "t int, r int, c int, x string")
+    plan = (of(cells) if of.__name__ == "<lambda>" else cells.select(of(F.col("x")).alias("y")))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_replace(") <= 12
+
+
+@pytest.mark.parametrize(("text", "number", "numeric"), [("000", None, True), ("0", 0.0, True), ("12/34", 34.12, True), ("12/34\n", 34.12, True), ("۱۲", 12.0, True), ("１2", 12.0, True), ("1,200 (3)", 1200.0, True), ("-5", -5.0, True), ("…", None, True), ("متن", None, False), ("متن 5", None, False), ("", None, True), ("1.", 1.0, True), ("1/2/3", None, False), (None, None, True)])
+def test_numbers_of_cells(spark, text, number, numeric):
+    assert (one(spark, labels.to_number(F.col("a")), text), one(spark, labels.is_numeric_cell(F.col("a")), text)) == (number, numeric)
