@@ -128,8 +128,8 @@ def _grid(spark, sf_dir) -> DataFrame:
 @query(f"WITH {_GRID}, k AS (SELECT t, r FROM g WHERE c > 0 GROUP BY t, r HAVING bool_or(x <> '')) SELECT g.t, count(DISTINCT g.r) AS n_rows, count(*) AS cells FROM g JOIN k ON k.t = g.t AND k.r = g.r GROUP BY g.t HAVING count(DISTINCT g.r) >= 2")
 def T1_clean_grid(spark, sf_dir):
     """Blank rows go, then grids of fewer than two rows."""
-    blank = F.max(F.when(F.col("c") > 0, F.col("x") != "")).over(Window.partitionBy("t", "r"))
-    rows = _grid(spark, sf_dir).withColumn("ink", blank).filter("ink").groupBy("t", "r").agg(F.count("*").alias("k"))
+    ink = F.max(F.when(F.col("c") > 0, F.col("x") != ""))  # a row's three cells are one row before the shuffle
+    rows = _grid(spark, sf_dir).groupBy("t", "r").agg(ink.alias("ink"), F.count("*").alias("k")).filter("ink")
     return rows.groupBy("t").agg(F.count("*").alias("n_rows"), F.sum("k").alias("cells")).filter("n_rows >= 2")
 
 
