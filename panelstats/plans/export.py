@@ -358,12 +358,21 @@ def S8_raw_pages(spark, sf_dir):
     own = F.concat(F.lit("<table><tr><th>id<th>page</tr><tr><td colspan=2>"), F.col("page_id"), F.lit("</td></tr><tr><td>"), F.lit("&uacute;lt &amp; ج"), F.lit("</table><footer>"))
     pages = table(spark, sf_dir, "pages").select("page_id", F.replace("html", F.lit("<footer>"), own).alias("html"))
 
-    def encoded(frames):
-        for frame in frames:
-            plain = [h.replace('<meta charset="utf-8">', "") for h in frame["html"]]
-            yield frame.assign(html=[h.encode() if i % 3 == 0 else p.encode("cp1256", "replace") if i % 3 == 1 else p.replace("<head>", '<head><meta charset="windows-1256">').encode("cp1256", "replace") for i, h, p in zip(frame["page_id"], frame["html"], plain)])
+    def encoded(batches):
+        import pyarrow as pa
 
-    return sources.html_tables(pages.mapInPandas(encoded, "page_id long, html binary"))
+        for batch in batches:
+            for at in range(0, batch.num_rows, sources.PAGES_AT_ONCE):
+                ids, pages = (batch.slice(at, sources.PAGES_AT_ONCE).column(c).to_pylist() for c in ("page_id", "html"))
+                yield pa.RecordBatch.from_pydict({"page_id": pa.array(ids, pa.int64()), "html": pa.array([said(i, h) for i, h in zip(ids, pages)], pa.binary())})
+
+    def said(i, h):
+        if i % 3 == 0:
+            return h.encode()
+        plain = h.replace('<meta charset="utf-8">', "")
+        return (plain if i % 3 == 1 else plain.replace("<head>", '<head><meta charset="windows-1256">')).encode("cp1256", "replace")
+
+    return sources.html_tables(pages.mapInArrow(encoded, "page_id long, html binary"))
 
 
 @query("SELECT n_nationkey AS year, n_regionkey * 1.5 AS value FROM nation WHERE n_nationkey % 3 <> 0")

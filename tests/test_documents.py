@@ -174,3 +174,16 @@ def test_cells_are_read_by_small_expressions(spark, of):
 @pytest.mark.parametrize(("text", "number", "numeric"), [("000", None, True), ("0", 0.0, True), ("12/34", 34.12, True), ("12/34\n", 34.12, True), ("۱۲", 12.0, True), ("１2", 12.0, True), ("1,200 (3)", 1200.0, True), ("-5", -5.0, True), ("…", None, True), ("متن", None, False), ("متن 5", None, False), ("", None, True), ("1.", 1.0, True), ("1/2/3", None, False), (None, None, True)])
 def test_numbers_of_cells(spark, text, number, numeric):
     assert (one(spark, labels.to_number(F.col("a")), text), one(spark, labels.is_numeric_cell(F.col("a")), text)) == (number, numeric)
+
+
+def test_pages_are_parsed_a_few_at_a_time(spark):
+    n = 3 * sources.PAGES_AT_ONCE + 1
+    pages = spark.range(n, numPartitions=1).select(F.col("id").alias("page_id"), F.concat(F.lit("<table><tr><td>"), "id", F.lit("<td>x</table>")).alias("html"))
+    out = sources.html_tables(pages)
+    assert "MapInArrow" in out._jdf.queryExecution().executedPlan().toString()  # frames of 10,000 pages took gigabytes
+    assert sorted((r["page_id"], r["c"], r["text"]) for r in out.collect()) == sorted(x for i in range(n) for x in ((i, 0, str(i)), (i, 1, "x")))
+
+
+def test_rows_of_a_grid_are_aggregated_before_the_shuffle(spark):
+    plan = plans_mapping.QUERIES["T1_clean_grid"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "partial_count" in plan
