@@ -12,29 +12,35 @@ from panelstats.operators import ordered
 CONTINUED = "دنباله"
 
 
-def clean_grid(cells: DataFrame, t: str = "t") -> DataFrame:
-    """Blank rows go, then grids with fewer than two rows or columns. One shuffle, by table."""
+def clean_grid(cells: DataFrame, t: str = "t", edges: bool = False) -> DataFrame:
+    """Blank rows go, then grids with fewer than two rows or columns. One shuffle, by table. With ``edges`` the first and last columns of
+    the grid stay, as _first and _last."""
     row, grid = Window.partitionBy(t, "r"), Window.partitionBy(t)
     some = cells.repartition(t).withColumn("_ink", F.max(F.btrim(F.coalesce("x", F.lit(""))) != "").over(row)).filter("_ink").drop("_ink")
-    return some.withColumn("_big", (F.max("r").over(grid) > F.min("r").over(grid)) & (F.max("c").over(grid) > F.min("c").over(grid))).filter("_big").drop("_big")
+    some = some.select("*", (F.max("r").over(grid) > F.min("r").over(grid)).alias("_tall"), F.min("c").over(grid).alias("_first"), F.max("c").over(grid).alias("_last"))
+    return some.filter("_tall AND _last > _first").drop("_tall", *([] if edges else ["_first", "_last"]))
 
 
 def laid_out(cells: DataFrame, t: str = "t", slash_swapped: bool = True) -> DataFrame:
     """Adds to every cell its number, the table's label column (the first or last column, whichever has more text; the
     first on ties) and its header depth (the first row in which half of the printed data cells are numbers). Tables
-    without such a row go. Cells of ``clean_grid`` are not shuffled again."""
+    without such a row go. Cells of ``clean_grid`` are not shuffled again; those with its edges are passed over twice, for each of both columns as
+    the label's: by row for the shares of numbers, by table for the rest."""
     grid, row = Window.partitionBy(t), Window.partitionBy(t, "r")
-    x = F.btrim(F.coalesce("x", F.lit("")))
-    out = cells.withColumn("x", x).withColumn("number", labels.to_number(F.col("x"), slash_swapped))
+    if "_first" not in cells.columns:
+        cells = cells.withColumns({"_first": F.min("c").over(grid), "_last": F.max("c").over(grid)})
+    out = cells.withColumn("x", F.btrim(F.coalesce("x", F.lit("")))).withColumn("_d", labels.digits(F.col("x")))
+    out = out.withColumn("number", labels.number_of(F.col("_d"), slash_swapped)).drop("_d")
+    out = out.withColumn("_kind", F.when(F.col("x") != "", labels.is_numeric_cell(F.col("x"), F.col("number")).cast("tinyint")))
+    share = lambda at: F.avg(F.when(F.col("c") != F.col(at), F.col("_kind"))).over(row)
+    out = out.withColumns({"_by_first": share("_first") >= 0.5, "_by_last": share("_last") >= 0.5})
     wordy = (F.col("x") != "") & F.col("number").isNull()
-    first, last = F.min("c").over(grid), F.max("c").over(grid)
-    out = out.withColumns({"_first": first, "_last": last})
-    text = lambda at: F.sum((wordy & (F.col("c") == F.col(at))).cast("int")).over(grid)
-    out = out.withColumn("label_c", F.when(text("_first") >= text("_last"), F.col("_first")).otherwise(F.col("_last")))
-    data = (F.col("x") != "") & (F.col("c") != F.col("label_c"))
-    share = F.try_divide(F.sum((data & labels.is_numeric_cell(F.col("x"))).cast("int")).over(row), F.sum(data.cast("int")).over(row))
-    out = out.withColumn("_share", share)
-    return out.withColumn("depth", F.min(F.when(F.col("_share") >= 0.5, F.col("r"))).over(grid)).filter("depth IS NOT NULL").drop("_first", "_last", "_share")
+    text = lambda at: F.count_if(wordy & (F.col("c") == F.col(at))).over(grid)
+    depth = lambda by: F.min(F.when(F.col(by), F.col("r"))).over(grid)
+    out = out.withColumns({"_left": text("_first") >= text("_last"), "_dl": depth("_by_first"), "_dr": depth("_by_last")})
+    pick = lambda left, right: F.when(F.col("_left"), F.col(left)).otherwise(F.col(right))
+    out = out.withColumns({"label_c": pick("_first", "_last"), "depth": pick("_dl", "_dr")})
+    return out.filter("depth IS NOT NULL").drop("_first", "_last", "_kind", "_by_first", "_by_last", "_left", "_dl", "_dr")
 
 
 def header_paths(cells: DataFrame, t: str = "t") -> DataFrame:
@@ -54,6 +60,33 @@ def body_rows(cells: DataFrame, t: str = "t") -> DataFrame:
     return rows.filter((F.coalesce("label", F.lit("")) != "") | F.exists("values", lambda v: v["number"].isNotNull()))
 
 
+def body_cells(cells: DataFrame, t: str = "t") -> DataFrame:
+    """The data cells (t, r, label, c, number) of ``body_rows``, without making arrays of them and without another shuffle or sort."""
+    row, data = Window.partitionBy(t, "r"), F.col("c") != F.col("label_c")
+    rows = cells.filter(F.col("r") >= F.col("depth")).withColumns({"label": F.max(F.when(~data, F.col("x"))).over(row), "_some": F.max(data & F.col("number").isNotNull()).over(row)})
+    return rows.filter(data & ((F.coalesce("label", F.lit("")) != "") | F.col("_some"))).select(t, "r", "label", "c", "number")
+
+
+def by_row(cells: DataFrame, t: str = "t") -> DataFrame:
+    """(t, r, label_c, depth, cells: (c, x, number)) of ``laid_out`` cells, which are not shuffled again: a frame to write, of which
+    ``header_paths`` (after ``header_cells``) and ``body_of`` take what they need row by row."""
+    return cells.groupBy(t, "r").agg(F.max("label_c").alias("label_c"), F.max("depth").alias("depth"), F.collect_list(F.struct("c", "x", "number")).alias("cells"))
+
+
+def header_cells(rows: DataFrame, t: str = "t") -> DataFrame:
+    """The ``laid_out`` cells above the body, out of ``by_row``."""
+    return rows.filter(F.col("r") < F.col("depth")).select(t, "r", "label_c", "depth", F.inline("cells"))
+
+
+def body_of(rows: DataFrame, t: str = "t") -> DataFrame:
+    """``body_rows`` out of ``by_row``: no shuffle."""
+    is_label = lambda s: s["c"] == F.col("label_c")
+    label = F.array_max(F.transform(F.filter("cells", is_label), lambda s: s["x"]))
+    values = F.array_sort(F.transform(F.filter("cells", lambda s: ~is_label(s)), lambda s: F.struct(s["c"].alias("c"), s["number"].alias("number"))))
+    body = rows.filter(F.col("r") >= F.col("depth")).select(t, "r", label.alias("label"), values.alias("values"))
+    return body.filter((F.coalesce("label", F.lit("")) != "") | F.exists("values", lambda v: v["number"].isNotNull()))
+
+
 def _base(title: Column) -> Column:
     return labels.norm(F.regexp_replace(title, rf"\(\s*{CONTINUED}\s*\)", ""))
 
