@@ -91,7 +91,7 @@ def F10_title_keys(spark, sf_dir):
 @query(" SELECT DISTINCT t, c, CASE c WHEN 1 THEN 'male' WHEN 2 THEN 'female' END AS gender, CASE WHEN c = 3 AND t % 3 = 0 THEN 'teachers' END AS metric, CASE WHEN c = 3 AND t % 3 <> 0 THEN 'غیره' END AS unmatched FROM codes CROSS JOIN (VALUES (1), (2), (3)) AS w(c) WHERE t % 3 < 2")
 def M3_map_headers(spark, sf_dir):
     """Header parts from the bottom up, and what no rule knows."""
-    domain = _tables(spark, sf_dir).select("t", mapping.classify_domain(F.col("title")).alias("domain")).filter("domain <> 'other'")
+    domain = mapping.with_domain(_tables(spark, sf_dir).select("t", "title")).filter("domain <> 'other'").select("t", "domain")
     paths = written(structure.header_paths(laid_out(spark, sf_dir)).join(domain, "t"), "paths")
     return mapping.map_headers(paths, mapping.terms(spark), ["t", "c"], ["gender", "metric"]).select("t", "c", "gender", "metric", "unmatched")
 
