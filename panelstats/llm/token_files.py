@@ -13,6 +13,7 @@ ordered by text, and rows without doc_id come first; an empty table gives no fil
 from __future__ import annotations
 
 import gc
+import json
 import os
 import re
 import zlib
@@ -20,6 +21,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
@@ -110,15 +112,21 @@ def decode_ids(payload: bytes) -> np.ndarray:
     return (out + head[:, :1]).astype(np.uint32).reshape(-1)[:n]
 
 
+def _without_normalizer(path: str) -> str:
+    """The tokenizer's file for text that is composed and lower-cased already."""
+    with open(path, encoding="utf-8") as f:
+        return json.dumps(json.load(f) | {"normalizer": None})
+
+
 class Encoder:
     """Texts to ids. The tokenizer composes and lower-cases, drops white space, and cuts what is left into letters,
     single digits and other marks before its merges, so the ids of a text are those of its words one after the
     other. Words that have been met are kept; the new words of many texts are given to the tokenizer together, joined by
-    blanks, and its tokens that end a piece say which ids are whose."""
+    blanks and without its first two steps, which are done already, and its tokens that end a piece say which ids are whose."""
 
     MAX_WORDS, LONG_WORD, TOGETHER = 300_000, 48, 256
     #: Below U+0300 nothing composes, so there capitals may be folded first.
-    _BEYOND = re.compile("[^\0-˿]")
+    _BEYOND = r"[^\x00-\x{2ff}]"
     #: Words of marks, digits and letters for which lower-casing and the cut do not depend on the Unicode version.
     _PLAIN = re.compile(r"[!-~¡-įı-ʯ]+")
     #: The tokenizer's own cut.
@@ -128,8 +136,9 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.tokenizer, self.lowered = Tokenizer.from_file(path), Tokenizer.from_str(_without_normalizer(path))
+        for t in (self.tokenizer, self.lowered):
+            t.encode_special_tokens = True  # their strings in a text are ordinary text
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
@@ -140,18 +149,17 @@ class Encoder:
         out: dict[bytes, bytes] = {}
         plain, counts, alone = [], [], []
         for w in words:
-            text = w.decode()
-            if text.isalpha() and text.isascii():
+            if w.isalpha():  # A-Z and a-z alone
                 plain.append(w)
                 counts.append(1)
-            elif self._PLAIN.fullmatch(text):
+            elif self._PLAIN.fullmatch(text := w.decode()):
                 plain.append(w)
                 counts.append(len(self._CUT.findall(text.lower())))
             else:
                 alone.append(w)
         for i in range(0, len(plain), self.TOGETHER):
             some = plain[i : i + self.TOGETHER]
-            e = self.tokenizer.encode_batch_fast([b" ".join(some).decode()], add_special_tokens=False)[0]
+            e = self.lowered.encode_batch_fast([b" ".join(some).decode().lower()], add_special_tokens=False)[0]
             ids = np.array(e.ids, "<u4")
             cuts = np.concatenate([[0], np.flatnonzero(self.ends[ids]) + 1])[np.cumsum([0, *counts[i : i + self.TOGETHER]])] * 4
             ids = ids.tobytes()
@@ -162,20 +170,30 @@ class Encoder:
                 out[w] = np.array(e.ids, "<u4").tobytes()
         return out
 
-    def ids(self, texts: list[str]) -> list[bytes]:
-        """Little-endian unsigned 32-bit ids of each text."""
+    def ids(self, texts: list[str] | pa.Array) -> list[bytes]:
+        """Little-endian unsigned 32-bit ids of each text. Words are cut and numbered by Arrow, each distinct one is looked up once, and the
+        ids of all words are gathered at once."""
+        texts = pa.array(texts, pa.large_string()) if isinstance(texts, list) else texts
         if len(self.words) > self.MAX_WORDS:
             self.words, self.older = {}, self.words
-        cut = [(t.encode() if self._BEYOND.search(t) else t.encode().lower()).split() for t in texts]  # other blanks are left to the tokenizer
-        new = set().union(*cut) - self.words.keys()
-        known = new & self.older.keys()
-        self.words.update((w, self.older[w]) for w in known)
-        self.words.update(self._encoded(list(new - known)))
-        out = [b"".join(map(self.words.__getitem__, words)) for words in cut]
+        beyond = pc.match_substring_regex(texts, self._BEYOND)
+        cut = pc.ascii_split_whitespace(pc.if_else(beyond, texts, pc.ascii_lower(texts)))  # other blanks are left to the tokenizer
+        coded = cut.flatten().dictionary_encode()
+        distinct, codes = coded.dictionary.cast(pa.large_binary()).to_pylist(), coded.indices.to_numpy()
+        new = [w for w in distinct if w not in self.words]
+        self.words.update((w, self.older[w]) for w in new if w in self.older)
+        self.words.update(self._encoded([w for w in new if w not in self.older]))
+        made = [self.words[w] for w in distinct]
         for w in new:
             if len(w) > self.LONG_WORD:
                 del self.words[w]
-        return out
+        sizes = np.fromiter(map(len, made), np.int64, len(made)) // 4
+        first, every = np.cumsum(sizes) - sizes, np.frombuffer(b"".join(made), "<u4")
+        n = sizes[codes]
+        upto = np.concatenate([[0], np.cumsum(n)])
+        out = every[np.repeat(first[codes] - upto[:-1], n) + np.arange(upto[-1])].tobytes()
+        ends = (4 * upto[cut.offsets.to_numpy() - cut.offsets[0].as_py()]).tolist()
+        return [out[a:b] for a, b in zip(ends[:-1], ends[1:])]
 
 
 @lru_cache(1)
@@ -201,7 +219,7 @@ def write(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame:
         gc.disable()  # nothing here is garbage in circles, and the collector would walk all known words
         try:
             for batch, texts in pieces(batches):
-                for doc, made in zip(batch.column(0).to_pylist(), own.ids(texts.to_pylist())):
+                for doc, made in zip(batch.column(0).to_pylist(), own.ids(texts)):
                     docs_in.append(doc)
                     ids.append(made + end)
                     lengths.append(len(ids[-1]) // 4)

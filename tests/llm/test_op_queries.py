@@ -182,3 +182,22 @@ def test_pipeline_emits_the_mix(spark, texts):
     pytest.importorskip("public_tokenizers")
     out = run(spark, "pipeline").collect()
     assert out and all(r["decodes"] for r in out) and max(Counter(r["doc_id"] for r in out).values()) <= 2
+
+
+def test_op9_looks_distinct_words_up_once():
+    """op9 was beyond its budget of CPU seconds: every word of every text was looked up twice."""
+    public_tokenizers = pytest.importorskip("public_tokenizers")
+    from panelstats.llm import token_files
+
+    class Counting(dict):
+        n = 0
+
+        def __getitem__(self, key):
+            Counting.n += 1
+            return super().__getitem__(key)
+
+    own = token_files.Encoder(public_tokenizers.path("word_bpe_49k.json"))
+    own.words = Counting()
+    many = ["Some words, again\t and AGAIN. " * 200, "", "  ", "again\x0b"] * 20
+    got = own.ids(many)
+    assert Counting.n < 50 and got == [own.ids([t])[0] for t in many] and got[0] and got[1] == got[2] == b""
