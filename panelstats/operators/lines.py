@@ -20,16 +20,17 @@ def lines_to_tables(lines: DataFrame, doc: str = "doc", order: str = "n") -> Dat
     with other numbers starts the next part (``parts``). No document is one task's: rows are dealt by ranges of lines, and
     what they take from the rows above is carried from range to range."""
     text = F.btrim(F.coalesce("text", F.lit("")))
-    rows = ordered.ranged(lines.select(doc, order, text.alias("text")).filter("text <> ''"), [doc], order)
-    rows = rows.withColumn("_title", labels.is_title(F.col("text"))).withColumn("_said", structure.text_line(F.col("text")))
-    note = F.transform(F.array(labels.parse_note(F.col("text"))), lambda n: n["number"].isNotNull())[0] & ~F.col("_title")
-    rows = rows.withColumn("_kind", F.when(F.col("_title"), "title").when(F.coalesce(note, F.lit(False)), "note").when(F.size("_said.values") > 0, "row").otherwise("text"))
-    rows = ordered.carried(rows, [doc], last={"title": F.when(F.col("_title"), F.col("text"))}, previous={"_above": F.struct("_kind", "text")}).filter("title IS NOT NULL")
+    plain, said = F.col("_plain"), F.col("_said")
+    own = F.when(F.col("text").rlike(f"[{labels.DIGITS[0]}]"), labels.digits(F.col("text"))).otherwise(F.col("text"))
+    title = labels.is_plain_title(plain)
+    kind = F.when(title, "title").when(labels.is_numbered_note(plain), "note").when(F.size(said["values"]) > 0, "row").otherwise("text")
+    rows = ordered.ranged(lines.select(doc, order, text.alias("text")).filter("text <> ''"), [doc], order, more=[{"_plain": own}, {"_said": structure.line_of(plain)}, {"_kind": kind}])
+    rows = ordered.carried(rows, [doc], last={"title": F.when(F.col("_kind") == "title", F.col("text"))}, previous={"_above": F.struct("_kind", "text")}).filter("title IS NOT NULL")
     label, above = F.col("_said.label"), F.col("_above")
     rows = rows.withColumn("label", F.when((label == "") & (above["_kind"] == "text"), above["text"]).otherwise(label))
-    rows = written(rows.filter("_kind IN ('row', 'note')").withColumn("values", F.transform("_said.values", lambda v: labels.to_number(v, False))).drop("_said", "_above"), "lines")
+    rows = written(rows.filter("_kind IN ('row', 'note')").withColumn("values", F.transform("_said.values", lambda v: labels.to_number(v, False))).drop("_plain", "_said", "_above"), "lines")
     notes = rows.filter("_kind = 'note'").groupBy(doc, "title").agg(F.transform(F.array_sort(F.collect_list(F.struct(order, "text"))), lambda s: s["text"]).alias("notes"))
-    numbers = rows.filter("_kind = 'row'").filter((F.col("label") != "") | (F.size("values") > 1)).select(doc, order, "title", "label", "values", "_at", "_part")
+    numbers = rows.filter("_kind = 'row'").filter((F.col("label") != "") | (F.size("values") > 1)).select(doc, order, "title", "label", "values", "_at", "_part", "_wide")
     parted = ordered.carried(parts(numbers, [doc, "title"]), [doc, "title", "part"], total={"r": F.lit(1)}).withColumn("r", (F.col("r") - 1).cast("int"))
     return parted.join(notes, [doc, "title"], "left").select(doc, "title", "part", "r", "label", "values", F.coalesce("notes", F.array().cast("array<string>")).alias("notes"))
 
@@ -44,20 +45,17 @@ def parts(rows: DataFrame, keys: list[str]) -> DataFrame:
     rows = ordered.carried(rows, by_label, previous={"_same": F.struct("_at", "values")})
     changed = (F.col("label") != "") & F.col("_same").isNotNull() & ~F.col("values").eqNullSafe(F.col("_same.values"))
     rows = ordered.carried(rows, by_label, last={"_other": F.when(changed, F.col("_same._at"))})
-    rows = written(ordered.carried(rows, keys, total={"_n": F.lit(1)}), "rows")
-    conflicts = rows.filter("_other IS NOT NULL")
-    firsts = rows.filter("_n = 1").select(F.col("_at").alias("at"))
-    # The first row that conflicts with a row or one below it: events stand at the place that is conflicted with.
-    starts = rows.filter("_n = 1 OR _other IS NOT NULL").select(*keys, "_at", F.lit(None).cast("long").alias("_to"))
-    events = conflicts.select(*keys, F.col("_other").alias("_at"), F.col("_at").alias("_to"))
-    both = starts.unionByName(events).withColumn("_part", ordered.part_of("_at"))
-    hops = ordered.carried(both, keys, least_after={"next": F.col("_to")}).filter("_to IS NULL AND next IS NOT NULL").select(F.col("_at").alias("at"), "next")
+    rows = written(rows, "rows")
+    conflicts = rows.filter("_other IS NOT NULL").select(*keys, "_at", "_part", "_wide", "_other")
+    # The first row that conflicts with a row or one below it: events stand at the place that is conflicted with. From a group's first row on it is its first conflict.
+    firsts = conflicts.groupBy(*keys).agg(F.min("_at").alias("at"))
+    places, events = conflicts.withColumn("_to", F.lit(None).cast("long")), conflicts.withColumns({"_to": F.col("_at"), "_at": F.col("_other"), "_part": ordered.part_of("_other")})
+    hops = ordered.carried(places.unionByName(events).drop("_other"), keys, least_after={"next": F.col("_to")}).filter("_to IS NULL AND next IS NOT NULL").select(F.col("_at").alias("at"), "next")
     starts = ordered.chain(firsts, hops)
     rows = rows.join(starts.select(F.col("at").alias("_at"), F.lit(True).alias("_starts")), "_at", "left")
-    begins = F.coalesce("_starts", F.lit(False))
-    rows = ordered.carried(rows, keys, last={"_from": F.when(begins, F.col("_at"))}, total={"part": begins.cast("int")}).withColumn("part", (F.col("part") - 1).cast("int"))
-    repeats = (F.col("label") != "") & F.coalesce(F.col("_same._at") >= F.col("_from"), F.lit(False))
-    return rows.filter(~repeats).drop("_same", "_other", "_n", "_starts", "_from")
+    rows = ordered.carried(rows, keys, last={"_from": F.when(F.col("_starts"), F.col("_at"))}, total={"part": F.coalesce("_starts", F.lit(False)).cast("int")}).withColumn("part", F.col("part").cast("int"))
+    repeats = (F.col("label") != "") & F.col("_same").isNotNull() & F.coalesce(F.col("_same._at") >= F.col("_from"), F.lit(True))
+    return rows.filter(~repeats).drop("_same", "_other", "_starts", "_from")
 
 
 def modal_rows(rows: DataFrame, keys: list[str]) -> DataFrame:

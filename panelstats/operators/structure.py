@@ -100,7 +100,7 @@ def attach_titles(blocks: DataFrame, doc: str = "doc", order: str = "block_no")
     rows = ordered.carried(rows.withColumn("_base", _base(F.coalesce("title", F.lit("")))), [doc], previous={"_above": F.col("_base")})
     rows = ordered.carried(rows, [doc], total={"group": (F.col("_base") != F.coalesce("_above", F.lit(""))).cast("int")})
     rows = ordered.carried(rows, [doc, "group"], total={"part": (F.col("kind") == "table").cast("int")})
-    return rows.withColumn("part", F.when(F.col("kind") == "table", F.col("part") - 1)).drop("_base", "_above", "_at", "_part")
+    return rows.withColumn("part", F.when(F.col("kind") == "table", F.col("part") - 1)).drop("_base", "_above", "_at", "_part", "_wide")
 
 
 def attach_notes(titled: DataFrame, doc: str = "doc", order: str = "block_no") -> DataFrame:
@@ -144,14 +144,22 @@ def geo_class(n_provinces: Column, has_years: Column) -> Column:
 def text_line(line: Column) -> Column:
     """(label, values) of a line that prints its numbers from right to left: the numbers in reading order, and the rest
     as the label with its footnote marks behind it. Numbers in brackets are marks."""
-    plain = labels.digits(line)
-    marks = F.regexp_extract_all(plain, F.lit(r"\([0-9]+\)"), F.lit(0))
-    bare = F.regexp_replace(plain, r"\([0-9]+\)", " ")
-    tokens = F.filter(F.split(F.btrim(bare), r"\s+"), lambda x: x != "")
-    numeric = lambda x: x.rlike(r"^[0-9][0-9,./]*$|^[-…×]+$")
-    label = F.btrim(F.concat_ws(" ", F.array_join(F.filter(tokens, lambda x: ~numeric(x)), " "), F.array_join(marks, "")))
-    values = F.transform(F.reverse(F.filter(tokens, numeric)), lambda x: F.regexp_replace(x, ",", ""))
-    return F.struct(label.alias("label"), values.alias("values"))
+    return line_of(labels.digits(line))
+
+
+#: A word of a line that is a number or marks for missing ones; a sign that ends lines, but is no blank, may stand behind it.
+_VALUE = r"(?<!\S)(?:[0-9][0-9,./]*|[-…×]+)[\x85\u2028\u2029]?(?!\S)"
+
+
+def line_of(plain: Column) -> Column:
+    """``text_line`` of a line whose digits are plain. It is passed over as a whole, not word by word, and only for what it holds."""
+    marked = plain.contains("(")
+    marks = F.when(marked, F.array_join(F.regexp_extract_all(plain, F.lit(r"\([0-9]+\)"), F.lit(0)), ""))
+    bare = F.when(marked, F.regexp_replace(plain, r"\([0-9]+\)", " ")).otherwise(plain)
+    words = F.btrim(F.regexp_replace(bare, _VALUE, ""))
+    words = F.when(words.rlike(r"\s\s|[\t\n\x0b\f\r]"), F.btrim(F.regexp_replace(words, r"\s+", " "))).otherwise(words)
+    values = F.transform(F.reverse(F.regexp_extract_all(bare, F.lit(_VALUE), F.lit(0))), lambda x: F.replace(x, F.lit(","), F.lit("")))
+    return F.struct(F.btrim(F.concat_ws(" ", words, marks)).alias("label"), values.alias("values"))
 
 
 def is_domain_page(text: Column, word: str, stop: str) -> Column:

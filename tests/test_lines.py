@@ -1,11 +1,14 @@
 """Lines into tables, templates, unit logs and rings against plain Python."""
 
 import difflib
+import random
+import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from panelstats.operators import lines, rings
+from panelstats.operators import lines, ordered, rings, structure
 
 
 def test_lines_to_tables(spark):
@@ -20,6 +23,30 @@ def test_lines_to_tables(spark):
     ])
 
 
+def test_lines_are_read_once(spark, monkeypatch):
+    """Labels, numbers and kinds are computed as lines are dealt, not in each step that uses them."""
+    df = spark.createDataFrame([("d", 0, "7-3- دانش آموزان کشور"), ("d", 1, "10 20 تهران")], "doc string, n int, text string")
+    seen, carried = [], ordered.carried
+    monkeypatch.setattr(ordered, "carried", lambda rows, *a, **k: seen.append(rows._jdf.queryExecution().analyzed().toString()) or carried(rows, *a, **k))
+    assert lines.lines_to_tables(df).count() == 1
+    assert seen and not any("regexp" in plan or "RLIKE" in plan for plan in seen)
+
+
+def test_text_line_equals_a_walk_over_its_words(spark):
+    rng = random.Random(1)
+    words = ["12", "3,456", "1.5/2", "7\u2028", "7\x85x", "-", "…×", "-…-", "-5", "12a", "(3)", "a(12)b", "۴۵", "تهران", "", "\t", "\x0b", "\x1c", "\u00a0", "\u2003", "×\u2029", "\u20299"]
+    texts = [None, "", " "] + [rng.choice([" ", "  ", "\n", ""]).join(rng.choices(words, k=rng.randint(1, 9))) for _ in range(400)]
+    numeric = re.compile("([0-9][0-9,./]*|[-…×]+)[\x85\u2028\u2029]?")
+    for r in spark.createDataFrame(list(enumerate(texts)), "i int, a string").select("i", "a", structure.text_line(F.col("a")).alias("s")).collect():
+        if r["a"] is None:
+            assert tuple(r["s"]) == ("", None)
+            continue
+        plain = r["a"].translate(str.maketrans("۴۵", "45"))
+        marks, found = re.findall(r"\([0-9]+\)", plain), [w for w in re.split("[ \t\n\x0b\f\r]+", re.sub(r"\([0-9]+\)", " ", plain)) if w]
+        label = " ".join([" ".join(w for w in found if not numeric.fullmatch(w)), "".join(marks)]).strip(" ")
+        assert tuple(r["s"]) == (label, [w.replace(",", "") for w in found if numeric.fullmatch(w)][::-1]), r["a"]
+
+
 def test_modal_rows(spark):
     df = spark.createDataFrame([(1, [1.0, 2.0]), (1, [3.0, 4.0]), (1, [5.0]), (2, [1.0]), (2, [1.0, 2.0])], "t int, values array<double>")
     assert sorted((r["t"], len(r["values"]), r["dropped"]) for r in lines.modal_rows(df, ["t"]).collect()) == [(1, 2, 1), (1, 2, 1), (2, 1, 1)]

@@ -28,6 +28,19 @@ def test_carried_equals_a_walk(spark, parts):
     assert got == want
 
 
+def test_rows_are_shuffled_once_and_whole_groups_not_summed_up(spark):
+    """Only the group that lies in several parts is; a total beyond 32 bits is carried too."""
+    rows = [(k, i, 2**30) for k, n in (("a", 3), (None, 90), ("b", 90), ("c", 3)) for i in range(n)]
+    df = ordered.ranged(spark.createDataFrame(rows, "k string, n int, x int"), ["k"], "n", 4)
+    parts = {}
+    for r in df.select("k", "_part", "_wide").distinct().collect():
+        parts.setdefault((r["k"], r["_wide"]), set()).add(r["_part"])
+    assert len(parts) == 4 and all(wide == (len(p) > 1) for (_, wide), p in parts.items()) and parts["b", True] and parts[None, True]
+    out = ordered.carried(df, ["k"], total={"s": F.col("x")}, previous={"p": F.col("n")})
+    assert {(r["k"], r["n"]): (r["s"], r["p"]) for r in out.collect()} == {(k, i): ((i + 1) * 2**30, i - 1 if i else None) for k, i, _ in rows}
+    assert "Join" not in out._jdf.queryExecution().executedPlan().toString()
+
+
 def walk(rows):
     out, known, part = [], {}, {}
     for doc, n, name, values in rows:
