@@ -199,14 +199,12 @@ def A12_unions(spark, sf_dir):
 
 @query(f"WITH {WORKS}, units AS (SELECT unnest(['province ' || province, 'region ' || n_regionkey, 'nation']) AS unit, work, n_countries FROM works JOIN nation ON n_nationkey = province) SELECT unit, count(DISTINCT work) AS works, count(DISTINCT work) FILTER (n_countries > 1) AS international FROM units GROUP BY unit")
 def A12_union_sizes(spark, sf_dir):
-    """Works of provinces, groups and the nation out of one bitmap of each province: the rows of works are shuffled once, by province."""
-    works = unions.numbered(_works(spark, sf_dir).select("province", "work", (F.col("n_countries") > 1).alias("abroad")), "work")
-    both = works.select("province", "number", F.explode(F.when(F.col("abroad"), F.array(F.lit("works"), F.lit("international"))).otherwise(F.array(F.lit("works")))).alias("kind"))
-    provinces = written(unions.bitmaps(both, ["province", "kind"], "number"), "bitmaps")
+    """Works of provinces, groups and the nation out of the bitmaps of each province, which stand in one row for both counts."""
+    works, sets = unions.numbered(_works(spark, sf_dir).select("province", "work", (F.col("n_countries") > 1).alias("abroad")), "work"), {"works": F.lit(True), "international": F.col("abroad")}
+    provinces = written(unions.bitmaps(works, ["province"], "number", sets), "bitmaps")
     regions = provinces.join(table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("province"), "n_regionkey"), "province")
-    kind, levels = F.col("kind"), [F.concat(F.lit("province "), "province"), F.concat(F.lit("region "), "n_regionkey"), F.lit("nation")]
-    every = reduce(DataFrame.unionByName, [unions.sizes(unions.merged(regions, {"unit": unit, "kind": kind}), ["unit", "kind"]) for unit in levels])
-    return every.groupBy("unit").agg(*[F.coalesce(F.max(F.when(kind == k, F.col("n"))), F.lit(0)).alias(k) for k in ("works", "international")])
+    levels = [F.concat(F.lit("province "), "province"), F.concat(F.lit("region "), "n_regionkey"), F.lit("nation")]
+    return reduce(DataFrame.unionByName, [unions.sizes(unions.merged(regions, {"unit": unit}, sets), ["unit"], sets=sets) for unit in levels])
 
 
 @query(f"""WITH {WORKS}, {HIGHER}, u AS (SELECT work, max(year) AS year FROM works GROUP BY work), w AS (SELECT year, count(*) AS works FROM u GROUP BY year),

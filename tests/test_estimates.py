@@ -79,6 +79,22 @@ def test_unions_of_bitmaps(spark):
     df.unpersist()
 
 
+def test_sets_side_by_side_without_sorting_rows(spark, monkeypatch):
+    """Several sets of a unit in one pass, bits or-ed in hash tables, and more tasks for more ids."""
+    monkeypatch.setattr(unions, "IDS", 100)
+    rng = random.Random(3)
+    rows = [(rng.choice(["a", "b", None]), rng.choice([None, rng.randrange(700) * 10**12]), rng.choice([True, False, None])) for _ in range(4000)] + [("c", 5, False), ("d", None, True)]
+    df = unions.numbered(spark.createDataFrame(rows, "unit string, id long, far boolean"), "id")
+    assert df.rdd.getNumPartitions() == -(-len({i for _, i, _ in rows if i is not None}) // 100)
+    maps = unions.bitmaps(df, ["unit"], "number", {"all": F.lit(True), "far": F.col("far")})
+    assert {r["unit"]: (r["all"], r["far"]) for r in unions.sizes(maps, ["unit"], sets=["all", "far"]).collect()} == {
+        u: (len({i for x, i, _ in rows if x == u and i is not None}), len({i for x, i, f in rows if x == u and i is not None and f})) for u in ("a", "b", "c", None)}
+    every = unions.sizes(unions.merged(maps, {"g": F.lit(1)}, ["all", "far"]), ["g"], sets=["all", "far"]).head()
+    assert tuple(every) == (1, len({i for _, i, _ in rows if i is not None}), len({i for _, i, f in rows if i is not None and f}))
+    plan = maps._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
+
+
 @pytest.mark.parametrize("stretch", [1.0, 0.75])
 def test_nearest_equals_all_pairs(spark, stretch):
     rng = np.random.default_rng(11)
