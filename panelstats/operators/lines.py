@@ -21,7 +21,7 @@ def lines_to_tables(lines: DataFrame, doc: str = "doc", order: str = "n") -> Dat
     what they take from the rows above is carried from range to range."""
     text = F.btrim(F.coalesce("text", F.lit("")))
     plain, said = F.col("_plain"), F.col("_said")
-    own = F.when(F.col("text").rlike(f"[{labels.DIGITS[0]}]"), labels.digits(F.col("text"))).otherwise(F.col("text"))
+    own = F.when(F.col("text").rlike("[\u06f0-\u06f9\u0660-\u0669]"), labels.digits(F.col("text"))).otherwise(F.col("text"))
     title = labels.is_plain_title(plain)
     kind = F.when(title, "title").when(labels.is_numbered_note(plain), "note").when(F.size(said["values"]) > 0, "row").otherwise("text")
     rows = ordered.ranged(lines.select(doc, order, text.alias("text")).filter("text <> ''"), [doc], order, more=[{"_plain": own}, {"_said": structure.line_of(plain)}, {"_kind": kind}])
