@@ -114,9 +114,14 @@ def attach_notes(titled: DataFrame, doc: str = "doc", order: str = "block_no") -
 def table_year(row_years: Column, title: Column, release: Column, year: str = "1[34][0-9]{2}") -> Column:
     """The largest year of the rows; else of the years in the title the smaller of two that follow each other, or the
     largest; else the release's."""
+    return F.coalesce(F.array_max(row_years), title_year(title, year), release)
+
+
+def title_year(title: Column, year: str = "1[34][0-9]{2}") -> Column:
+    """What a title says in ``table_year``."""
     found = F.transform(F.regexp_extract_all(labels.digits(title), F.lit(year), F.lit(0)), lambda y: y.cast("int"))
     pair = (F.size(found) > 1) & (F.array_max(found) - F.array_min(found) == 1)
-    return F.coalesce(F.array_max(row_years), F.when(pair, F.array_min(found)).otherwise(F.array_max(found)), release)
+    return F.when(pair, F.array_min(found)).otherwise(F.array_max(found))
 
 
 def segments(tables: DataFrame, doc: str = "doc", order: str = "seq", least: int = 3, share: float = 0.4) -> DataFrame:

@@ -136,7 +136,7 @@ def T13_table_catalogue(spark, sf_dir):
     provinces = F.count_distinct(F.when(F.col("row_year").isNull() & (F.col("row_province") != "IRN"), F.col("row_province")))
     out = known.groupBy("t").agg(F.count("*").alias("n_rows"), provinces.alias("n_provinces"), F.coalesce(F.max(F.col("row_year").isNotNull()), F.lit(False)).alias("has_years"))
     n = written(facts(rows, spark, sf_dir).groupBy("t").agg(F.count("*").alias("n")), "facts")
-    return out.join(n, "t", "left").select("t", (F.col("t") % 3).alias("subject"), "n_rows", "n_provinces", "has_years", structure.geo_class(F.col("n_provinces"), F.col("has_years")).alias("geo"), F.coalesce("n", F.lit(0)).alias("n_facts"))
+    return out.join(n.hint("merge"), "t", "left").select("t", (F.col("t") % 3).alias("subject"), "n_rows", "n_provinces", "has_years", structure.geo_class(F.col("n_provinces"), F.col("has_years")).alias("geo"), F.coalesce("n", F.lit(0)).alias("n_facts"))
 
 
 @query(" SELECT doc, count(*) AS n_tables, count(*) FILTER (subject = 0) AS k12, count(*) FILTER (subject = 1) AS he, CASE WHEN bool_or(subject < 2) THEN 'students' ELSE '' END AS subjects FROM tables GROUP BY doc")
